@@ -22,11 +22,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(key: str, sql: str | None):
+def register(key: str, sql: str | None, ctes: list[tuple[str, str]] | None = None):
     def deco(fn: Callable[[Tables], DataFrame]):
         QUERIES[key] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
         if sql is not None:
-            ORACLES[key] = oracle(sql.strip())
+            ORACLES[key] = oracle(sql.strip(), ctes)
         return fn
     return deco
 
