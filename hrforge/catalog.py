@@ -22,11 +22,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(key: str, sql: str | None, ctes: list[tuple[str, str]] | None = None):
+def register(key: str, sql: str | None, ctes: list[tuple[str, str]] | None = None,
+             recursive: bool = False):
     def deco(fn: Callable[[Tables], DataFrame]):
         QUERIES[key] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
         if sql is not None:
-            ORACLES[key] = oracle(sql.strip(), ctes)
+            ORACLES[key] = oracle(sql.strip(), ctes, recursive)
         return fn
     return deco
 
@@ -36,6 +37,7 @@ def _load_all() -> None:
     from hrforge import catalog_basic  # noqa: F401
     from hrforge import catalog_ops  # noqa: F401
     from hrforge import catalog_flow  # noqa: F401
+    from hrforge import catalog_decide  # noqa: F401
 
 
 _load_all()

@@ -227,14 +227,14 @@ SUBTYPE_SQL = {
 }
 
 
-def _flow_ctes(kind: str, mode: str = "as_written") -> list[tuple[str, str]]:
+def _flow_ctes(kind: str, mode: str = "as_written", dec_name: str = "dec") -> list[tuple[str, str]]:
     dec = {"annual": dec_annual, "accidental": dec_accidental, "medical": dec_medical,
            "compensation": dec_compensation}
     dsql = dec_unpaid(mode) if kind == "unpaid" else dec[kind]()
     creates = "creates_leave" if kind == "unpaid" else "reason is null"
     return dir_ctes(mode) + [
-        ("dec", dsql),
-        ("acc", f"select *, {next_ids('leave', 'request_id', 'seq')} as request_id from dec where {creates}"),
+        (dec_name, dsql),
+        ("acc", f"select *, {next_ids('leave', 'request_id', 'seq')} as request_id from {dec_name} where {creates}"),
     ]
 
 
