@@ -20,12 +20,15 @@ LEAVE_DAY = dt.date(2024, 1, 15)    # on-leave checks, submissions and decisions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# key -> builder over a table accessor (``Tables`` or ``StoredTables``)
+BUILDERS: dict[str, Callable] = {}
 
 
 def register(key: str, sql: str | None, ctes: list[tuple[str, str]] | None = None,
              recursive: bool = False):
     def deco(fn: Callable[[Tables], DataFrame]):
         QUERIES[key] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        BUILDERS[key] = fn
         if sql is not None:
             ORACLES[key] = oracle(sql.strip(), ctes, recursive)
         return fn
