@@ -16,6 +16,7 @@ from hrforge.functions.text import ci, ci_eq
 from hrforge.operators.flags import flag_on_leave_today, ranked_roles
 from hrforge.operators.ledger import blocking_leaves
 from hrforge.operators.quality import fill_defaults
+from hrforge.operators.setops import not_in
 from hrforge.plans.ids import assign_ids, max_id
 from hrforge.sources.schemas import SCHEMAS
 
@@ -59,13 +60,14 @@ def refresh_employment_status(employee: DataFrame, ledger: DataFrame, as_of,
 def initiate_attendance(attendance: DataFrame, employee: DataFrame, as_of) -> DataFrame:
     """New 'absent' rows for employees with no attendance row on as_of.
 
-    ``employee_id NOT IN (emp_ids with a row today)`` keeps its null-aware meaning:
-    one null emp_id among today's rows means no row qualifies. Ids continue from
+    ``employee_id NOT IN (emp_ids with a row today)`` keeps its null-aware meaning
+    (one null emp_id among today's rows means no row qualifies) without a
+    broadcast null-aware anti join (see ``setops.not_in``). Ids continue from
     max(attendance_id) in employee order.
     """
     day = as_date(as_of)
     today = attendance.filter(F.col("date") == day).select("emp_id")
-    new = employee.filter(~F.col("employee_id").isin(today)).select(
+    new = not_in(employee, F.col("employee_id"), today, "emp_id").select(
         F.col("employee_id").alias("emp_id"), day.alias("date"),
         F.lit(None).cast("timestamp_ntz").alias("check_in_time"),
         F.lit(None).cast("timestamp_ntz").alias("check_out_time"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hrforge.functions.dates import duration_minutes
 from hrforge.functions.text import ci, ci_in, role_suffix_fixed
+from hrforge.operators.setops import not_in
 from hrforge.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 
 # ---------------------------------------------------------------- computed columns
@@ -160,8 +161,8 @@ def hr_role_set_guard(new_roles: DataFrame, department: DataFrame) -> tuple[Data
     """
     suffix = role_suffix_fixed(F.col("role_name"))
     names = department.select(ci("name").alias("name"))
-    bad = new_roles.filter(F.col("role_name").ilike("HR_Representative_%")
-                           & ~ci(suffix).isin(names))
+    reps = new_roles.filter(F.col("role_name").ilike("HR_Representative_%"))
+    bad = not_in(reps, ci(suffix), names, "name")
     any_bad = bad.select(F.lit(1)).limit(1).exists()
     accepted = new_roles.filter(~any_bad)
     return accepted, bad
