@@ -24,6 +24,7 @@ from hrforge.operators.ledger import UNPAID
 from hrforge.operators.quality import check_predicate
 from hrforge.plans.fold import balance_fold, year_sequence_fold
 from hrforge.plans.ids import assign_ids, max_id
+from hrforge.plans.outputs import Outputs
 
 MSG_NOT_AUTHORISED = "Error! You are not authorised to approve/reject this leave"
 UPPERBOARD_ROLES = ["Dean", "Vice Dean", "President"]
@@ -200,7 +201,7 @@ def _decisions(b: DataFrame, with_balance: bool) -> DataFrame:
 def hr_decide_annual(batch: DataFrame, leave: DataFrame, annual_leave: DataFrame,
                      approvals: DataFrame, employee: DataFrame, ledger: DataFrame,
                      replacements: DataFrame, as_of, mode: str = "as_written"
-                     ) -> dict[str, DataFrame]:
+                     ) -> Outputs:
     """``HR_approval_an_acc`` for annual requests: batch (seq, request_id, hr_id).
 
     Five checks: requester not part-time; replacement given and (as written) *on
@@ -229,10 +230,10 @@ def hr_decide_annual(batch: DataFrame, leave: DataFrame, annual_leave: DataFrame
     new_repl = b.filter(F.col("approved")).select(
         F.col("_myid").alias("emp1_id"), F.col("replacement_emp").alias("emp2_id"),
         F.col("start_date").alias("from_date"), F.col("end_date").alias("to_date"), "seq")
-    return {"decisions": decisions,
-            "replacements": append_rows(replacements, new_repl, "employee_replace_employee",
-                                        "table_id", ["seq"]),
-            "new_replacements": new_repl}
+    return Outputs(decisions=lambda: decisions, new_replacements=lambda: new_repl,
+                   replacements=lambda: append_rows(replacements, new_repl,
+                                                    "employee_replace_employee", "table_id",
+                                                    ["seq"]))
 
 
 def hr_decide_accidental(batch: DataFrame, leave: DataFrame, accidental_leave: DataFrame,
@@ -294,7 +295,7 @@ def hr_decide_unpaid(batch: DataFrame, leave: DataFrame, unpaid_leave: DataFrame
 def hr_decide_compensation(batch: DataFrame, leave: DataFrame, compensation_leave: DataFrame,
                            approvals: DataFrame, employee: DataFrame, attendance: DataFrame,
                            ledger: DataFrame, replacements: DataFrame, as_of,
-                           mode: str = "as_written") -> dict[str, DataFrame]:
+                           mode: str = "as_written") -> Outputs:
     """``HR_approval_comp``: worked >= 480 minutes on the original workday, which
     is the requester's day off and in the month and year of the request; a
     non-empty reason; a replacement that (as written) is on leave -- ``corrected``:
@@ -329,10 +330,10 @@ def hr_decide_compensation(batch: DataFrame, leave: DataFrame, compensation_leav
     new_repl = b.filter(F.col("approved")).select(
         F.col("_myid").alias("emp1_id"), F.col("replacement_emp").alias("emp2_id"),
         F.col("start_date").alias("from_date"), F.col("end_date").alias("to_date"), "seq")
-    return {"decisions": decisions,
-            "replacements": append_rows(replacements, new_repl, "employee_replace_employee",
-                                        "table_id", ["seq"]),
-            "new_replacements": new_repl}
+    return Outputs(decisions=lambda: decisions, new_replacements=lambda: new_repl,
+                   replacements=lambda: append_rows(replacements, new_repl,
+                                                    "employee_replace_employee", "table_id",
+                                                    ["seq"]))
 
 
 # ---------------------------------------------------------------- evaluations

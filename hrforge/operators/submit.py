@@ -31,6 +31,8 @@ from hrforge.functions.text import ci, ci_eq, hr_representative_of
 from hrforge.operators.flags import flag_dean_or_vice, is_male, part_time
 from hrforge.operators.ledger import on_leave_ids
 from hrforge.plans.ids import assign_ids, max_id
+from hrforge.plans.outputs import Outputs
+from hrforge.session import checkpoint_dir
 
 # PRINT texts of the reference (fixed values).
 MSG_ANNUAL_PART_TIME = "Error! Part-time employees cannot apply for annual leave"
@@ -127,7 +129,12 @@ class Directory:
 
 def directory(employee: DataFrame, employee_role: DataFrame, red: DataFrame,
               ledger: DataFrame, as_of, mode: str = "as_written") -> Directory:
-    return Directory(employee, employee_role, red, on_leave_ids(ledger, as_of, as_of), mode)
+    """Approver lookups for one run. The ids on leave on as_of feed every lookup,
+    so they are computed once and frozen with a reliable checkpoint (one row per
+    employee on leave that day) instead of re-deriving the ledger per lookup."""
+    checkpoint_dir(employee.sparkSession)
+    off = on_leave_ids(ledger, as_of, as_of).checkpoint(eager=True)
+    return Directory(employee, employee_role, red, off, mode)
 
 
 def _with_employee(requests: DataFrame, employee: DataFrame, emp_col: str) -> DataFrame:
@@ -273,26 +280,34 @@ def route_compensation(requests: DataFrame, d: Directory) -> DataFrame:
 
 
 def materialize(decisions: DataFrame, leave: DataFrame, as_of,
-                subtype_cols: list[Column]) -> dict[str, DataFrame]:
+                subtype_cols: list[Column]) -> Outputs:
     """Turn routed requests into new rows.
 
     Returns ``leaves`` (new Leave rows with the subtype columns), ``approvals``
-    (emp1_id, leave_id, status) and ``rejections`` (seq, employee_id, reason).
+    (emp1_id, leave_id, status) and ``rejections`` (seq, employee_id, reason),
+    each built on first access.
     """
-    accepted = decisions.filter(F.col("creates_leave"))
-    accepted = assign_ids(accepted, ["seq"], "request_id", max_id(leave, "request_id"))
-    leaves = accepted.select(
-        "request_id", as_date(as_of).alias("date_of_request"), "start_date", "end_date",
-        (F.datediff("end_date", "start_date") + 1).cast("int").alias("num_days"),
-        F.lit("pending").alias("final_approval_status"), *subtype_cols)
-    approvals = (accepted.select(F.explode("approvers").alias("emp1_id"),
-                                 F.col("request_id").alias("leave_id"))
-                 .filter(F.col("emp1_id").isNotNull()).distinct()
-                 .withColumn("status", F.lit("pending")))
-    rejections = decisions.filter(~F.col("creates_leave")).select(
-        "seq", "employee_id", "reason")
-    return {"leaves": leaves, "approvals": approvals, "rejections": rejections,
-            "accepted": accepted}
+    def accepted() -> DataFrame:
+        acc = decisions.filter(F.col("creates_leave"))
+        return assign_ids(acc, ["seq"], "request_id", max_id(leave, "request_id"))
+
+    def leaves() -> DataFrame:
+        return out["accepted"].select(
+            "request_id", as_date(as_of).alias("date_of_request"), "start_date", "end_date",
+            (F.datediff("end_date", "start_date") + 1).cast("int").alias("num_days"),
+            F.lit("pending").alias("final_approval_status"), *subtype_cols)
+
+    def approvals() -> DataFrame:
+        return (out["accepted"].select(F.explode("approvers").alias("emp1_id"),
+                                       F.col("request_id").alias("leave_id"))
+                .filter(F.col("emp1_id").isNotNull()).distinct()
+                .withColumn("status", F.lit("pending")))
+
+    def rejections() -> DataFrame:
+        return decisions.filter(~F.col("creates_leave")).select("seq", "employee_id", "reason")
+
+    out = Outputs(accepted=accepted, leaves=leaves, approvals=approvals, rejections=rejections)
+    return out
 
 
 def link_documents(document: DataFrame, accepted: DataFrame, id_col: str,
@@ -324,7 +339,7 @@ def link_documents(document: DataFrame, accepted: DataFrame, id_col: str,
 
 
 def submit_annual(requests, employee, employee_role, red, ledger, leave, as_of,
-                  mode: str = "as_written") -> dict[str, DataFrame]:
+                  mode: str = "as_written") -> Outputs:
     d = directory(employee, employee_role, red, ledger, as_of, mode)
     dec = route_annual(requests, d)
     return materialize(dec, leave, as_of,
@@ -332,14 +347,14 @@ def submit_annual(requests, employee, employee_role, red, ledger, leave, as_of,
 
 
 def submit_accidental(requests, employee, employee_role, red, ledger, leave, as_of,
-                      mode: str = "as_written") -> dict[str, DataFrame]:
+                      mode: str = "as_written") -> Outputs:
     d = directory(employee, employee_role, red, ledger, as_of, mode)
     dec = route_accidental(requests, d)
     return materialize(dec, leave, as_of, [F.col("employee_id").alias("emp_id")])
 
 
 def submit_medical(requests, employee, employee_role, red, ledger, leave, document, as_of,
-                   mode: str = "as_written") -> dict[str, DataFrame]:
+                   mode: str = "as_written") -> Outputs:
     """Also relinks documents: as written every document with the request's file
     name (any owner) gets the new medical_id and description; ``corrected`` only
     the requester's own."""
@@ -350,24 +365,26 @@ def submit_medical(requests, employee, employee_role, red, ledger, leave, docume
     match = [("file_name", "file_name")]
     if mode != "as_written":
         match.append(("emp_id", "employee_id"))
-    out["documents"] = link_documents(document, out["accepted"], "medical_id", match, True)
+    out._makers["documents"] = lambda: link_documents(document, out["accepted"], "medical_id",
+                                                      match, True)
     return out
 
 
 def submit_unpaid(requests, employee, employee_role, red, ledger, leave, document, as_of,
-                  mode: str = "as_written") -> dict[str, DataFrame]:
+                  mode: str = "as_written") -> Outputs:
     """Also links the memo document (same description, file name and owner)."""
     d = directory(employee, employee_role, red, ledger, as_of, mode)
     dec = route_unpaid(requests, d)
     out = materialize(dec, leave, as_of, [F.col("employee_id").alias("emp_id")])
     match = [("description", "document_description"), ("file_name", "file_name"),
              ("emp_id", "employee_id")]
-    out["documents"] = link_documents(document, out["accepted"], "unpaid_id", match, False)
+    out._makers["documents"] = lambda: link_documents(document, out["accepted"], "unpaid_id",
+                                                      match, False)
     return out
 
 
 def submit_compensation(requests, employee, employee_role, red, ledger, leave, as_of,
-                        mode: str = "as_written") -> dict[str, DataFrame]:
+                        mode: str = "as_written") -> Outputs:
     d = directory(employee, employee_role, red, ledger, as_of, mode)
     dec = route_compensation(requests, d)
     return materialize(dec, leave, as_of, [

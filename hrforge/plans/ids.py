@@ -4,9 +4,11 @@
 order. Here the insertion order is a caller-given natural key, and ids are
 assigned without a global window (which would pull every row into one task):
 
-1. range-partition the new rows on the order key and sort inside partitions;
-2. freeze that layout with a reliable checkpoint (shared checkpoint folder), so
-   ids are stable if an executor is lost and a stage re-runs;
+1. freeze the new rows with a reliable checkpoint in the shared checkpoint
+   folder: the upstream plan runs once, and a lost executor cannot change them;
+2. range-partition the frozen rows on the order key (the sampling pass reads the
+   checkpoint, not the upstream plan) and sort inside partitions -- a
+   deterministic layout, since both the input and the sampler are fixed;
 3. count rows per partition (one tiny row per partition), turn the counts into
    running offsets, and broadcast that table (its size is the partition count);
 4. id = base + partition offset + position inside the partition + 1.
@@ -36,20 +38,20 @@ def assign_ids(df: DataFrame, order_cols: list[str], id_col: str, base: Column |
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid_out = (df.repartitionByRange(n, *order_cols)
+    frozen = df.checkpoint(eager=True)
+    laid_out = (frozen.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    frozen = laid_out.checkpoint(eager=True)
     part = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    counts = frozen.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = laid_out.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per partition: a global running sum over it is cheap.
     offsets = counts.select(
         "_pid",
         (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
          ).alias("_off"))
     base_col = F.lit(base) if isinstance(base, int) else base
-    out = (frozen.withColumn("_pid", part).withColumn("_pos", pos)
+    out = (laid_out.withColumn("_pid", part).withColumn("_pos", pos)
            .join(F.broadcast(offsets), "_pid", "left")
            .withColumn(id_col, (base_col + F.coalesce(F.col("_off"), F.lit(0))
                                 + F.col("_pos") + 1).cast("int"))
