@@ -85,15 +85,27 @@ def upsert_attendance(attendance: DataFrame, checkins: DataFrame, as_of) -> Data
     ``checkins``: emp_id, check_in_time, check_out_time, seq; the latest seq per
     employee wins. Only as_of's rows meet the batch in a join.
     """
-    day = as_date(as_of)
-    latest = (checkins.groupBy("emp_id")
+    return upsert_attendance_days(attendance, checkins.withColumn("date", as_date(as_of)))
+
+
+def upsert_attendance_days(attendance: DataFrame, checkins: DataFrame) -> DataFrame:
+    """``Update_Attendance`` for check-ins of any days: checkins carry ``date``.
+
+    Per (emp_id, date) the latest seq wins. Rows of the batch's dates are
+    updated (all rows of that employee and day), missing (employee, day) pairs
+    are inserted with new ids (ordered by date, employee); other dates pass
+    through untouched. The list of touched dates is at most one row per calendar
+    day, so it is broadcast.
+    """
+    latest = (checkins.groupBy("emp_id", "date")
               .agg(F.max(F.struct("seq", "check_in_time", "check_out_time")).alias("_c"))
-              .select("emp_id", F.col("_c.check_in_time").alias("_in"),
+              .select("emp_id", "date", F.col("_c.check_in_time").alias("_in"),
                       F.col("_c.check_out_time").alias("_out"), F.lit(True).alias("_hit")))
-    others = attendance.filter(~(F.col("date") == day) | F.col("date").isNull())
-    todays = attendance.filter(F.col("date") == day)
+    days = F.broadcast(checkins.select(F.col("date").alias("_day")).distinct())
+    others = attendance.join(days, attendance.date == days._day, "left_anti")
+    todays = attendance.join(days, attendance.date == days._day, "left_semi")
     hit = F.col("_hit").isNotNull()
-    updated = (todays.join(latest, "emp_id", "left")
+    updated = (todays.join(latest, ["emp_id", "date"], "left")
                .withColumn("status", F.when(hit, F.lit("attended")).otherwise(F.col("status")))
                .withColumn("check_in_time", F.when(hit, F.col("_in"))
                            .otherwise(F.col("check_in_time")))
@@ -101,14 +113,14 @@ def upsert_attendance(attendance: DataFrame, checkins: DataFrame, as_of) -> Data
                            .otherwise(F.col("check_out_time"))))
     updated = updated.withColumn(
         "total_duration", duration_minutes(F.col("check_in_time"), F.col("check_out_time")))
-    have = todays.select("emp_id").where(F.col("emp_id").isNotNull()).distinct()
-    inserts = (latest.join(have, "emp_id", "left_anti")
-               .select("emp_id", day.alias("date"), F.col("_in").alias("check_in_time"),
+    have = todays.select("emp_id", "date").where(F.col("emp_id").isNotNull())
+    inserts = (latest.join(have, ["emp_id", "date"], "left_anti")
+               .select("emp_id", "date", F.col("_in").alias("check_in_time"),
                        F.col("_out").alias("check_out_time"),
                        F.lit("attended").alias("status")))
     inserts = inserts.withColumn(
         "total_duration", duration_minutes(F.col("check_in_time"), F.col("check_out_time")))
-    inserts = assign_ids(inserts, ["emp_id"], "attendance_id",
+    inserts = assign_ids(inserts, ["date", "emp_id"], "attendance_id",
                          max_id(attendance, "attendance_id"))
     cols = _cols("attendance")
     return others.select(*cols).unionByName(updated.select(*cols)).unionByName(
