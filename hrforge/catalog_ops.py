@@ -238,13 +238,13 @@ left join (select emp_id, sum(amount) as ded from deduction
 @register("run_payroll", payroll_sql(False))
 def _q(t):
     return payroll.run_payroll(t.employee, t.employee_role, t.role, t.attendance, t.deduction,
-                               t.payroll, M0, M1, AS_OF)[0]
+                               t.payroll, M0, M1, AS_OF)["payroll"]
 
 
 @register("run_payroll_corrected", payroll_sql(True))
 def _q(t):
     return payroll.run_payroll(t.employee, t.employee_role, t.role, t.attendance, t.deduction,
-                               t.payroll, M0, M1, AS_OF, mode="corrected")[0]
+                               t.payroll, M0, M1, AS_OF, mode="corrected")["payroll"]
 
 
 @register("run_payroll_deductions", f"""
@@ -256,7 +256,7 @@ from deduction d
 """)
 def _q(t):
     return payroll.run_payroll(t.employee, t.employee_role, t.role, t.attendance, t.deduction,
-                               t.payroll, M0, M1, AS_OF)[1]
+                               t.payroll, M0, M1, AS_OF)["deductions"]
 
 
 # ---------------------------------------------------------------- deductions

@@ -17,6 +17,7 @@ from hrforge.functions.text import ci_eq
 from hrforge.operators.flags import part_time, ranked_roles
 from hrforge.operators.ledger import UNPAID
 from hrforge.plans.ids import assign_ids, max_id
+from hrforge.plans.outputs import Outputs
 from hrforge.sources.schemas import SCHEMAS
 
 FULL_DAY_MINUTES = 480      # fixed values of the reference: 8-hour day,
@@ -198,15 +199,15 @@ def bonus_amount(employee: DataFrame, employee_role: DataFrame, role: DataFrame,
 
 def run_payroll(employee: DataFrame, employee_role: DataFrame, role: DataFrame,
                 attendance: DataFrame, deduction: DataFrame, payroll: DataFrame,
-                from_date, to_date, as_of, mode: str = "as_written"
-                ) -> tuple[DataFrame, DataFrame]:
+                from_date, to_date, as_of, mode: str = "as_written") -> Outputs:
     """``Add_Payroll`` for every employee at once.
 
     Skips employees that already have a payroll row whose from_date is in the same
     month and year as from_date. final = salary + bonus - SUM(pending deductions
     dated in [from_date, to_date]), kept to one decimal (rounded half away from
-    zero); bonus and deductions to two. Returns (new payroll rows, new Deduction
-    snapshot with the counted deductions finalized); both read the same inputs.
+    zero); bonus and deductions to two. Returns outputs ``payroll`` (new payroll
+    rows) and ``deductions`` (new Deduction snapshot with the counted deductions
+    finalized), built on first access; both read the same inputs.
     As written the bonus is the as_of month's, counted in minutes; ``corrected``
     counts overtime hours over from_date..to_date.
     """
@@ -233,8 +234,9 @@ def run_payroll(employee: DataFrame, employee_role: DataFrame, role: DataFrame,
         F.col("bonus_amount").cast("decimal(10,2)").alias("bonus_amount"),
         ded_amt.cast("decimal(10,2)").alias("deductions_amount"),
         F.col("employee_id").alias("emp_id"))
-    new = assign_ids(new, ["emp_id"], "id", max_id(payroll, "id"))
-    new = new.select(*[f.name for f in SCHEMAS["payroll"].fields])
+    def payroll_rows() -> DataFrame:
+        rows_ = assign_ids(new, ["emp_id"], "id", max_id(payroll, "id"))
+        return rows_.select(*[f.name for f in SCHEMAS["payroll"].fields])
 
     # Deductions counted by this run become finalized; the rest pass through.
     run_ids = todo.select(F.col("employee_id").alias("_run"))
@@ -244,4 +246,5 @@ def run_payroll(employee: DataFrame, employee_role: DataFrame, role: DataFrame,
                .withColumn("status", F.when(F.col("_run").isNotNull(), F.lit("finalized"))
                            .otherwise(F.col("status")))
                .select(*_deduction_cols()))
-    return new, untouched.select(*_deduction_cols()).unionByName(flagged)
+    return Outputs(payroll=payroll_rows,
+                   deductions=lambda: untouched.select(*_deduction_cols()).unionByName(flagged))

@@ -219,12 +219,14 @@ def test_payroll_twice_adds_nothing_and_finalizes(spark):
     ded = mk(spark, "deduction", [{"deduction_id": 1, "emp_id": 1, "date": D(2024, 1, 5),
                                    "amount": Decimal("10.05"), "status": "pending"}])
     args = (emp, empty(spark, "employee_role"), empty(spark, "role"), empty(spark, "attendance"))
-    rows, ded2 = payroll.run_payroll(*args, ded, empty(spark, "payroll"), D(2024, 1, 1), D(2024, 1, 31),
-                                     D(2024, 1, 30))
+    out = payroll.run_payroll(*args, ded, empty(spark, "payroll"), D(2024, 1, 1), D(2024, 1, 31),
+                              D(2024, 1, 30))
+    rows, ded2 = out["payroll"], out["deductions"]
     r = rows.first()
     assert (r.id, r.final_salary_amount, r.deductions_amount) == (1, Decimal("2990.0"), Decimal("10.05"))
     assert ded2.first().status == "finalized"
-    rows2, _ = payroll.run_payroll(*args, ded2, rows, D(2024, 1, 1), D(2024, 1, 31), D(2024, 1, 30))
+    rows2 = payroll.run_payroll(*args, ded2, rows, D(2024, 1, 1), D(2024, 1, 31),
+                                D(2024, 1, 30))["payroll"]
     assert rows2.count() == 0
 
 
