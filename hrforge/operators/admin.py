@@ -16,6 +16,7 @@ from hrforge.functions.text import ci, ci_eq
 from hrforge.operators.flags import flag_on_leave_today, ranked_roles
 from hrforge.operators.ledger import blocking_leaves
 from hrforge.operators.quality import fill_defaults
+from hrforge.operators.ranges import drop_points_in_ranges
 from hrforge.operators.setops import not_in
 from hrforge.plans.ids import assign_ids, max_id
 from hrforge.sources.schemas import SCHEMAS
@@ -160,18 +161,16 @@ def drop_day_off_absences(attendance: DataFrame, employee: DataFrame, as_of,
 
 def drop_leave_attendance(attendance: DataFrame, ledger: DataFrame,
                           employee_id: int | None = None) -> DataFrame:
-    """Delete attendance on dates inside the employee's own approved leaves."""
-    lv = ledger.filter(ci_eq("final_approval_status", "approved")).select(
-        F.col("emp_id").alias("_e"), F.col("start_date").alias("_s"),
-        F.col("end_date").alias("_t"))
-    a = attendance
+    """Delete attendance on dates inside the employee's own approved leaves
+    (anti join on employee and month, the date range as residual)."""
+    lv = ledger.filter(ci_eq("final_approval_status", "approved"))
     if employee_id is not None:
-        cand = a.filter(F.col("emp_id") == F.lit(employee_id))
-        rest = a.filter(~(F.col("emp_id") == F.lit(employee_id)) | F.col("emp_id").isNull())
+        cand = attendance.filter(F.col("emp_id") == F.lit(employee_id))
+        rest = attendance.filter(~(F.col("emp_id") == F.lit(employee_id))
+                                 | F.col("emp_id").isNull())
     else:
-        cand, rest = a, None
-    kept = cand.join(lv, (cand.emp_id == lv._e) & cand.date.between(lv._s, lv._t),
-                     "left_anti")
+        cand, rest = attendance, None
+    kept = drop_points_in_ranges(cand, "emp_id", "date", lv, "emp_id", "start_date", "end_date")
     return kept if rest is None else rest.unionByName(kept)
 
 

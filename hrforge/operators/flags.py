@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hrforge.functions.dates import earlier_date, later_date, overlaps
 from hrforge.functions.text import ci, ci_eq, ci_in
 from hrforge.operators.ledger import COMPENSATION, UNPAID, blocking_leaves, on_leave_ids
+from hrforge.operators.ranges import overlapping_keys
 
 # ---------------------------------------------------------------- logins
 
@@ -49,14 +50,10 @@ def flag_on_leave_range(probes: DataFrame, ledger: DataFrame, key: list[str], em
                         from_col: str, to_col: str, flag: str = "is_on_leave",
                         statuses=("approved", "pending")) -> DataFrame:
     """``Is_On_Leave(emp, from, to)`` with a per-row range; ``key`` must identify
-    probe rows. Equi-join on the employee with the overlap as residual."""
-    lv = blocking_leaves(ledger, statuses).select(
-        F.col("emp_id").alias("_e"), F.col("start_date").alias("_s"),
-        F.col("end_date").alias("_t"))
-    p = probes.select(*key, F.col(emp_col).alias("_pe"), F.col(from_col).alias("_pf"),
-                      F.col(to_col).alias("_pt"))
-    cond = (p._pe == lv._e) & overlaps(p._pf, p._pt, lv._s, lv._t)
-    hits = p.join(lv, cond, "left_semi").select(*key).withColumn("_hit", F.lit(True))
+    probe rows. Joined on (employee, month) with the overlap as residual."""
+    hits = overlapping_keys(probes, key, emp_col, from_col, to_col,
+                            blocking_leaves(ledger, statuses), "emp_id", "start_date",
+                            "end_date", overlaps).withColumn("_hit", F.lit(True))
     return (probes.join(hits, key, "left")
             .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
@@ -72,14 +69,13 @@ def replacement_is_free(probes: DataFrame, replacements: DataFrame, key: list[st
     lies strictly inside the requested range is missed. ``corrected`` uses the
     range the caller meant.
     """
-    r = replacements.select(F.col("emp2_id").alias("_e"), F.col("from_date").alias("_f"),
-                            F.col("to_date").alias("_t"))
-    p = probes.select(*key, F.col(emp_col).alias("_pe"), F.col(start_col).alias("_ps"),
-                      F.col(end_col).alias("_pn"))
-    lo, hi = (p._pn, p._ps) if mode == "as_written" else (p._ps, p._pn)
-    busy = (r._f.between(lo, hi) | r._t.between(lo, hi)
-            | lo.between(r._f, r._t) | hi.between(r._f, r._t))
-    hits = p.join(r, (p._pe == r._e) & busy, "left_semi").select(*key).withColumn(
+    def busy(ps: Column, pn: Column, f: Column, t: Column) -> Column:
+        lo, hi = (pn, ps) if mode == "as_written" else (ps, pn)
+        return (f.between(lo, hi) | t.between(lo, hi)
+                | lo.between(f, t) | hi.between(f, t))
+
+    hits = overlapping_keys(probes, key, emp_col, start_col, end_col, replacements,
+                            "emp2_id", "from_date", "to_date", busy).withColumn(
         "_busy", F.lit(True))
     out = probes.join(hits, key, "left")
     free = F.col(emp_col).isNotNull() & F.col("_busy").isNull()

@@ -16,6 +16,7 @@ from hrforge.functions.money import cents, from_cents, hundredths, rounded_quoti
 from hrforge.functions.text import ci_eq
 from hrforge.operators.flags import part_time, ranked_roles
 from hrforge.operators.ledger import UNPAID
+from hrforge.operators.ranges import drop_points_in_ranges
 from hrforge.plans.ids import assign_ids, max_id
 from hrforge.plans.outputs import Outputs
 from hrforge.sources.schemas import SCHEMAS
@@ -90,10 +91,8 @@ def missing_day_deductions(attendance: DataFrame, employee: DataFrame, ledger: D
         charged = deduction.filter(F.col("attendance_id").isNotNull()).select(
             F.col("attendance_id").alias("_aid"))
         absent = absent.join(charged, absent.attendance_id == charged._aid, "left_anti")
-    u = unpaid.select(F.col("emp_id").alias("_ue"), F.col("start_date").alias("_us"),
-                      F.col("end_date").alias("_un"))
-    free = absent.join(u, (absent.emp_id == u._ue) & absent.date.between(u._us, u._un),
-                       "left_anti")
+    free = drop_points_in_ranges(absent, "emp_id", "date", unpaid, "emp_id", "start_date",
+                                 "end_date")
     emp = employee.select("employee_id", "salary")
     rows = free.join(emp, free.emp_id == emp.employee_id, "inner")
     amount = from_cents(rounded_quotient(cents(F.col("salary")), WORK_DAYS_PER_MONTH))
