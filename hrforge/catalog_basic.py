@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hrforge.catalog import AS_OF, register
 from hrforge.operators import ledger as L
 from hrforge.operators import tvf, views
+from hrforge.sources.schemas import HR_TABLES
 
 # ---------------------------------------------------------------- views
 
@@ -169,3 +170,30 @@ def _q(t):
     from hrforge.operators.quality import fill_defaults
     return fill_defaults(t.attendance, "attendance").select(
         "attendance_id", "emp_id", "date", "status")
+
+
+# ---------------------------------------------------------------- sources / sinks
+
+
+@register("load_tables", "\nunion all\n".join(
+    f"select '{n}' as table_name, count(*) as n_rows from {n}" for n in HR_TABLES))
+def _q(t):
+    """Write every HR table as a typed snapshot in the shared checkpoint folder,
+    read each back with the typed loader (holidays via ``load_holidays``) and
+    count its rows."""
+    import uuid
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+
+    from hrforge.session import checkpoint_dir
+    from hrforge.sources import io
+
+    root = f"{checkpoint_dir(t.spark).rstrip('/')}/snapshots-{uuid.uuid4().hex}"
+    for name in HR_TABLES:
+        io.write_snapshot(getattr(t, name), root, name, 0)
+    loaded = io.load_tables(t.spark, root, 0, [n for n in HR_TABLES if n != "holiday"])
+    loaded["holiday"] = io.load_holidays(t.spark, root, 0)
+    counts = [loaded[n].agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(n).alias("table_name"), "n_rows") for n in HR_TABLES]
+    return reduce(DataFrame.unionByName, counts)
