@@ -7,6 +7,9 @@ partitioned on the group key, sorted inside the partition (Spark's spillable
 sort), and walked batch by batch in ``mapInPandas`` with O(1) state per group.
 No group is ever collected into memory, so a hot employee costs time in one task
 but not memory. Only candidate rows (those passing every other check) are fed in.
+
+The one-unpaid-leave-per-year rule has a state with a tiny domain (a year), so
+it runs as a parallel prefix scan instead: see ``year_sequence_fold``.
 """
 
 from __future__ import annotations
@@ -15,8 +18,11 @@ from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hrforge.session import checkpoint_dir
+
 
 def balance_fold(df: DataFrame, key: str, order: str, need: str, balance: str,
                  strict: bool) -> DataFrame:
@@ -61,40 +67,138 @@ def balance_fold(df: DataFrame, key: str, order: str, need: str, balance: str,
             .mapInPandas(run, out_schema))
 
 
+def _year_step(m: int, ry, sy) -> tuple[bool, int]:
+    ok = not pd.isna(ry) and int(ry) > m
+    if ok and not pd.isna(sy):
+        m = max(m, int(sy))
+    return ok, m
+
+
+def _pieces(rys: list, sys_: list) -> list[tuple]:
+    """The segment's effect on an incoming M, as integer pieces
+    (lo, hi, identity, value); lo/hi None = unbounded. Inside a piece every
+    comparison with the segment's years comes out the same, so one
+    representative decides the whole piece."""
+    bps = sorted({int(v) for v in rys + sys_ if not pd.isna(v)})
+    if not bps:
+        return [(None, None, True, None)]
+    spans = [(None, bps[0] - 1)]
+    for i, b in enumerate(bps):
+        spans.append((b, b))
+        nxt = bps[i + 1] if i + 1 < len(bps) else None
+        if nxt is None:
+            spans.append((b + 1, None))
+        elif nxt > b + 1:
+            spans.append((b + 1, nxt - 1))
+    out = []
+    for lo, hi in spans:
+        rep = lo if lo is not None else hi
+        m = rep
+        for ry, sy in zip(rys, sys_):
+            m = _year_step(m, ry, sy)[1]
+        out.append((lo, hi, m == rep, None if m == rep else m))
+    return out
+
+
+def _apply_pieces(pieces: list[tuple], m: int) -> int:
+    for lo, hi, ident, val in pieces:
+        if (lo is None or m >= lo) and (hi is None or m <= hi):
+            return m if ident else val
+    return m
+
+
 def year_sequence_fold(df: DataFrame, order: str, req_year: str, start_year: str,
                        key: str | None = None) -> DataFrame:
-    """One-approved-unpaid-leave-per-year rule.
+    """One-approved-unpaid-leave-per-year rule, as an exact parallel scan.
 
-    In request order: approve when ``req_year > M``; after an approval
-    ``M = max(M, start_year)``. ``M`` starts at the ``_m0`` column (latest approved
-    start year, -1 when none). With ``key=None`` the sequence is global, as written
-    in the reference (one task walks the pre-filtered candidates); with a key it
-    restarts per employee (the corrected rule).
+    In ``order`` (within ``key`` if given): approve when ``req_year > M``; after
+    an approval ``M = max(M, start_year)``; ``M`` starts at the ``_m0`` column
+    (latest approved start year, -1 when none). ``key=None`` is one global
+    sequence (the rule as written); a key restarts it per employee.
+
+    M only ever takes year values, so a run of rows acts on M as a handful of
+    pieces. Rows are range-partitioned on (key, order) -- a hot key spreads over
+    several partitions -- and frozen with a checkpoint. Pass 1 summarises only the
+    first and last segment of each partition (the only ones that can continue
+    across a boundary: at most two per partition). A tiny combine gives each
+    continued segment its incoming M; that table (bounded by the partition count)
+    is broadcast, and pass 2 folds every segment in parallel.
     """
-    out_schema = T.StructType(df.schema.fields + [
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    k = key or "_all"
+    d = df if key else df.withColumn("_all", F.lit(0))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frozen = (d.repartitionByRange(n, k, order).sortWithinPartitions(k, order)
+              .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
+    key_type = frozen.schema[k].dataType
+
+    summary_schema = T.StructType([
+        T.StructField("_pid", T.IntegerType()), T.StructField(k, key_type),
+        T.StructField("_m0", T.LongType()), T.StructField("_lo", T.LongType()),
+        T.StructField("_hi", T.LongType()), T.StructField("_ident", T.BooleanType()),
+        T.StructField("_val", T.LongType())])
+
+    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        segs: list[list] = []  # [pid, key, m0, rys, sys]
+        for pdf in batches:
+            for pid, kv, m0, ry, sy in zip(pdf["_pid"], pdf[k], pdf["_m0"], pdf[req_year],
+                                           pdf[start_year]):
+                if not segs or segs[-1][0] != pid or segs[-1][1] != kv:
+                    if len(segs) == 2:  # keep only the first and the running last
+                        segs.pop()
+                    segs.append([pid, kv, m0, [], []])
+                segs[-1][3].append(ry)
+                segs[-1][4].append(sy)
+        rows = []
+        for pid, kv, m0, rys, sys_ in segs:
+            for lo, hi, ident, val in _pieces(rys, sys_):
+                rows.append((pid, kv, int(m0), lo, hi, ident, val))
+        yield pd.DataFrame(rows, columns=[f.name for f in summary_schema.fields])
+
+    carry_schema = T.StructType([
+        T.StructField("_pid", T.IntegerType()), T.StructField(k, key_type),
+        T.StructField("_min", T.LongType())])
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        m = None
+        for pid, seg in pdf.sort_values("_pid").groupby("_pid", sort=True):
+            if m is None:
+                m = int(seg["_m0"].iloc[0])   # the key starts in this segment
+            else:
+                out.append((int(pid), seg[k].iloc[0], m))
+            pieces = [(None if pd.isna(lo) else int(lo), None if pd.isna(hi) else int(hi),
+                       bool(ident), None if pd.isna(val) else int(val))
+                      for lo, hi, ident, val in zip(seg["_lo"], seg["_hi"], seg["_ident"],
+                                                    seg["_val"])]
+            m = _apply_pieces(pieces, m)
+        return pd.DataFrame(out, columns=["_pid", k, "_min"])
+
+    summaries = frozen.select("_pid", k, "_m0", req_year, start_year).mapInPandas(
+        summarize, summary_schema)
+    carry = summaries.groupBy(k).applyInPandas(combine, carry_schema)
+    # carry has at most two rows per partition: a proven bound for the broadcast
+    with_carry = frozen.join(F.broadcast(carry), ["_pid", k], "left").sortWithinPartitions(
+        "_pid", k, order)
+    out_schema = T.StructType(with_carry.schema.fields + [
         T.StructField("approved", T.BooleanType(), False)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_key = object()
-        m = None
+        cur = None
+        m = 0
         for pdf in batches:
             approved = []
-            ks = pdf[key].tolist() if key else [None] * len(pdf)
-            for k, m0, ry, sy in zip(ks, pdf["_m0"].tolist(), pdf[req_year].tolist(),
-                                     pdf[start_year].tolist()):
-                if m is None or (key and k != cur_key):
-                    cur_key = k
-                    m = int(m0)
-                ok = not pd.isna(ry) and int(ry) > m
-                if ok and not pd.isna(sy):
-                    m = max(m, int(sy))
+            for pid, kv, m0, mi, ry, sy in zip(pdf["_pid"], pdf[k], pdf["_m0"], pdf["_min"],
+                                               pdf[req_year], pdf[start_year]):
+                if cur != (pid, kv):
+                    cur = (pid, kv)
+                    m = int(m0) if pd.isna(mi) else int(mi)
+                ok, m = _year_step(m, ry, sy)
                 approved.append(ok)
             res = pdf.copy()
             res["approved"] = approved
             yield res
 
-    if key:
-        laid = df.repartition(key).sortWithinPartitions(key, order)
-    else:
-        laid = df.repartition(1).sortWithinPartitions(order)
-    return laid.mapInPandas(run, out_schema)
+    out = with_carry.mapInPandas(run, out_schema).drop("_pid", "_min")
+    return out if key else out.drop("_all")
