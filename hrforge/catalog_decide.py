@@ -361,3 +361,41 @@ from {EVAL_BATCH} x where rating between 1 and 5 or rating is null
 register("append_evaluations_rejects", f"""
 select seq, employee_id, rating, comment, semester from {EVAL_BATCH} x where not (rating between 1 and 5)
 """)(lambda t: D.append_evaluations(t.performance, evaluation_batch(t))[1])
+
+
+# ---------------------------------------------------------------- decision snapshots
+
+
+def _annual_snapshots(t):
+    dec = _annual_frames(t, "corrected")["decisions"]
+    return {
+        "leave": D.apply_leave_status(t.leave, dec),
+        "approvals": D.apply_approval_updates(t.employee_approve_leave,
+                                              D.approval_updates_from(dec)),
+        "employee": D.apply_balances(t.employee, dec, "annual_balance"),
+    }
+
+
+_SNAP_CTES = _annual_ctes("corrected") + [("dd", DECISIONS_BAL)]
+
+register("hr_decide_annual_corrected_leave", """
+select l.request_id, l.date_of_request, l.start_date, l.end_date, l.num_days,
+       coalesce(u.st, l.final_approval_status) as final_approval_status
+from leave l left join (select request_id, arg_max(final_approval_status, seq) as st
+                        from dd group by 1) u on u.request_id = l.request_id
+""", _SNAP_CTES, recursive=True)(lambda t: _annual_snapshots(t)["leave"])
+
+register("hr_decide_annual_corrected_approvals", """
+select ap.emp1_id, ap.leave_id, coalesce(u.st, ap.status) as status
+from employee_approve_leave ap
+left join (select hr_id, request_id, arg_max(final_approval_status, seq) as st
+           from dd group by 1, 2) u on u.hr_id = ap.emp1_id and u.request_id = ap.leave_id
+""", _SNAP_CTES, recursive=True)(lambda t: _annual_snapshots(t)["approvals"])
+
+register("hr_decide_annual_corrected_balances", """
+select e.* replace (case when u.emp_id is not null then u.bal else e.annual_balance end
+                    as annual_balance)
+from employee e
+left join (select emp_id, arg_max(balance_after, request_id) as bal from dd
+           where final_approval_status = 'approved' group by 1) u on u.emp_id = e.employee_id
+""", _SNAP_CTES, recursive=True)(lambda t: _annual_snapshots(t)["employee"])
