@@ -7,8 +7,9 @@ assigned without a global window (which would pull every row into one task):
 1. freeze the new rows with a reliable checkpoint in the shared checkpoint
    folder: the upstream plan runs once, and a lost executor cannot change them;
 2. range-partition the frozen rows on the order key (the sampling pass reads the
-   checkpoint, not the upstream plan) and sort inside partitions -- a
-   deterministic layout, since both the input and the sampler are fixed;
+   checkpoint, not the upstream plan), sort inside partitions, number rows, and
+   freeze that layout too -- the range sampler is seeded per execution, so the
+   counts below and the positions must come from one materialised layout;
 3. count rows per partition (one tiny row per partition), turn the counts into
    running offsets, and broadcast that table (its size is the partition count);
 4. id = base + partition offset + position inside the partition + 1.
@@ -41,7 +42,7 @@ def assign_ids(df: DataFrame, order_cols: list[str], id_col: str, base: Column |
     frozen = df.checkpoint(eager=True)
     laid_out = (frozen.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
-                .withColumn("_mid", F.monotonically_increasing_id()))
+                .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
     part = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     counts = laid_out.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))

@@ -36,10 +36,17 @@ def test_no_nested_loop_join_or_row_udf(stored, key):
 
 
 def test_assign_ids_dense_in_order_across_partitions(spark):
-    df = spark.range(0, 1000, 1, 7).select((F.col("id") * 7 % 1000).alias("k"))
-    out = assign_ids(df, ["k"], "rid", 41, num_partitions=5).collect()
-    got = sorted((r.k, r.rid) for r in out)
-    assert [rid for _, rid in got] == list(range(42, 1042))
+    # large enough that the range partitioner samples (and re-sampling would differ)
+    n = 300_000
+    df = spark.range(0, n, 1, 7).select((F.col("id") * 7919 % n).alias("k"),
+                                        (F.col("id") % 3).alias("g"))
+    out = assign_ids(df, ["k"], "rid", 41, num_partitions=5)
+    bad = out.filter(F.col("rid") != F.col("k") + 42).count()
+    assert bad == 0 and out.count() == n
+    # a filter pushed below the layout must not change the ids (it did when the
+    # layout was re-sampled per execution instead of being frozen)
+    part = out.filter("g = 0")
+    assert part.filter(F.col("rid") != F.col("k") + 42).count() == 0
 
 
 def test_snapshot_roundtrip_and_no_overwrite(spark):
