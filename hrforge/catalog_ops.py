@@ -449,19 +449,27 @@ def _q(t):
     return quality.check_violations(_tables(t, sorted({tb for _, tb, _, _ in CHECKS_SQL})))
 
 
-GUARD_BAD = (f"select * from role where role_name ilike 'HR_Representative_%' and "
+def role_batch(t):
+    """Stand-in batch of new roles: the role record of every employee-role row."""
+    er = t.employee_role.select(F.col("role_name").alias("_rn"))
+    role = t.role
+    return er.join(role, er._rn == role.role_name, "inner").drop("_rn")
+
+
+ROLE_BATCH = "(select r.* from employee_role er join role r on er.role_name = r.role_name)"
+GUARD_BAD = (f"select * from {ROLE_BATCH} b where role_name ilike 'HR_Representative_%' and "
              f"{ci('substring(role_name, 19, length(rtrim(role_name)) - 18)')} not in "
              f"(select {ci('name')} from department)")
 
 
-@register("hr_role_set_guard", f"select * from role where not exists ({GUARD_BAD})")
+@register("hr_role_set_guard", f"select * from {ROLE_BATCH} b where not exists ({GUARD_BAD})")
 def _q(t):
-    return quality.hr_role_set_guard(t.role, t.department)[0]
+    return quality.hr_role_set_guard(role_batch(t), t.department)[0]
 
 
 @register("hr_role_set_guard_rejects", GUARD_BAD)
 def _q(t):
-    return quality.hr_role_set_guard(t.role, t.department)[1]
+    return quality.hr_role_set_guard(role_batch(t), t.department)[1]
 
 
 # ---------------------------------------------------------------- admin

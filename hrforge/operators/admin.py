@@ -86,7 +86,11 @@ def upsert_attendance(attendance: DataFrame, checkins: DataFrame, as_of) -> Data
     ``checkins``: emp_id, check_in_time, check_out_time, seq; the latest seq per
     employee wins. Only as_of's rows meet the batch in a join.
     """
-    return upsert_attendance_days(attendance, checkins.withColumn("date", as_date(as_of)))
+    day = as_date(as_of)
+    others = attendance.filter(~(F.col("date") == day) | F.col("date").isNull())
+    todays = attendance.filter(F.col("date") == day)
+    return _upsert(others, todays, checkins.withColumn("date", day),
+                   max_id(attendance, "attendance_id"))
 
 
 def upsert_attendance_days(attendance: DataFrame, checkins: DataFrame) -> DataFrame:
@@ -98,13 +102,17 @@ def upsert_attendance_days(attendance: DataFrame, checkins: DataFrame) -> DataFr
     through untouched. The list of touched dates is at most one row per calendar
     day, so it is broadcast.
     """
+    days = F.broadcast(checkins.select(F.col("date").alias("_day")).distinct())
+    others = attendance.join(days, attendance.date == days._day, "left_anti")
+    todays = attendance.join(days, attendance.date == days._day, "left_semi")
+    return _upsert(others, todays, checkins, max_id(attendance, "attendance_id"))
+
+
+def _upsert(others: DataFrame, todays: DataFrame, checkins: DataFrame, base) -> DataFrame:
     latest = (checkins.groupBy("emp_id", "date")
               .agg(F.max(F.struct("seq", "check_in_time", "check_out_time")).alias("_c"))
               .select("emp_id", "date", F.col("_c.check_in_time").alias("_in"),
                       F.col("_c.check_out_time").alias("_out"), F.lit(True).alias("_hit")))
-    days = F.broadcast(checkins.select(F.col("date").alias("_day")).distinct())
-    others = attendance.join(days, attendance.date == days._day, "left_anti")
-    todays = attendance.join(days, attendance.date == days._day, "left_semi")
     hit = F.col("_hit").isNotNull()
     updated = (todays.join(latest, ["emp_id", "date"], "left")
                .withColumn("status", F.when(hit, F.lit("attended")).otherwise(F.col("status")))
@@ -121,8 +129,7 @@ def upsert_attendance_days(attendance: DataFrame, checkins: DataFrame) -> DataFr
                        F.lit("attended").alias("status")))
     inserts = inserts.withColumn(
         "total_duration", duration_minutes(F.col("check_in_time"), F.col("check_out_time")))
-    inserts = assign_ids(inserts, ["date", "emp_id"], "attendance_id",
-                         max_id(attendance, "attendance_id"))
+    inserts = assign_ids(inserts, ["date", "emp_id"], "attendance_id", base)
     cols = _cols("attendance")
     return others.select(*cols).unionByName(updated.select(*cols)).unionByName(
         inserts.select(*cols))

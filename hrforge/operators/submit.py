@@ -81,8 +81,16 @@ class Directory:
         return er.select(agg).scalar()
 
     def is_on_leave(self, emp: Column) -> Column:
+        """Per-row test (``emp`` is a column of the probe rows): an existence
+        join keyed on the employee id."""
         return emp.isin(self.on_leave.select("emp_id"))
 
+    def scalar_on_leave(self, emp: Column) -> Column:
+        """The same test for one scalar employee id: a scalar subquery filtered by
+        that id, so the on-leave set is never broadcast as a whole."""
+        return self.on_leave.filter(F.col("emp_id") == emp).select(
+            F.count(F.lit(1)) > 0).scalar()
+
     def hr_manager(self, via_department: bool = True, available: bool = True) -> Column:
         er = self.roles_in_some_department() if via_department else self.employee_role
         er = er.filter(ci_eq("role_name", "HR Manager"))
@@ -263,7 +271,7 @@ def route_compensation(requests: DataFrame, d: Directory) -> DataFrame:
     r = _join_dept(r, d.hr_reps(available=False))
     hr_mgr = d.hr_manager(available=False)
     is_hr = F.col("_dkey") == F.lit("hr")
-    reason = (F.when(is_hr & (hr_mgr.isNull() | d.is_on_leave(hr_mgr)),
+    reason = (F.when(is_hr & (hr_mgr.isNull() | d.scalar_on_leave(hr_mgr)),
                      F.lit(MSG_COMP_NO_HR_MANAGER))
               .when(is_hr, F.lit(None))
               .when(F.col("hr_rep").isNull() | d.is_on_leave(F.col("hr_rep")),
