@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
@@ -15,7 +14,6 @@ from hrforge.operators import ledger as L
 from hrforge.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS
 
 M0, M1 = month_start(AS_OF), month_end(AS_OF)
-NEXT_M0 = M1 + dt.timedelta(days=1)
 
 # ---------------------------------------------------------------- logins
 

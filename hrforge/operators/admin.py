@@ -14,7 +14,6 @@ from hrforge.functions.dates import as_date, duration_minutes, in_month, weekday
 from hrforge.functions.money import cents, from_cents, hundredths, rounded_quotient
 from hrforge.functions.text import ci, ci_eq
 from hrforge.operators.flags import flag_on_leave_today, ranked_roles
-from hrforge.operators.ledger import blocking_leaves
 from hrforge.operators.quality import fill_defaults
 from hrforge.operators.ranges import drop_points_in_ranges
 from hrforge.operators.setops import not_in

@@ -13,10 +13,6 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
-def count_exchanges(df: DataFrame) -> int:
-    """Number of shuffle exchanges in the planned query (before AQE re-planning)."""
-    text = plan_text(df)
-    return text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning")
 
 
 def unbounded_nested_loops(text: str) -> list[str]:

@@ -1,7 +1,6 @@
 """Plan-shape checks, id assignment and snapshot storage."""
 
 import datetime as dt
-import os
 import tempfile
 
 import pytest

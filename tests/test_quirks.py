@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from hrforge.functions.dates import duration_minutes, earlier_date, later_date, prev_month_start

@@ -3,8 +3,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from hrforge.functions.dates import overlaps
 from hrforge.operators.ranges import drop_points_in_ranges, overlapping_keys
 

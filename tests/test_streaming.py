@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 import tempfile
 
 from hrforge.sources.io import load_table, write_snapshot
