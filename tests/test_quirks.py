@@ -244,3 +244,13 @@ def test_unpaid_submission_without_approvers(spark):
     c = submit.submit_unpaid(req, *args, mode="corrected")
     assert c["leaves"].count() == 0
     assert {r.seq: r.reason for r in c["rejections"].collect()} == {1: submit.MSG_UNPAID_NO_APPROVERS, 2: None}
+
+
+def test_append_holidays_continues_ids_in_batch_order(spark):
+    hol = mk(spark, "holiday", [{"holiday_id": 5, "holiday_name": "Winter break",
+                                 "from_date": D(2024, 1, 1), "to_date": D(2024, 1, 2)}])
+    batch = spark.createDataFrame([("Spring day", D(2024, 3, 21), D(2024, 3, 21), 2),
+                                   ("Founders day", D(2024, 1, 25), D(2024, 1, 25), 1)],
+                                  "holiday_name string, from_date date, to_date date, seq long")
+    got = sorted((r.holiday_id, r.holiday_name) for r in admin.append_holidays(hol, batch).collect())
+    assert got == [(5, "Winter break"), (6, "Founders day"), (7, "Spring day")]
