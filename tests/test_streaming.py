@@ -23,3 +23,22 @@ def test_checkin_stream_publishes_versions(spark):
     assert out[1].attendance_id == 7 and out[1].status == "attended"
     assert out[1].total_duration == 510
     assert out[2].attendance_id == 8 and out[2].total_duration == 480   # latest seq wins
+
+
+def test_checkin_stream_resumes_after_restart(spark):
+    base = tempfile.mkdtemp(prefix="hrforge-stream-", dir="/tmp")
+    root, src, ckpt = f"{base}/tables", f"{base}/src", f"{base}/ckpt"
+    d = dt.date(2024, 1, 30)
+    write_snapshot(spark.createDataFrame([], SCHEMAS["attendance"]), root, "attendance", 0)
+    first = [(1, d, dt.datetime(2024, 1, 30, 9, 0), dt.datetime(2024, 1, 30, 17, 0), 1)]
+    spark.createDataFrame(first, CHECKIN_SCHEMA).write.parquet(f"{src}/part1")
+    start_checkin_stream(spark, f"{src}/*", root, 0, ckpt).awaitTermination(120)
+    # restart on the same query checkpoint with one more file: only it is processed
+    second = [(2, d, dt.datetime(2024, 1, 30, 10, 0), dt.datetime(2024, 1, 30, 11, 0), 2)]
+    spark.createDataFrame(second, CHECKIN_SCHEMA).write.parquet(f"{src}/part2")
+    start_checkin_stream(spark, f"{src}/*", root, 0, ckpt).awaitTermination(120)
+    v1 = {r.emp_id: r.attendance_id for r in load_table(spark, root, "attendance", 1).collect()}
+    v2 = {r.emp_id: (r.attendance_id, r.total_duration)
+          for r in load_table(spark, root, "attendance", 2).collect()}
+    assert v1 == {1: 1}
+    assert v2 == {1: (1, 480), 2: (2, 60)}
