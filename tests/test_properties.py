@@ -46,3 +46,13 @@ def test_corrected_balances_never_negative(spark):
     t = Tables(spark, SF)
     d = BUILDERS["hr_decide_annual_corrected"](t)
     assert d.filter(F.col("balance_after") < 0).count() == 0
+
+
+def test_outputs_are_built_only_when_asked(spark):
+    from hrforge.catalog_flow import _frames
+    t = Tables(spark, SF)
+    out = _frames("annual", t)
+    out["rejections"]
+    assert not dict.__contains__(out, "accepted")     # no id assignment was run
+    out["approvals"]
+    assert dict.__contains__(out, "accepted")
