@@ -32,7 +32,7 @@ MORE = ["n_lines", "n_upper", "n_digits", "n_adjacent"]
 WINDOW = 5
 #: Rows the forest is drawn from, trees, rows of a tree.
 SAMPLE, TREES, TREE_ROWS = 20_000, 128, 256
-LOSS = 0.01
+LOSS = 0.02
 LEVELS = 1000
 #: Usual bounds of the rule statistics, in the order of ``features``.
 BOUNDS = (0.1, 0.3, 0.1, 0.1, 0.3, 0.3, 10.0, -3.0)
