@@ -8,15 +8,16 @@ lower-cased; fewer words: the whole sequence; no words: empty). Two documents li
 Under any global order of the tokens, two sets with that overlap share a token within
 their first ``n - least overlap + 1`` tokens. Several orders are used:
 
-* order 1 puts frequent tokens last (by their count; tokens that only one or a few
-  classes hold come first), so a prefix mostly holds tokens without any partner. It makes
-  the candidates: a broadcast count-min bit map drops prefix tokens that occur once, the
-  remaining postings are grouped by token;
+* order 0 puts tokens first that one class alone seems to hold: a count-min sketch of all
+  tokens, as a broadcast bit map, tells which may be held by more. So a prefix of a
+  document without near copies holds no token that anybody shares, even if passages of it
+  are found elsewhere. Prefix tokens that may be shared are grouped by token: that makes
+  the candidates;
 * every other order (a different hash of the tokens) must also give a common prefix
   token. Pairs that fail one of them are dropped before the sets are intersected.
 
 No pairs are emitted within a group of copies. In each posting list the class with the
-fewest rare tokens is the hub (it lies nearest to what the others share). First every
+fewest tokens of its own is the hub (it lies nearest to what the others share). First every
 class is compared with its hubs; the links give components. Then, where a list still has
 several components, classes outside the hub's component are compared with all others of
 other components. So each pair of linked classes is either compared or already joined by
@@ -30,35 +31,22 @@ are not read.
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hrforge.llm.common import U64, arrow_batches, digest, grams, mix64, share, slice_bits, table, words
+from hrforge.llm.common import U64, arrow_batches, digest, grams, keep_rows, mix64, share, table, words
 from hrforge.llm.components import components
-from hrforge.llm.sketch import frequent, gather, lookup, repeated, slice_total, totals, width
+from hrforge.llm.sketch import Bits, repeated, width
 
 SHINGLE = 5
 PERCENT = 80
 #: Orders whose prefixes candidates must share; the first also makes the candidates.
 ORDERS = 3
-#: A token is frequent from this count on, or from 1 / FREQUENT of all tokens.
-OFTEN, FREQUENT = 24, 1 << 20
-#: One token in SAMPLED is counted to find regions of frequent tokens; how far they reach.
-SAMPLED, REGION = 16, 64
 _MIX = (0, 0xA4093822299F31D0, 0x082EFA98EC4E6C89, 0x3F84D5B5B5470917)
 
 
-class Frequent(NamedTuple):
-    """Frequent tokens (sorted) and their counts."""
-
-    tokens: np.ndarray
-    counts: np.ndarray
-
-
 def shingles(h: np.ndarray, n: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingles of a document's word hashes."""
     if not len(h):
@@ -79,97 +67,57 @@ def prefix_size(n: int) -> int:
     return n - -(-n * PERCENT // 100) + 1
 
 
-def ordered(tokens: np.ndarray, known: Frequent, order: int) -> tuple[np.ndarray, int]:
-    """Tokens in a global order, frequent ones last, and how many are not frequent."""
-    count = lookup(known.tokens, known.counts, tokens)
-    rare = tokens[count == 0]
-    often, count = tokens[count > 0], count[count > 0]
-    if order:
-        rare = rare[np.argsort(mix64(rare ^ U64(_MIX[order])))]
-        often = often[np.lexsort((mix64(often ^ U64(_MIX[order])), count))]
-    else:
-        often = often[np.lexsort((often, count))]
-    return np.concatenate([rare, often]), len(rare)
+def first_order(tokens: np.ndarray, shared: Bits) -> tuple[np.ndarray, int]:
+    """Sorted tokens in order 0, and how many come first as held by one class alone."""
+    may = shared.hit(tokens)
+    alone = tokens[~may]
+    return np.concatenate([alone, tokens[may]]), len(alone)
 
 
-def classes(batch: pa.RecordBatch, column: int = 1):
-    """(row, digest, sorted shingles) of every row of a batch."""
-    w = words(batch.column(column), lower=True)
-    for i, (a, b) in enumerate(zip(w.rows, w.rows[1:])):
-        yield i, digest(w.hashes[a:b]), w.hashes[a:b]
-
-
-def frequent_tokens(docs: DataFrame) -> Frequent:
-    """Tokens that many documents hold. A sample of the token space, counted exactly,
-    shows where they are; there all tokens are counted. This only shapes order 1."""
-    bits = slice_bits(docs)
-
-    def sampled(batch):
-        for _, _, h in classes(batch):
-            t = shingles(h)
-            yield t[t & U64(SAMPLED - 1) == 0]
-
-    some = totals(gather(docs, sampled, bits), OFTEN, "token-sample")
-    total = slice_total(some)
-    if not total:
-        return Frequent(np.empty(0, U64), np.empty(0, np.int64))
-    least = max(OFTEN, total * SAMPLED // FREQUENT)
-    shown = share(docs, frequent(some, least)[0])
-
-    def near(batch):
-        for _, _, h in classes(batch):
-            if len(h) < SHINGLE:
-                t = shingles(h)
-                yield t[lookup(shown.value, np.ones(len(shown.value)), t) > 0]
-                continue
-            g = grams(h, SHINGLE)
-            hot = np.flatnonzero(lookup(shown.value, np.ones(len(shown.value)), g) > 0)
-            if len(hot):
-                edge = np.zeros(len(g) + 1, np.int32)
-                np.add.at(edge, np.maximum(hot - REGION, 0), 1)
-                np.add.at(edge, np.minimum(hot + REGION + 1, len(g)), -1)
-                yield np.unique(g[np.cumsum(edge[:-1]) > 0])
+def hash_order(tokens: np.ndarray, order: int) -> np.ndarray:
+    return tokens[np.argsort(mix64(tokens ^ U64(_MIX[order])))]
+
 
-    counted = totals(gather(docs, near, bits), least, "tokens")
-    return Frequent(*frequent(counted, least))
+def classes(batch: pa.RecordBatch, column: int = 1):
+    """(digest, word hashes) of every row of a batch."""
+    for i in range(0, batch.num_rows, 64):
+        w = words(batch.column(column).slice(i, 64), lower=True)
+        for a, b in zip(w.rows, w.rows[1:]):
+            yield digest(w.hashes[a:b]), w.hashes[a:b]
 
 
-POSTING = ("kind int, doc_id long, class binary, size int, token long, place int, rare int")
-_NAMES = ["kind", "doc_id", "class", "size", "token", "place", "rare"]
+POSTING = ("kind int, doc_id long, class binary, size int, token long, place int, alone int")
+_NAMES = ["kind", "doc_id", "class", "size", "token", "place", "alone"]
 
 
-def postings(docs: DataFrame, known: Frequent) -> DataFrame:
+def postings(docs: DataFrame) -> DataFrame:
     """One row per document (kind 0), and one per prefix token that may have a partner
     (kind 1; once for equal documents of a batch)."""
-    shared = share(docs, known)
-
-    def prefixes(batch):
+    def tokens(batch):
         seen = set()
-        for _, d, h in classes(batch):
+        for d, h in classes(batch):
             if d not in seen:
                 seen.add(d)
-                t, _ = ordered(shingles(h), shared.value, 0)
-                yield t[:prefix_size(len(t))]
+                yield shingles(h)
 
-    maybe = share(docs, repeated(docs, prefixes, width(docs, 0.45)))
+    maybe = share(docs, repeated(docs, tokens, width(docs, 1.0)))
 
     def run(batches):
         for batch in batches:
             seen = set()
             doc_class, doc_size, cols = [], [], [[] for _ in range(5)]
-            for _, d, h in classes(batch):
+            for d, h in classes(batch):
                 t = shingles(h)
                 doc_class.append(d)
                 doc_size.append(len(t))
                 if d in seen or not len(t):
                     continue
                 seen.add(d)
-                t, rare = ordered(t, shared.value, 0)
-                part = t[:prefix_size(len(t))]
-                at = np.flatnonzero(maybe.value.hit(part))
+                t, alone = first_order(t, maybe.value)
+                at = np.arange(alone, prefix_size(len(t)))
                 if len(at):
-                    for c, x in zip(cols, ([d] * len(at), np.full(len(at), len(t), np.int32), part[at].view(np.int64),
-                                           at.astype(np.int32), np.full(len(at), rare, np.int32))):
+                    for c, x in zip(cols, ([d] * len(at), np.full(len(at), len(t), np.int32), t[at].view(np.int64),
+                                           at.astype(np.int32), np.full(len(at), alone, np.int32))):
                         c.append(x)
             m = len(doc_class)
             yield pa.RecordBatch.from_arrays(
@@ -195,7 +143,8 @@ def fits(a: str, b: str, places: bool = True) -> Column:
 
 
 def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingle sets of the classes in ``wanted.class``, once each."""
+    """Shingle sets of the classes in ``wanted.class``, once each. A bit map of the wanted
+    classes keeps the others' sets from being sent."""
     def keys(batch):
         yield np.array([int.from_bytes(c[:8], "little") for c in batch.column(0).to_pylist()], U64)
 
@@ -207,7 +156,7 @@ def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             if len(seen) > 200_000:
                 seen.clear()
             out = []
-            for _, d, h in classes(batch):
+            for d, h in classes(batch):
                 if d not in seen and near.value.hit(np.array([int.from_bytes(d[:8], "little")], U64))[0]:
                     seen.add(d)
                     out.append((d, shingles(h).view(np.int64)))
@@ -218,9 +167,8 @@ def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return table(found.groupBy("class").agg(F.first("tokens").alias("tokens")), "shingle-sets")
 
 
-def verified(pairs: DataFrame, members: DataFrame, known: Frequent) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (a, b) that pass the other orders' filters and then link."""
-    shared = share(members, known)
 
     def run(batches):
         for batch in batches:
@@ -228,24 +176,25 @@ def verified(pairs: DataFrame, members: DataFrame, known: Frequent) -> DataFrame
             ok = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
                 x, y = (c[i].values.to_numpy(zero_copy_only=False).view(U64) for c in (a, b))
-                ok[i] = linked(x, y, shared.value)
+                ok[i] = linked(x, y)
             got = batch.filter(pa.array(ok))
             yield pa.RecordBatch.from_arrays([got.column("a"), got.column("b")], ["a", "b"])
 
+    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    members = sets(docs, wanted)
     left = members.select(F.col("class").alias("a"), F.col("tokens").alias("tokens_a"))
     right = members.select(F.col("class").alias("b"), F.col("tokens").alias("tokens_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b")
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def linked(x: np.ndarray, y: np.ndarray, known: Frequent) -> bool:
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
     """Filters of the further orders one after another, then the exact test."""
     need = least_overlap(len(x), len(y))
     if need > min(len(x), len(y)):
         return False
     for order in range(1, ORDERS):
-        p = ordered(x, known, order)[0][:len(x) - need + 1]
-        q = ordered(y, known, order)[0][:len(y) - need + 1]
+        p, q = (hash_order(t, order)[:len(t) - need + 1] for t in (x, y))
         if not np.isin(p, q, assume_unique=True).any():
             return False
     both = len(np.intersect1d(x, y, assume_unique=True))
@@ -256,12 +205,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row."""
     arrow_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = frequent_tokens(source)
-    every = table(postings(source, known), "postings")
-    posting = every.filter("kind = 1").select("class", "size", "token", "place", "rare")
+    every = table(postings(source), "postings")
+    posting = every.filter("kind = 1").select("class", "size", "token", "place", "alone")
 
     # hub of every list that holds two classes or more
-    key = F.struct((F.col("rare") / F.col("size")).alias("share"), "size", "class", "place")
+    key = F.struct((F.col("alone") / F.col("size")).alias("share"), "size", "class", "place")
     lists = posting.groupBy("token").agg(F.min(key).alias("hub"), F.min("class").alias("low"), F.max("class").alias("high")).filter(
         "low != high").select("token", "hub")
     listed = table(posting.join(lists, "token").select(
@@ -272,8 +220,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hub = F.struct(F.col("hub_size").alias("size"), F.col("hub_place").alias("place"))
     starred = listed.filter("class != hub").withColumn("x", member).withColumn("y", hub).filter(fits("x", "y"))
     first = table(starred.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct(), "hub-pairs")
-    members = sets(source, listed.select("class").distinct())
-    links = table(verified(first, members, known), "hub-links")
+    links = table(verified(source, first), "hub-links")
     label = components(links)
 
     # lists that still hold several components: classes outside the hub's one meet the others
@@ -289,7 +236,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     second = out.join(rest, (F.col("x.token") == F.col("y.token")) & meets).select(
         F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct().join(
         first, ["a", "b"], "left_anti")
-    more = verified(table(second, "other-pairs"), members, known)
+    more = verified(source, table(second, "other-pairs"))
     label = components(table(links.unionByName(more), "links"))
 
     rows = every.filter("kind = 0").select("doc_id", "class", F.col("size").cast("long").alias("n_shingles"))
@@ -303,6 +250,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest doc_id; rows without
     a doc_id stay, as do all columns."""
-    from hrforge.llm.common import keep_rows
     gone = near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
     return keep_rows(docs, gone, drop=True)

@@ -7,7 +7,7 @@ merges one slice in numpy. Two products:
 
 ``totals``   exact sums per 64-bit key, kept packed by slice;
 ``repeated`` a count-min row: cells of a 2**bits table whose merged count is 2 or
-             more, as a bit map of fixed size (at most 2**30 bits) for a broadcast.
+             more, as a bit map of fixed size (at most 2**29 bits) for a broadcast.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from hrforge.llm.common import U64, mix64, plan_bytes, power_of_two, slice_bits,
 #: Hashes a map task holds before it emits them.
 BUFFER = 1 << 20
 PACKED = "slice int, keys binary, counts binary"
-#: Largest bit map that is broadcast: 128 MB.
-MAX_BITS = 30
+#: Largest bit map that is broadcast: 64 MB a row.
+MAX_BITS = 29
 
 
 def packed_rows(schema: list[str], slices: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch | None:

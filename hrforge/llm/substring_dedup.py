@@ -7,7 +7,7 @@ window that covers it also starts anywhere else, in the same document or another
    hash within the window, at the same place. Every document adds its distinct anchor
    places to a count-min sketch. Partition sketches are merged by Spark; an anchor's
    merged count is at least the count of any window with that anchor, so a window whose
-   anchor is estimated once starts nowhere else. A bit map of fixed size (at most 128 MB
+   anchor is estimated once starts nowhere else. A bit map of fixed size (at most 64 MB
    a row) holds the cells of count 2 and more and is broadcast.
 2. Windows estimated repeated are grouped exactly, by a 128-bit hash of their words, in
    hash partitions; equal windows of one map buffer travel as one entry, so a hot window
