@@ -22,8 +22,8 @@ from hrforge.session import checkpoint_dir
 
 #: Rows of an Arrow batch between the JVM and Python: texts can be long.
 BATCH_ROWS = 512
-#: Bytes of text hashed at once; a longer single word takes the slow path.
-PIECE = 1 << 19
+#: Bytes from which a single word is hashed by itself.
+LONG = 1 << 10
 
 U64 = np.uint64
 
@@ -86,17 +86,10 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_VALUE = np.arange(1, 257, dtype=U64)
-_LOWER = _VALUE.copy()
-_LOWER[0x41:0x5B] = _VALUE[0x61:0x7B]
-_POSITION: list[np.ndarray] = []
-
-
-def _positions() -> np.ndarray:
-    if not _POSITION:
-        n = np.arange(1, 2 * PIECE + 2, dtype=U64) * U64(0x9E3779B97F4A7C15)
-        _POSITION.append(mix64(n) | U64(1))
-    return _POSITION[0]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+#: Masks of the first n bytes of a little-endian 64-bit word.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -137,30 +130,27 @@ def words(col: pa.Array, lower: bool = False) -> Words:
     last = inside.copy()
     last[:-1] &= ~inside[1:] | first[1:]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return Words(data, starts, ends, _hash_words(data, starts, ends, _LOWER if lower else _VALUE, lower),
-                 np.searchsorted(starts, at))
-
-
-def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np.ndarray, lower: bool) -> np.ndarray:
-    out = np.empty(len(starts), U64)
-    factor = _positions()
-    a = 0
-    while a < len(starts):
-        b = int(np.searchsorted(starts, starts[a] + PIECE))
-        while b > a and ends[b - 1] - starts[b - 1] > PIECE:
-            b -= 1
-        if b == a:
-            word = data[starts[a]:ends[a]].tobytes()
-            out[a] = xxhash.xxh3_64_intdigest(word.lower() if lower else word)
-            a += 1
-            continue
-        s = starts[a:b]
-        piece = data[s[0]:ends[b - 1]]
-        place = np.arange(len(piece)) - np.repeat(s - s[0], np.diff(np.append(s, ends[b - 1])))
-        part = value[piece] * factor[np.minimum(place, len(factor) - 1)]
-        part[_SPACE[piece]] = 0
-        out[a:b] = mix64(np.add.reduceat(part, s - s[0]))
-        a = b
+    return Words(data, starts, ends, _hash_words(data, starts, ends, lower), np.searchsorted(starts, at))
+
+
+def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+    """Hash of every word, eight bytes at a time."""
+    size = ends - starts
+    out = mix64(size.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(1))
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = _LOWER[data] if lower else data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    for i in np.flatnonzero(size > LONG):
+        out[i] = xxhash.xxh3_64_intdigest(padded[starts[i]:ends[i]].tobytes())
+    at = None  # words that have more bytes
+    for done in range(0, LONG, 8):
+        left = size - done if at is None else size[at] - done
+        more = (left > 0) & (left <= LONG - done)
+        at = np.flatnonzero(more) if at is None else at[more]
+        if not len(at):
+            break
+        part = eight[starts[at] + done] & _FIRST[np.minimum(size[at] - done, 8)]
+        out[at] = mix64(out[at] ^ part)
     return out
 
 
