@@ -14,7 +14,8 @@ packed like any others. Empty table: empty result. A long text is tokenised word
 word; its ids are held once. Columns other than ``doc_id`` and ``text`` are not read.
 
 Words are runs outside ASCII white space: the tokenizer's pieces never cross white
-space, so ids of a text are the ids of its words in order. They are cached per worker.
+space, so ids of a text are the ids of its words in order. Words are encoded by the
+tokenizers library and cached per worker, in bounded memory.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from hrforge.llm.common import arrow_batches, table
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids a worker keeps at most.
-CACHE = 600_000
+CACHE = 1_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
@@ -58,19 +59,40 @@ def word_ids(path: str) -> tuple:
 def encoded(texts: list[str | None], path: str) -> Iterator[bytes]:
     """Ids of each text, as little-endian uint32 bytes."""
     tokenizer, cache = word_ids(path)
-    split = [(t or "").encode().split() for t in texts]
-    fresh = list({w for ws in split for w in ws if w not in cache})
-    if len(cache) + len(fresh) > CACHE:
+    # the vocabulary is lower case; only special strings tell cases apart
+    split = [(d if b"<|" in d else d.lower()).split() for d in ((t or "").encode() for t in texts)]
+    if len(cache) > CACHE:
         cache.clear()
-        fresh = list({w for ws in split for w in ws})
-    for i in range(0, len(fresh), 10_000):
-        part = fresh[i:i + 10_000]
-        got = tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-        for w, e in zip(part, got):
-            cache[w] = np.array(e.ids, "<u4").tobytes()
-    get = cache.__getitem__
-    for ws in split:
-        yield b"".join(map(get, ws))
+    found = [list(map(cache.get, ws)) for ws in split]
+    gaps = [[i for i, x in enumerate(row) if x is None] if None in row else () for row in found]
+    fresh = {ws[i] for ws, at in zip(split, gaps) for i in at}
+    if fresh:
+        # a full stop or comma after a letter is a token of its own
+        ended = {w for w in fresh if w[-1] in b".," and w[-2:-1].isalpha()}
+        plain = (fresh - ended) | {w for w in {w[:-1] for w in ended} | {b".", b","} if w not in cache}
+        _learn(tokenizer, cache, sorted(plain))
+        for w in ended:
+            cache[w] = cache[w[:-1]] + cache[w[-1:]]
+    for ws, row, at in zip(split, found, gaps):
+        for i in at:
+            row[i] = cache[ws[i]]
+        yield b"".join(row)
+
+
+def _learn(tokenizer, cache: dict[bytes, bytes], words: list[bytes]) -> None:
+    """Ids of new words: many at once, with a digit between them, which is a token of its
+    own, since a call for each word costs more than its work."""
+    mark_id = tokenizer.encode("0", add_special_tokens=False).ids[0]
+    simple = [w for w in words if b"<|" not in w and b"0" not in w]
+    for i in range(0, len(simple), 500):
+        part = simple[i:i + 500]
+        ids = np.array(tokenizer.encode_batch_fast([b" 0 ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+        cut = 4 * np.flatnonzero(ids == mark_id)
+        data = ids.tobytes()
+        for w, a, b in zip(part, [0, *(cut + 4).tolist()], [*cut.tolist(), len(data)], strict=True):
+            cache[w] = data[a:b]
+    for w in set(words).difference(simple):
+        cache[w] = np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
