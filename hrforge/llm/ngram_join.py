@@ -13,14 +13,17 @@ their first ``n - least overlap + 1`` tokens. Several orders are used:
   document without near copies holds no token that anybody shares, even if passages of it
   are found elsewhere. Prefix tokens that may be shared are grouped by token: that makes
   the candidates;
-* every other order (a different hash of the tokens) must also give a common prefix
-  token. Pairs that fail one of them are dropped before the sets are intersected.
+* every other order (a different hash of the tokens) must also give common prefix tokens,
+  and enough of them: an overlap is at most the common tokens of the prefixes plus what
+  lies beyond the prefix that ends first. Pairs that fail one order are dropped, and only
+  the others' sets are moved and intersected.
 
 No pairs are emitted within a group of copies. In each posting list the class with the
 fewest tokens of its own is the hub (it lies nearest to what the others share). First every
 class is compared with its hubs; the links give components. Then, where a list still has
 several components, classes outside the hub's component are compared with all others of
-other components. So each pair of linked classes is either compared or already joined by
+other components, unless what both have and lack against the hub (256-bit marks of it)
+rules out a link. So each pair of linked classes is either compared or already joined by
 verified links, and components are exact.
 
 Hashes of shingles and words have 64 bits. A null text counts as empty; empty documents
@@ -56,12 +59,6 @@ def shingles(h: np.ndarray, n: int = SHINGLE) -> np.ndarray:
     return np.unique(grams(h, n))
 
 
-def least_overlap(a, b):
-    """Tokens that sets of these sizes share at least when they link."""
-    total = (a + b) * PERCENT
-    return -(-total // (100 + PERCENT))
-
-
 def prefix_size(n: int) -> int:
     """Prefix that serves any partner: the smallest one has PERCENT % of the tokens."""
     return n - -(-n * PERCENT // 100) + 1
@@ -74,8 +71,18 @@ def first_order(tokens: np.ndarray, shared: Bits) -> tuple[np.ndarray, int]:
     return np.concatenate([alone, tokens[may]]), len(alone)
 
 
-def hash_order(tokens: np.ndarray, order: int) -> np.ndarray:
-    return tokens[np.argsort(mix64(tokens ^ U64(_MIX[order])))]
+def head(tokens: np.ndarray, order: int) -> np.ndarray:
+    """Prefix in a hash order, as the leading 32 bits of the hashes, ascending."""
+    ranks = (mix64(tokens ^ U64(_MIX[order])) >> U64(32)).astype(np.uint32)
+    return np.sort(ranks)[:prefix_size(len(tokens))]
+
+
+def heads_allow(p: np.ndarray, n: int, q: np.ndarray, m: int) -> bool:
+    """Can sets of n and m tokens with these prefixes of one order still link?"""
+    if p[-1] > q[-1]:
+        p, n, q, m = q, m, p, n
+    most = int(np.isin(p, q).sum()) + n - len(p)
+    return 100 * most >= PERCENT * (n + m - most)
 
 
 def classes(batch: pa.RecordBatch, column: int = 1):
@@ -86,7 +93,7 @@ def classes(batch: pa.RecordBatch, column: int = 1):
             yield digest(w.hashes[a:b]), w.hashes[a:b]
 
 
-POSTING = ("kind int, doc_id long, class binary, size int, token long, place int, alone int")
+POSTING = "kind int, doc_id long, class binary, size int, token long, place int, alone int"
 _NAMES = ["kind", "doc_id", "class", "size", "token", "place", "alone"]
 
 
@@ -159,46 +166,111 @@ def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for d, h in classes(batch):
                 if d not in seen and near.value.hit(np.array([int.from_bytes(d[:8], "little")], U64))[0]:
                     seen.add(d)
-                    out.append((d, shingles(h).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.binary()),
-                                              pa.array([t for _, t in out], pa.list_(pa.int64()))], ["class", "tokens"])
+                    out.append((d, shingles(h)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d for d, _ in out], pa.binary()), pa.array([t.tobytes() for _, t in out], pa.binary())], ["class", "tokens"])
 
-    found = docs.mapInArrow(run, "class binary, tokens array<bigint>").join(wanted, "class", "left_semi")
-    return table(found.groupBy("class").agg(F.first("tokens").alias("tokens")), "shingle-sets")
+    found = docs.mapInArrow(run, "class binary, tokens binary").join(wanted, "class", "left_semi")
+    return table(found.dropDuplicates(["class"]), "shingle-sets")
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) that pass the other orders' filters and then link."""
+def heads(members: DataFrame) -> DataFrame:
+    """class, size and the prefixes in the further orders."""
+    names = [f"head{k}" for k in range(1, ORDERS)]
 
     def run(batches):
         for batch in batches:
-            a, b = batch.column("tokens_a"), batch.column("tokens_b")
-            ok = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = (c[i].values.to_numpy(zero_copy_only=False).view(U64) for c in (a, b))
-                ok[i] = linked(x, y)
+            sets_ = [np.frombuffer(t.as_buffer(), U64) for t in batch.column("tokens")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class"), pa.array([len(t) for t in sets_], pa.int32()),
+                 *[pa.array([head(t, k).tobytes() for t in sets_], pa.binary()) for k in range(1, ORDERS)]],
+                ["class", "size", *names])
+
+    return members.mapInArrow(run, "class binary, size int, " + ", ".join(f"{n} binary" for n in names))
+
+
+def filtered(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) that every further order allows."""
+    names = [f"head{k}" for k in range(1, ORDERS)]
+
+    def run(batches):
+        for batch in batches:
+            ok = np.ones(batch.num_rows, bool)
+            n, m = batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy()
+            for name in names:
+                a, b = batch.column(f"{name}_a"), batch.column(f"{name}_b")
+                for i in np.flatnonzero(ok):
+                    ok[i] = heads_allow(np.frombuffer(a[i].as_buffer(), np.uint32), n[i],
+                                        np.frombuffer(b[i].as_buffer(), np.uint32), m[i])
             got = batch.filter(pa.array(ok))
             yield pa.RecordBatch.from_arrays([got.column("a"), got.column("b")], ["a", "b"])
 
+    known = table(heads(members), "prefixes")
+    both = pairs
+    for side in "ab":
+        both = both.join(known.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("size", *names)]), side)
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+_COMPARED = "a binary, b binary, link boolean, overlap int, " + ", ".join(
+    f"{side}{i} long" for side in ("lacks", "adds") for i in range(4))
+
+
+def compared(docs: DataFrame, pairs: DataFrame, filters: bool) -> DataFrame:
+    """Pairs (a, b) with their verdict: do they link? Also the overlap, and 256-bit marks of
+    the tokens that a lacks of b (``lacks``) and has beyond it (``adds``). With ``filters``
+    pairs that a further order excludes are left out."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column("tokens_a"), batch.column("tokens_b")
+            ok, overlap, marks = [], [], np.zeros((batch.num_rows, 8), np.int64)
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(c[i].as_buffer(), U64) for c in (a, b))
+                inside = np.isin(x, y, assume_unique=True)
+                both = int(inside.sum())
+                ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                overlap.append(both)
+                marks[i, :4], marks[i, 4:] = mark(np.setdiff1d(y, x, assume_unique=True)), mark(x[~inside])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_()), pa.array(overlap, pa.int32()),
+                 *[pa.array(np.ascontiguousarray(m)) for m in marks.T]],
+                ["a", "b", "link", "overlap", *[f"{s}{i}" for s in ("lacks", "adds") for i in range(4)]])
+
     wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     members = sets(docs, wanted)
+    if filters:
+        pairs = table(filtered(pairs, members), "filtered-pairs")
     left = members.select(F.col("class").alias("a"), F.col("tokens").alias("tokens_a"))
     right = members.select(F.col("class").alias("b"), F.col("tokens").alias("tokens_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b")
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, _COMPARED)
+
+
+def mark(tokens: np.ndarray) -> np.ndarray:
+    """256 bits, one set by each token."""
+    bits = np.zeros(256, bool)
+    bits[(mix64(tokens) >> U64(56)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+def may_link(x: str, y: str) -> Column:
+    """False where what two members of a list have or lack against its hub rules out a link:
+    their overlap is at most the hub's tokens that neither lacks, plus the tokens beyond the
+    hub that one has and the other may have."""
+    def ones(f) -> Column:
+        return sum((F.bit_count(f(i)) for i in range(4)), F.lit(0))
+
+    def col(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
 
+    def beyond(p: str, q: str) -> Column:
+        return col(p, "size") - col(p, "overlap") - ones(
+            lambda i: col(p, f"adds{i}").bitwiseAND(F.bitwise_not(col(q, f"adds{i}"))))
 
-def linked(x: np.ndarray, y: np.ndarray) -> bool:
-    """Filters of the further orders one after another, then the exact test."""
-    need = least_overlap(len(x), len(y))
-    if need > min(len(x), len(y)):
-        return False
-    for order in range(1, ORDERS):
-        p, q = (hash_order(t, order)[:len(t) - need + 1] for t in (x, y))
-        if not np.isin(p, q, assume_unique=True).any():
-            return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+    most = col(x, "hub_size") - ones(lambda i: col(x, f"lacks{i}").bitwiseOR(col(y, f"lacks{i}"))) + F.least(
+        beyond(x, y), beyond(y, x))
+    return F.coalesce(most * (100 + PERCENT) >= (col(x, "size") + col(y, "size")) * PERCENT, F.lit(True))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -219,24 +291,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = F.struct("size", "place")
     hub = F.struct(F.col("hub_size").alias("size"), F.col("hub_place").alias("place"))
     starred = listed.filter("class != hub").withColumn("x", member).withColumn("y", hub).filter(fits("x", "y"))
-    first = table(starred.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct(), "hub-pairs")
-    links = table(verified(source, first), "hub-links")
+    first = table(starred.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
+    tested = table(compared(source, first, False), "hub-links")
+    links = tested.filter("link").select("a", "b")
     label = components(links)
 
     # lists that still hold several components: classes outside the hub's one meet the others
     named = listed.join(label.select(F.col("node").alias("class"), F.col("root").alias("of")), "class", "left").withColumn(
         "of", F.coalesce("of", "class")).join(
         label.select(F.col("node").alias("hub"), F.col("root").alias("of_hub")), "hub", "left").withColumn(
-        "of_hub", F.coalesce("of_hub", "hub")).select("token", "class", "size", "place", "of", "of_hub")
-    named = table(named, "labelled-lists")
-    out = named.filter("of != of_hub").alias("x")
-    rest = named.join(named.filter("of != of_hub").select("token").distinct(), "token", "left_semi").alias("y")
+        "of_hub", F.coalesce("of_hub", "hub"))
+    open_ = named.filter("of != of_hub").select("token").distinct()
+    named = table(named.join(open_, "token", "left_semi").join(
+        tested.drop("link").withColumnsRenamed({"a": "class", "b": "hub"}), ["class", "hub"], "left"), "open-lists")
     meets = ((F.col("x.of") != F.col("y.of")) & ((F.col("y.of") == F.col("y.of_hub")) | (F.col("x.class") < F.col("y.class")))
-             & fits("x", "y"))
-    second = out.join(rest, (F.col("x.token") == F.col("y.token")) & meets).select(
-        F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct().join(
-        first, ["a", "b"], "left_anti")
-    more = verified(source, table(second, "other-pairs"))
+             & (F.col("y.class") != F.col("y.hub")) & fits("x", "y") & may_link("x", "y"))
+    second = named.filter("of != of_hub").alias("x").join(named.alias("y"), (F.col("x.token") == F.col("y.token")) & meets).select(
+        F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+    more = compared(source, table(second, "other-pairs"), True).filter("link").select("a", "b")
     label = components(table(links.unionByName(more), "links"))
 
     rows = every.filter("kind = 0").select("doc_id", "class", F.col("size").cast("long").alias("n_shingles"))

@@ -155,7 +155,8 @@ def repeated(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.nd
     non-empty cells; slices of the table are merged by Spark, and the finished bit map
     (2**bits / 8 bytes a row) is the only thing that reaches the driver.
     """
-    cut = min(bits - 3, max(5, min(12, slice_bits(docs))))
+    cut = max(3, bits - 16)  # a slice has at most 2**16 cells: two bytes name one
+    inside = np.uint32((1 << (bits - cut)) - 1)
 
     def run(batches):
         parts, size = [], 0
@@ -165,7 +166,8 @@ def repeated(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.nd
             for row, salt in enumerate(SALTS[:depth]):
                 c, n = np.unique(cells(keys, salt, bits), return_counts=True)
                 c = np.repeat(c, np.minimum(n, 2))
-                yield packed_rows(["slice", "keys"], (c >> np.uint32(bits - cut)) + np.uint32(row << cut), [c])
+                yield packed_rows(["slice", "keys"], (c >> np.uint32(bits - cut)) + np.uint32(row << cut),
+                                  [(c & inside).astype(np.uint16)])
 
         for batch in batches:
             for keys in keys_of(batch):
@@ -180,10 +182,7 @@ def repeated(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.nd
             yield from flush()
 
     def merge(group: pa.Table) -> pa.Table:
-        c = np.sort(unpack(group["keys"], np.uint32))
-        full = c if least == 1 else c[1:][c[1:] == c[:-1]]
-        flags = np.zeros(1 << (bits - cut), bool)
-        flags[full & np.uint32((1 << (bits - cut)) - 1)] = True
+        flags = np.bincount(unpack(group["keys"], np.uint16), minlength=1 << (bits - cut)) >= least
         return pa.table({"slice": group["slice"][:1], "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
 
     got = docs.mapInArrow(run, "slice int, keys binary").groupBy("slice").applyInArrow(merge, "slice int, bits binary").toArrow()
