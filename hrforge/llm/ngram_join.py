@@ -290,7 +290,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     member = F.struct("size", "place")
     hub = F.struct(F.col("hub_size").alias("size"), F.col("hub_place").alias("place"))
-    starred = listed.filter("class != hub").withColumn("x", member).withColumn("y", hub).filter(fits("x", "y"))
+    starred = listed.filter("class != hub").withColumn("x", member).withColumn("y", hub).filter(fits("x", "y", places=False))
     first = table(starred.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs")
     tested = table(compared(source, first, False), "hub-links")
     links = tested.filter("link").select("a", "b")
