@@ -66,7 +66,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     for k, r in rate.items():
         below = F.when(F.col("toxic") == k, F.lit(int(r * (1 << 24)))).otherwise(below)
     picked = known.filter(mark < below)
-    rows = docs.select("doc_id", "text").join(picked, "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    # at most ``sample`` ids: small enough to broadcast, so that no text is shuffled
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
     return rows, {k: 1 / r for k, r in rate.items() if r}
 
 
