@@ -22,8 +22,8 @@ No pairs are emitted within a group of copies. In each posting list the class wi
 fewest tokens of its own is the hub (it lies nearest to what the others share). First every
 class is compared with its hubs; the links give components. Then, where a list still has
 several components, classes outside the hub's component are compared with all others of
-other components, unless what both have and lack against the hub (256-bit marks of it)
-rules out a link. So each pair of linked classes is either compared or already joined by
+other components, unless marks (bit sets of what both have and lack against the hub, and of
+all their tokens) rule out a link. So each pair of linked classes is either compared or already joined by
 verified links, and components are exact.
 
 Hashes of shingles and words have 64 bits. A null text counts as empty; empty documents
@@ -93,8 +93,9 @@ def classes(batch: pa.RecordBatch, column: int = 1):
             yield digest(w.hashes[a:b]), w.hashes[a:b]
 
 
-POSTING = "kind int, doc_id long, class binary, size int, token long, place int, alone int"
-_NAMES = ["kind", "doc_id", "class", "size", "token", "place", "alone"]
+_BITS = [f"bits{i}" for i in range(8)]
+POSTING = "kind int, doc_id long, class binary, size int, token long, place int, alone int, " + ", ".join(f"{b} long" for b in _BITS)
+_NAMES = ["kind", "doc_id", "class", "size", "token", "place", "alone", *_BITS]
 
 
 def postings(docs: DataFrame) -> DataFrame:
@@ -112,11 +113,12 @@ def postings(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             seen = set()
-            doc_class, doc_size, cols = [], [], [[] for _ in range(5)]
+            doc_class, doc_size, marks, cols = [], [], [], [[] for _ in range(5)]
             for d, h in classes(batch):
                 t = shingles(h)
                 doc_class.append(d)
                 doc_size.append(len(t))
+                marks.append(mark(t, 512))
                 if d in seen or not len(t):
                     continue
                 seen.add(d)
@@ -129,12 +131,13 @@ def postings(docs: DataFrame) -> DataFrame:
             m = len(doc_class)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(m, np.int32)), batch.column(0), pa.array(doc_class, pa.binary()), pa.array(doc_size, pa.int32()),
-                 pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32())], _NAMES)
+                 pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
+                 *[pa.array(np.ascontiguousarray(x)) for x in np.array(marks, np.int64).reshape(-1, 8).T]], _NAMES)
             if cols[0]:
                 n = sum(map(len, cols[0]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array([x for p in cols[0] for x in p], pa.binary()),
-                     *[pa.array(np.concatenate(c)) for c in cols[1:]]], _NAMES)
+                     *[pa.array(np.concatenate(c)) for c in cols[1:]], *[pa.nulls(n, pa.int64())] * 8], _NAMES)
 
     return docs.mapInArrow(run, POSTING)
 
@@ -247,19 +250,20 @@ def compared(docs: DataFrame, pairs: DataFrame, filters: bool) -> DataFrame:
     return both.mapInArrow(run, _COMPARED)
 
 
-def mark(tokens: np.ndarray) -> np.ndarray:
-    """256 bits, one set by each token."""
-    bits = np.zeros(256, bool)
-    bits[(mix64(tokens) >> U64(56)).astype(np.int64)] = True
+def mark(tokens: np.ndarray, size: int = 256) -> np.ndarray:
+    """``size`` bits, one set by each token."""
+    bits = np.zeros(size, bool)
+    bits[(mix64(tokens) % U64(size)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").view("<i8")
 
 
 def may_link(x: str, y: str) -> Column:
-    """False where what two members of a list have or lack against its hub rules out a link:
-    their overlap is at most the hub's tokens that neither lacks, plus the tokens beyond the
-    hub that one has and the other may have."""
-    def ones(f) -> Column:
-        return sum((F.bit_count(f(i)) for i in range(4)), F.lit(0))
+    """False where marks rule out a link. What two members of a list have or lack against its
+    hub: their overlap is at most the hub's tokens that neither lacks, plus the tokens beyond
+    the hub that one has and the other may have. Also, tokens of a class whose bit of 512
+    the other class has not set are not shared."""
+    def ones(f, n: int = 4) -> Column:
+        return sum((F.bit_count(f(i)) for i in range(n)), F.lit(0))
 
     def col(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
@@ -270,7 +274,13 @@ def may_link(x: str, y: str) -> Column:
 
     most = col(x, "hub_size") - ones(lambda i: col(x, f"lacks{i}").bitwiseOR(col(y, f"lacks{i}"))) + F.least(
         beyond(x, y), beyond(y, x))
-    return F.coalesce(most * (100 + PERCENT) >= (col(x, "size") + col(y, "size")) * PERCENT, F.lit(True))
+    def shared(p: str, q: str) -> Column:
+        return col(p, "size") - ones(
+            lambda i: col(p, _BITS[i]).bitwiseAND(F.bitwise_not(col(q, _BITS[i]))), len(_BITS))
+
+    need = (col(x, "size") + col(y, "size")) * PERCENT
+    return (F.least(shared(x, y), shared(y, x)) * (100 + PERCENT) >= need) & F.coalesce(
+        most * (100 + PERCENT) >= need, F.lit(True))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -302,7 +312,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         label.select(F.col("node").alias("hub"), F.col("root").alias("of_hub")), "hub", "left").withColumn(
         "of_hub", F.coalesce("of_hub", "hub"))
     open_ = named.filter("of != of_hub").select("token").distinct()
-    named = table(named.join(open_, "token", "left_semi").join(
+    marks = every.filter("kind = 0").select("class", *_BITS).dropDuplicates(["class"])
+    named = table(named.join(open_, "token", "left_semi").join(marks, "class").join(
         tested.drop("link").withColumnsRenamed({"a": "class", "b": "hub"}), ["class", "hub"], "left"), "open-lists")
     meets = ((F.col("x.of") != F.col("y.of")) & ((F.col("y.of") == F.col("y.of_hub")) | (F.col("x.class") < F.col("y.class")))
              & (F.col("y.class") != F.col("y.hub")) & fits("x", "y") & may_link("x", "y"))
