@@ -182,8 +182,17 @@ def share(docs: DataFrame, value):
     return docs.sparkSession.sparkContext.broadcast(value)
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, drop: bool = False) -> DataFrame:
     """Rows of ``docs`` whose doc_id is (``drop``: is not) in ``kept.doc_id``; null ids
     match null. All columns of ``docs`` stay as they are."""
-    ids = kept.select(F.col("doc_id").alias("__doc_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__doc_id"]), "left_anti" if drop else "left_semi")
+    other = free_name(docs, "kept_id")
+    ids = kept.select(F.col("doc_id").alias(other))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids[other]), "left_anti" if drop else "left_semi")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hrforge.llm.common import table
+from hrforge.llm.common import free_name, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A chunk has 1,024 characters or more and ends before a blank that one of a few
@@ -78,8 +78,9 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     def key(doc_id: Column, sha: Column) -> Column:
         return F.concat_ws(":", sha, doc_id.cast("string"))
 
-    kept = exact_groups(docs).filter("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("__key"))
-    rows = docs.withColumn("__key", key(F.col("doc_id"), F.sha2(normalised(F.col("text")), 256)))
-    place = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    return (rows.join(kept, "__key", "left_semi").withColumn("__place", place)
-            .filter("__place = 1").drop("__key", "__place"))
+    same, place = free_name(docs, "same"), free_name(docs, "place")
+    kept = exact_groups(docs).filter("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias(same))
+    rows = docs.withColumn(same, key(F.col("doc_id"), F.sha2(normalised(F.col("text")), 256)))
+    nth = F.row_number().over(Window.partitionBy(same).orderBy(same))
+    return (rows.join(kept, same, "left_semi").withColumn(place, nth)
+            .filter(F.col(place) == 1).select(*docs.columns))

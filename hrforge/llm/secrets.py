@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hrforge.llm.common import table
+from hrforge.llm.common import free_name, table
 
 # The base kinds and their patterns.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)(?-i)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -156,11 +156,12 @@ def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
 def mask_secrets(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every reported span replaced by ``mask`` (overlapping spans by one);
     n_chars, where there is such a column, follows. No row is dropped."""
+    key, found = free_name(docs, "same"), free_name(docs, "found")
     hits = secret_spans(docs).filter("size(found) > 0").select(
-        F.concat_ws(":", "text_hash", "n_chars", F.col("doc_id").cast("string")).alias("__key"),
-        F.col("found").alias("__found")).dropDuplicates(["__key"])
+        F.concat_ws(":", "text_hash", "n_chars", F.col("doc_id").cast("string")).alias(key),
+        F.col("found").alias(found)).dropDuplicates([key])
     text = F.coalesce("text", F.lit(""))
-    rows = docs.withColumn("__key", F.concat_ws(":", F.xxhash64(text), F.char_length(text), F.col("doc_id").cast("string")))
+    rows = docs.withColumn(key, F.concat_ws(":", F.xxhash64(text), F.char_length(text), F.col("doc_id").cast("string")))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -169,12 +170,11 @@ def mask_secrets(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["until"]).alias("at"),
                         F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
 
-    masked = F.aggregate("__found", start, step, lambda acc: F.concat(
+    masked = F.aggregate(found, start, step, lambda acc: F.concat(
         acc["out"], F.col("text").substr(acc["at"] + 1, F.char_length("text"))))
-    out = rows.join(hits, "__key", "left").withColumn(
-        "text", F.when(F.col("__found").isNull(), F.col("text")).otherwise(masked))
+    whole = F.col(found).isNull()
+    out = {"text": F.when(whole, F.col("text")).otherwise(masked).alias("text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("__found").isNull(), F.col("n_chars")).otherwise(
-            F.char_length("text").cast(kind)))
-    return out.select(*docs.columns)
+        count = F.char_length(masked).cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(count).alias("n_chars")
+    return rows.join(hits, key, "left").select(*[out.get(c, F.col(c)) for c in docs.columns])
