@@ -24,12 +24,6 @@ def ci_in(col: Column | str, values: list[str]) -> Column:
     return ci(col).isin([v.lower().rstrip() for v in values])
 
 
-def ci_like(col: Column | str, pattern: str) -> Column:
-    """``LIKE`` under the case-blind collation (``_`` stays a wildcard)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.ilike(pattern)
-
-
 def hr_representative_of(role: Column) -> Column:
     """Department named by an ``HR_Representative_<dept>`` role: the text after the
     second underscore. With no second underscore ``locate`` returns 0, so the

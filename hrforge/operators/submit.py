@@ -306,9 +306,9 @@ def materialize(decisions: DataFrame, leave: DataFrame, as_of,
             F.lit("pending").alias("final_approval_status"), *subtype_cols)
 
     def approvals() -> DataFrame:
-        return (out["accepted"].select(F.explode("approvers").alias("emp1_id"),
+        return (out["accepted"].select(F.explode(F.array_distinct("approvers")).alias("emp1_id"),
                                        F.col("request_id").alias("leave_id"))
-                .filter(F.col("emp1_id").isNotNull()).distinct()
+                .filter(F.col("emp1_id").isNotNull())
                 .withColumn("status", F.lit("pending")))
 
     def rejections() -> DataFrame:

@@ -36,17 +36,12 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def apply_runtime_conf(spark: SparkSession) -> None:
-    """Runtime settings the operators rely on (safe to call on any session)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder and
-    is used as is. Only when nothing is configured (local tests) is a fresh
-    temporary folder chosen.
+    is used as is. Only when nothing is configured and the master is local (tests) is
+    a fresh temporary folder chosen; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -55,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="hrforge-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return configured

@@ -5,8 +5,8 @@ files. ``foreachBatch`` applies ``upsert_attendance_days`` to the attendance
 snapshot of the previous batch and publishes the result as the next snapshot
 version. Versions follow the stream's batch ids, which Structured Streaming
 records in the query checkpoint, so a restarted query resumes where it stopped;
-a batch whose version folder already exists (it was published before a crash)
-is not written again.
+a batch whose version was published before a crash (its folder holds ``_SUCCESS``)
+is not written again, and a folder that a killed writer left unfinished is replaced.
 """
 
 from __future__ import annotations
@@ -27,11 +27,15 @@ CHECKIN_SCHEMA = T.StructType([
 ])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _published(spark: SparkSession, path: str) -> bool:
+    """Is the version complete? Parts of an unfinished one are removed."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+        return True
+    fs.delete(p, True)
+    return False
 
 
 def start_checkin_stream(spark: SparkSession, source_dir: str, tables_root: str,
@@ -42,8 +46,8 @@ def start_checkin_stream(spark: SparkSession, source_dir: str, tables_root: str,
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         target = base_version + batch_id + 1
-        if _exists(spark, table_path(tables_root, "attendance", target)):
-            return  # published before a restart
+        if _published(spark, table_path(tables_root, "attendance", target)):
+            return
         current = load_table(spark, tables_root, "attendance", base_version + batch_id)
         new = upsert_attendance_days(current, batch)
         write_snapshot(new, tables_root, "attendance", target)

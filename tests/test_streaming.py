@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import tempfile
 
 from hrforge.sources.io import load_table, write_snapshot
@@ -42,3 +43,15 @@ def test_checkin_stream_resumes_after_restart(spark):
           for r in load_table(spark, root, "attendance", 2).collect()}
     assert v1 == {1: 1}
     assert v2 == {1: (1, 480), 2: (2, 60)}
+
+
+def test_unfinished_version_is_rewritten(spark):
+    base = tempfile.mkdtemp(prefix="hrforge-stream-", dir="/tmp")
+    root, src, ckpt = f"{base}/tables", f"{base}/src", f"{base}/ckpt"
+    d = dt.date(2024, 1, 30)
+    write_snapshot(spark.createDataFrame([(7, d, None, None, None, "absent", 1)], SCHEMAS["attendance"]), root, "attendance", 0)
+    os.makedirs(f"{root}/attendance/v=1/_temporary/0")  # a writer was killed here
+    rows = [(2, d, dt.datetime(2024, 1, 30, 9, 0), dt.datetime(2024, 1, 30, 17, 0), 1)]
+    spark.createDataFrame(rows, CHECKIN_SCHEMA).write.parquet(f"{src}/part1")
+    start_checkin_stream(spark, f"{src}/*", root, 0, ckpt).awaitTermination(120)
+    assert {r.emp_id for r in load_table(spark, root, "attendance", 1).collect()} == {1, 2}
