@@ -173,8 +173,9 @@ def mask_secrets(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
     masked = F.aggregate(found, start, step, lambda acc: F.concat(
         acc["out"], F.col("text").substr(acc["at"] + 1, F.char_length("text"))))
     whole = F.col(found).isNull()
-    out = {"text": F.when(whole, F.col("text")).otherwise(masked).alias("text")}
+    new = F.when(whole, F.col("text")).otherwise(masked)
+    out = rows.join(hits, key, "left").withColumn("text", new)
     if "n_chars" in docs.columns:
-        count = F.char_length(masked).cast(docs.schema["n_chars"].dataType)
-        out["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(count).alias("n_chars")
-    return rows.join(hits, key, "left").select(*[out.get(c, F.col(c)) for c in docs.columns])
+        count = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(count))
+    return out.select(*docs.columns)
