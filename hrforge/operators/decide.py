@@ -62,7 +62,7 @@ def apply_balances(employee: DataFrame, decisions: DataFrame, column: str) -> Da
     """Employee snapshot with ``column`` set to the last approved balance_after."""
     ok = decisions.filter(F.col("final_approval_status") == "approved")
     dd = (ok.groupBy(F.col("emp_id").alias("_e"))
-          .agg(F.max(F.struct("request_id", "balance_after")).alias("_n")))
+          .agg(F.max(F.struct("request_id", "seq", "balance_after")).alias("_n")))
     j = employee.join(dd, employee.employee_id == dd._e, "left")
     return j.withColumn(column, F.when(F.col("_n").isNotNull(),
                                        F.col("_n.balance_after").cast("int"))
@@ -94,13 +94,15 @@ def upperboard_decide_annual(batch: DataFrame, approvals: DataFrame, annual_leav
     """
     if mode == "as_written":
         approvers = approvals.select(F.col("emp1_id").alias("_a")).distinct()
-        auth = batch.join(approvers, batch.upperboard_id == approvers._a, "left_semi")
+        auth, denied = [batch.join(approvers, batch.upperboard_id == approvers._a, how)
+                        for how in ("left_semi", "left_anti")]
     else:
         pairs = approvals.select(F.col("emp1_id").alias("_a"), F.col("leave_id").alias("_l"))
-        auth = batch.join(pairs, (batch.upperboard_id == pairs._a)
-                          & (batch.request_id == pairs._l), "left_semi")
-    rejections = batch.join(auth.select("seq"), "seq", "left_anti").select(
-        "seq", "request_id", "upperboard_id", F.lit(MSG_NOT_AUTHORISED).alias("reason"))
+        auth, denied = [batch.join(pairs, (batch.upperboard_id == pairs._a)
+                                   & (batch.request_id == pairs._l), how)
+                        for how in ("left_semi", "left_anti")]
+    rejections = denied.select("seq", "request_id", "upperboard_id",
+                               F.lit(MSG_NOT_AUTHORISED).alias("reason"))
 
     role_of = employee_role.groupBy("emp_id").agg(F.max("role_name").alias("_role"))
     dept_of = red.groupBy(ci("role_name").alias("_rk")).agg(
@@ -153,8 +155,9 @@ def _guarded(batch: DataFrame, approvals: DataFrame, leave: DataFrame, as_of,
 
     As written: any pending approval row of the request (including the deciding
     HR's own) stops it; ``corrected`` ignores the decider's own row and only
-    decides requests whose status is still pending. A request that is not in the
-    future (start on or before as_of) is never decided.
+    decides requests whose status is still pending: its first decider by ``seq``
+    decides it, for the later ones it is no longer pending. A request that is not in
+    the future (start on or before as_of) is never decided.
     """
     pend = approvals.filter(ci_eq("status", "pending")).select(
         F.col("emp1_id").alias("_p1"), F.col("leave_id").alias("_pl"))
@@ -162,6 +165,9 @@ def _guarded(batch: DataFrame, approvals: DataFrame, leave: DataFrame, as_of,
     if mode != "as_written":
         cond = cond & (pend._p1 != batch.hr_id)
     b = batch.join(pend, cond, "left_anti")
+    if mode != "as_written":
+        b = (b.groupBy("request_id").agg(F.min(F.struct("seq", "hr_id")).alias("_first"))
+             .select("_first.seq", "request_id", "_first.hr_id"))
     lv = leave.select("request_id", "date_of_request", "start_date", "end_date", "num_days",
                       F.col("final_approval_status").alias("_status"))
     b = b.join(lv, "request_id", "inner").filter(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hrforge.functions.dates import earlier_date, later_date, overlaps
+from hrforge.functions.dates import earlier_date, later_date
 from hrforge.functions.text import ci, ci_eq, ci_in
 from hrforge.operators.ledger import COMPENSATION, UNPAID, blocking_leaves, on_leave_ids
 from hrforge.operators.ranges import overlapping_keys
@@ -50,10 +50,10 @@ def flag_on_leave_range(probes: DataFrame, ledger: DataFrame, key: list[str], em
                         from_col: str, to_col: str, flag: str = "is_on_leave",
                         statuses=("approved", "pending")) -> DataFrame:
     """``Is_On_Leave(emp, from, to)`` with a per-row range; ``key`` must identify
-    probe rows. Joined on (employee, month) with the overlap as residual."""
+    probe rows. Joined on (employee, day), see ``ranges``."""
     hits = overlapping_keys(probes, key, emp_col, from_col, to_col,
                             blocking_leaves(ledger, statuses), "emp_id", "start_date",
-                            "end_date", overlaps).withColumn("_hit", F.lit(True))
+                            "end_date").withColumn("_hit", F.lit(True))
     return (probes.join(hits, key, "left")
             .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
@@ -69,14 +69,9 @@ def replacement_is_free(probes: DataFrame, replacements: DataFrame, key: list[st
     lies strictly inside the requested range is missed. ``corrected`` uses the
     range the caller meant.
     """
-    def busy(ps: Column, pn: Column, f: Column, t: Column) -> Column:
-        lo, hi = (pn, ps) if mode == "as_written" else (ps, pn)
-        return (f.between(lo, hi) | t.between(lo, hi)
-                | lo.between(f, t) | hi.between(f, t))
-
-    hits = overlapping_keys(probes, key, emp_col, start_col, end_col, replacements,
-                            "emp2_id", "from_date", "to_date", busy).withColumn(
-        "_busy", F.lit(True))
+    lo, hi = (end_col, start_col) if mode == "as_written" else (start_col, end_col)
+    hits = overlapping_keys(probes, key, emp_col, lo, hi, replacements, "emp2_id",
+                            "from_date", "to_date").withColumn("_busy", F.lit(True))
     out = probes.join(hits, key, "left")
     free = F.col(emp_col).isNotNull() & F.col("_busy").isNull()
     return out.withColumn(flag, free).drop("_busy")

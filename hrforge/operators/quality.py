@@ -58,23 +58,23 @@ def _render(cols: list[str]) -> Column:
 
 
 def pk_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """Duplicate or null primary keys: table_name, key_value, violation, n_rows."""
+    """Duplicate or null primary keys: table_name, key_value, violation, n_rows.
+
+    One pass and one grouping per table: null keys are groups like any other.
+    Texts compare case-blind in whole keys and as they are in keys with a null.
+    """
     parts = []
     for name, df in tables.items():
         pk = list(PRIMARY_KEYS[name])
         any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])
-        nulls = (df.filter(any_null).groupBy(_render(pk).alias("key_value"))
-                 .agg(F.count(F.lit(1)).alias("n_rows"))
-                 .select(F.lit(name).alias("table_name"), "key_value",
-                         F.lit("null_key").alias("violation"), "n_rows"))
         text = _text_cols(name)
-        keyed = df.filter(~any_null).select(
-            *[(ci(c) if c in text else F.col(c)).alias(c) for c in pk])
-        dups = (keyed.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows"))
-                .filter(F.col("n_rows") > 1)
-                .select(F.lit(name).alias("table_name"), _render(pk).alias("key_value"),
-                        F.lit("duplicate").alias("violation"), "n_rows"))
-        parts += [nulls, dups]
+        keys = [(F.when(any_null, F.col(c)).otherwise(ci(c)) if c in text else F.col(c)).alias(c)
+                for c in pk]
+        parts.append(df.select(*keys).groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows"))
+                     .filter(any_null | (F.col("n_rows") > 1))
+                     .select(F.lit(name).alias("table_name"), _render(pk).alias("key_value"),
+                             F.when(any_null, F.lit("null_key")).otherwise(F.lit("duplicate"))
+                             .alias("violation"), "n_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -85,31 +85,40 @@ def _text_cols(name: str) -> set[str]:
 def fk_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Orphan non-null references: fk_name, child_value, n_rows.
 
-    FKs are grouped by the parent key they reference: the children's non-null
-    values are pre-aggregated per (fk, value) on the map side, unioned, and meet
-    the parent's keys in one left-anti join per parent key (7 joins for the 31
-    FKs), so each parent key set is shuffled once.
+    Each child is read once: all its references become one exploded array, counted
+    per value on the map side. The values of all children meet the distinct keys of
+    all parents in one join on (parent key, value). It is an outer join with a
+    marker, because Catalyst pushes an anti join below the union, once per child.
     """
-    groups: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    refs: dict[str, list[tuple[str, str, str]]] = {}
+    parent_keys: dict[str, tuple[str, str]] = {}
     for child, col, parent, pcol in FOREIGN_KEYS:
         if child in tables and parent in tables:
-            groups.setdefault((parent, pcol), []).append((child, col))
-    parts = []
-    for (parent, pcol), children in groups.items():
-        text = pcol in _text_cols(parent)
-        key = (lambda c: ci(c)) if text else (lambda c: F.col(c))
-        kids = [tables[child].filter(F.col(col).isNotNull())
-                .groupBy(key(col).alias("_k"), F.col(col).cast("string").alias("child_value"))
-                .agg(F.count(F.lit(1)).alias("n_rows"))
-                .select(F.lit(f"{child}.{col}->{parent}.{pcol}").alias("fk_name"), "_k",
-                        "child_value", "n_rows")
-                for child, col in children]
-        c = reduce(DataFrame.unionByName, kids)
-        p = tables[parent].select(key(pcol).alias("_k")).filter(F.col("_k").isNotNull())
-        orphans = c.join(p, "_k", "left_anti")
-        parts.append(orphans.select("fk_name", "child_value",
-                                    F.col("n_rows").cast("bigint").alias("n_rows")))
-    return reduce(DataFrame.unionByName, parts)
+            refs.setdefault(child, []).append((col, parent, pcol))
+            parent_keys[f"{parent}.{pcol}"] = (parent, pcol)
+
+    def key(col: str, parent: str, pcol: str) -> Column:
+        return ci(col) if pcol in _text_cols(parent) else F.col(col).cast("string")
+
+    kids = []
+    for child, cols in refs.items():
+        values = F.array(*[
+            F.struct(F.lit(f"{child}.{col}->{parent}.{pcol}").alias("fk_name"),
+                     F.lit(f"{parent}.{pcol}").alias("_parent"),
+                     key(col, parent, pcol).alias("_k"),
+                     F.col(col).cast("string").alias("child_value"))
+            for col, parent, pcol in cols])
+        kids.append(tables[child].select(F.inline(values)).filter(F.col("_k").isNotNull())
+                    .groupBy("fk_name", "_parent", "_k", "child_value")
+                    .agg(F.count(F.lit(1)).alias("n_rows")))
+    known = [tables[parent].select(F.lit(tag).alias("_parent"),
+                                   key(pcol, parent, pcol).alias("_k"))
+             .filter(F.col("_k").isNotNull()).distinct().withColumn("_known", F.lit(True))
+             for tag, (parent, pcol) in parent_keys.items()]
+    c = reduce(DataFrame.unionByName, kids)
+    p = reduce(DataFrame.unionByName, known)
+    return (c.join(p, ["_parent", "_k"], "left").filter(F.col("_known").isNull())
+            .select("fk_name", "child_value", F.col("n_rows").cast("bigint").alias("n_rows")))
 
 
 # CHECK constraints (reference DDL, fixed values): name -> (table, predicate).

@@ -1,12 +1,16 @@
-"""Range joins keyed by (employee, month).
-
-An overlap or point-in-range test joined on the employee alone sends all of a
-hot employee's leave rows to one task. Both sides here are also keyed by the
-calendar months they touch: an interval becomes one row per month between its
-two ends (leave and request ranges span a month or two), a single date one row.
-Any TRUE overlap puts some endpoint of one side inside the other side's hull, so
-the two always share that endpoint's month; the exact predicate is kept as the
-join residual, so results do not change -- only the shuffle keys spread.
+"""Range tests as equi-joins on (employee, day).
+
+The reference's overlap test is four BETWEENs joined by OR: an end of one range
+lies in the other range. A range with ``from <= to`` covers its days; a reversed
+or half-null range covers none, but its non-null ends still count as points. So
+two ranges overlap when they share a day that is an end of one and covered by the
+other, and the test is an equality of days.
+
+The interval side is reduced to one row per (employee, day) before the join, on
+the map side first. The join then makes at most one match per probe day: work
+grows with the days on both sides, never with the pairs of one employee, and a hot
+employee has no more interval rows than the calendar has days. A range costs one
+row per day it covers.
 """
 
 from __future__ import annotations
@@ -15,46 +19,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def month_index(d: Column) -> Column:
-    return F.year(d) * 12 + F.month(d) - 1
+def covered_days(a: Column, b: Column) -> Column:
+    """Days of ``a..b``; none when the range is reversed or an end is null."""
+    return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<date>"))
 
 
-def month_buckets(a: Column, b: Column) -> Column:
-    """Months between the two dates (either order); with one date null, the
-    other's month; with both null, none. ``least``/``greatest`` skip nulls."""
-    lo = F.least(month_index(a), month_index(b))
-    hi = F.greatest(month_index(a), month_index(b))
-    return F.when(lo.isNull(), F.array().cast("array<int>")).otherwise(F.sequence(lo, hi))
+def _range_days(df: DataFrame, a: str, b: str) -> DataFrame:
+    """One row per day the range covers or ends on: ``_day``, ``_cover``, ``_end``."""
+    lo, hi, day = F.col(a), F.col(b), F.col("_day")
+    days = F.array_union(covered_days(lo, hi), F.array_compact(F.array(lo, hi)))
+    return (df.withColumn("_day", F.explode(days))
+            .withColumn("_cover", F.coalesce(day.between(lo, hi), F.lit(False)))
+            .withColumn("_end", F.coalesce(day == lo, F.lit(False))
+                        | F.coalesce(day == hi, F.lit(False))))
 
 
 def overlapping_keys(probes: DataFrame, key: list[str], p_emp: str, p_from: str, p_to: str,
-                     intervals: DataFrame, i_emp: str, i_from: str, i_to: str,
-                     predicate) -> DataFrame:
+                     intervals: DataFrame, i_emp: str, i_from: str, i_to: str) -> DataFrame:
     """Distinct ``key`` of probe rows with at least one interval of the same
-    employee for which ``predicate(p_from, p_to, i_from, i_to)`` is TRUE."""
-    p = (probes.select(*key, F.col(p_emp).alias("_pe"), F.col(p_from).alias("_pf"),
-                       F.col(p_to).alias("_pt"))
-         .where(F.col("_pe").isNotNull())
-         .withColumn("_pb", F.explode(month_buckets(F.col("_pf"), F.col("_pt")))))
-    i = (intervals.select(F.col(i_emp).alias("_ie"), F.col(i_from).alias("_if"),
-                          F.col(i_to).alias("_it"))
-         .where(F.col("_ie").isNotNull())
-         .withColumn("_ib", F.explode(month_buckets(F.col("_if"), F.col("_it")))))
-    cond = ((p._pe == i._ie) & (p._pb == i._ib)
-            & predicate(p._pf, p._pt, i._if, i._it))
+    employee for which the four-way BETWEEN overlap is TRUE. Null employees never
+    match; an unknown comparison is not TRUE."""
+    p = _range_days(probes.where(F.col(p_emp).isNotNull()).select(
+        *key, F.col(p_emp).alias("_pe"), F.col(p_from).alias("_f"), F.col(p_to).alias("_t")),
+        "_f", "_t").select(*key, "_pe", F.col("_day").alias("_pday"),
+                           F.col("_cover").alias("_pcover"), F.col("_end").alias("_pend"))
+    i = _range_days(intervals.where(F.col(i_emp).isNotNull()).select(
+        F.col(i_emp).alias("_ie"), F.col(i_from).alias("_f"), F.col(i_to).alias("_t")),
+        "_f", "_t").groupBy("_ie", "_day").agg(F.max("_cover").alias("_icover"),
+                                               F.max("_end").alias("_iend"))
+    cond = ((p._pe == i._ie) & (p._pday == i._day)
+            & ((p._pend & i._icover) | (p._pcover & i._iend)))
     return p.join(i, cond, "left_semi").select(*key).distinct()
 
 
 def drop_points_in_ranges(points: DataFrame, p_emp: str, p_date: str, intervals: DataFrame,
                           i_emp: str, i_from: str, i_to: str) -> DataFrame:
     """Rows of ``points`` whose date lies in no interval of the same employee
-    (``date BETWEEN from AND to``). Each point keeps one row (its own month)."""
-    i = (intervals.select(F.col(i_emp).alias("_ie"), F.col(i_from).alias("_if"),
-                          F.col(i_to).alias("_it"))
-         .where(F.col("_ie").isNotNull() & (F.col("_if") <= F.col("_it")))
-         .withColumn("_ib", F.explode(F.sequence(month_index(F.col("_if")),
-                                                 month_index(F.col("_it"))))))
-    pts = points.withColumn("_pm", month_index(F.col(p_date)))
-    cond = ((pts[p_emp] == i._ie) & (pts._pm == i._ib)
-            & pts[p_date].between(i._if, i._it))
-    return pts.join(i, cond, "left_anti").drop("_pm")
+    (``date BETWEEN from AND to``)."""
+    i = (intervals.where(F.col(i_emp).isNotNull())
+         .select(F.col(i_emp).alias("_ie"),
+                 F.explode(covered_days(F.col(i_from), F.col(i_to))).alias("_iday"))
+         .distinct())
+    return points.join(i, (points[p_emp] == i._ie) & (points[p_date] == i._iday), "left_anti")
