@@ -156,13 +156,15 @@ def _hr_batch(t, subtype):
 def _guard_cte(subtype: str, mode: str) -> list[tuple[str, str]]:
     own = "and p.emp1_id <> b.hr_id" if mode != "as_written" else ""
     status = f"and {ci('l.final_approval_status')} = 'pending'" if mode != "as_written" else ""
+    first = ("" if mode == "as_written" else
+             "qualify row_number() over (partition by b.request_id order by b.seq) = 1")
     return [
         ("b", _batch_sql(subtype, HR_SQL, "hr_id")),
         ("g", f"""select b.*, l.date_of_request, l.start_date, l.end_date, l.num_days
  from b join leave l on l.request_id = b.request_id
  where not exists (select 1 from employee_approve_leave p where p.leave_id = b.request_id
                    and {ci('p.status')} = 'pending' {own})
-   and l.start_date is not null and l.start_date > {d(DAY)} {status}"""),
+   and l.start_date is not null and l.start_date > {d(DAY)} {status} {first}"""),
     ]
 
 
@@ -181,16 +183,35 @@ NO_REJECTION = ("not exists (select 1 from employee_approve_leave p where p.leav
                 "and lower(rtrim(p.status)) = 'rejected') as approval_ok")
 
 
-def _fold_ctes(ok: str, strict: bool) -> list[tuple[str, str]]:
-    if strict:
-        first = "coalesce(c.bal > c.num_days, false)"
-        nxt = "coalesce(f.remaining > c.num_days, false)"
-    else:
-        first = "not coalesce(c.num_days > c.bal, false)"
-        nxt = "not coalesce(c.num_days > f.remaining, false)"
+def _sequential_ctes(ok: str, days: str, bal: str, mode: str) -> list[tuple[str, str]]:
+    """One call after the other: each step holds the list of all earlier approvals."""
+    lo, hi = ("c.end_date", "c.start_date") if mode == "as_written" else ("c.start_date", "c.end_date")
+    mine = "list_filter(f.booked, lambda x: x.emp = c.myid)"
+    left = (f"(case when len(list_filter({mine}, lambda x: x.days is null)) > 0 then null else {bal} - "
+            f"coalesce(list_sum(list_transform({mine}, lambda x: x.days)), 0) end)")
+    clash = (f"len(list_filter(f.booked, lambda x: x.repl = c.replacement_emp and "
+             f"coalesce({overlap(lo, hi, 'x.s', 'x.e')}, false))) > 0")
+    fits = f"(not coalesce({days} > {left}, false) and not {clash})"
+    entry = (f"[{{'emp': c.myid, 'days': {days}, 'repl': c.replacement_emp, "
+             "'s': c.start_date, 'e': c.end_date}]")
+    return [
+        ("c", f"select *, row_number() over (order by request_id, seq) as rn from a where {ok}"),
+        ("f", f"""select c.rn, c.seq, not coalesce({days} > {bal}, false) as approved,
+        cast({bal} - {days} as bigint) as remaining,
+        case when not coalesce({days} > {bal}, false) then {entry} else list_filter({entry}, lambda x: false) end as booked
+ from c where c.rn = 1
+ union all
+ select c.rn, c.seq, {fits}, cast({left} - {days} as bigint),
+        case when {fits} then list_concat(f.booked, {entry}) else f.booked end
+ from f join c on c.rn = f.rn + 1"""),
+    ]
+
+
+def _accidental_fold_ctes(ok: str) -> list[tuple[str, str]]:
+    first, nxt = "coalesce(c.bal > c.num_days, false)", "coalesce(f.remaining > c.num_days, false)"
     return [
         ("c", f"select *, coalesce(myid, -2147483648) as k, row_number() over "
-              f"(partition by coalesce(myid, -2147483648) order by request_id) as rn from a where {ok}"),
+              f"(partition by coalesce(myid, -2147483648) order by request_id, seq) as rn from a where {ok}"),
         ("f", f"""select c.k, c.rn, c.seq, {first} as approved,
         case when {first} then c.bal - c.num_days else c.bal end as remaining
  from c where c.rn = 1
@@ -216,8 +237,9 @@ def _annual_ctes(mode: str) -> list[tuple[str, str]]:
        {_repl_flags(lohi)}, {NO_REJECTION}
  from g join annual_leave x on x.request_id = g.request_id
  left join employee e on e.employee_id = x.emp_id""".replace("a.replacement_emp", "x.replacement_emp")),
-    ] + _fold_ctes(f"not pt and replacement_emp is not null and {avail} and repl_free and approval_ok",
-                   strict=False)
+    ] + _sequential_ctes(
+        f"not pt and replacement_emp is not null and {avail} and repl_free and approval_ok",
+        "c.num_days", "c.bal", mode)
 
 
 def _annual_frames(t, mode="as_written"):
@@ -230,29 +252,40 @@ register("hr_decide_annual", DECISIONS_BAL, _annual_ctes("as_written"), recursiv
     lambda t: _annual_frames(t)["decisions"])
 register("hr_decide_annual_corrected", DECISIONS_BAL, _annual_ctes("corrected"), recursive=True)(
     lambda t: _annual_frames(t, "corrected")["decisions"])
-register("hr_decide_annual_replacements", f"""
+REPLACEMENTS = f"""
 select table_id, emp1_id, emp2_id, from_date, to_date from employee_replace_employee
 union all
 select {next_ids('employee_replace_employee', 'table_id', 'a.seq')}, a.myid, a.replacement_emp,
        a.start_date, a.end_date
 from a join f on f.seq = a.seq where f.approved
-""", _annual_ctes("as_written"), recursive=True)(lambda t: _annual_frames(t)["replacements"])
+"""
+
+register("hr_decide_annual_replacements", REPLACEMENTS, _annual_ctes("as_written"),
+         recursive=True)(lambda t: _annual_frames(t)["replacements"])
+register("hr_decide_annual_corrected_replacements", REPLACEMENTS, _annual_ctes("corrected"),
+         recursive=True)(lambda t: _annual_frames(t, "corrected")["replacements"])
 
 
-def _accidental_ctes() -> list[tuple[str, str]]:
-    return _guard_cte("accidental_leave", "as_written") + [
+def _accidental_ctes(mode: str) -> list[tuple[str, str]]:
+    return _guard_cte("accidental_leave", mode) + [
         ("a", """select g.*, e.employee_id as myid, e.accidental_balance as bal,
        not coalesce(g.num_days <> 1, false) as one_day,
        coalesce(datediff('day', g.date_of_request, g.start_date) * 24 between 0 and 48, false) as within
  from g join accidental_leave x on x.request_id = g.request_id
  left join employee e on e.employee_id = x.emp_id"""),
-    ] + _fold_ctes("one_day and within", strict=True)
+    ] + _accidental_fold_ctes("one_day and within")
+
 
+def _accidental_frames(t, mode="as_written"):
+    return D.hr_decide_accidental(_hr_batch(t, t.accidental_leave), t.leave,
+                                  t.accidental_leave, t.employee_approve_leave, t.employee,
+                                  DAY, mode)["decisions"]
 
-register("hr_decide_accidental", DECISIONS_BAL, _accidental_ctes(), recursive=True)(
-    lambda t: D.hr_decide_accidental(_hr_batch(t, t.accidental_leave), t.leave,
-                                     t.accidental_leave, t.employee_approve_leave, t.employee,
-                                     DAY)["decisions"])
+
+register("hr_decide_accidental", DECISIONS_BAL, _accidental_ctes("as_written"),
+         recursive=True)(_accidental_frames)
+register("hr_decide_accidental_corrected", DECISIONS_BAL, _accidental_ctes("corrected"),
+         recursive=True)(lambda t: _accidental_frames(t, "corrected"))
 
 
 def _unpaid_ctes(mode: str) -> list[tuple[str, str]]:
@@ -269,7 +302,7 @@ def _unpaid_ctes(mode: str) -> list[tuple[str, str]]:
     ok = "not pt and short and approval_ok"
     if mode == "as_written":
         base += [
-            ("c", f"select a.*, row_number() over (order by request_id) as rn, "
+            ("c", f"select a.*, row_number() over (order by request_id, seq) as rn, "
                   f"(select coalesce(max(y), -1) from appr) as m0 from a where {ok}"),
         ]
         key_join = "c.rn = f.rn + 1"
@@ -277,7 +310,7 @@ def _unpaid_ctes(mode: str) -> list[tuple[str, str]]:
     else:
         base += [
             ("c", f"select a.*, coalesce(myid, -2147483648) as k, row_number() over "
-                  f"(partition by coalesce(myid, -2147483648) order by request_id) as rn, "
+                  f"(partition by coalesce(myid, -2147483648) order by request_id, seq) as rn, "
                   f"coalesce((select max(y) from appr p where p.emp_id = a.myid), -1) as m0 "
                   f"from a where {ok}"),
         ]
@@ -310,8 +343,10 @@ register("hr_decide_unpaid_corrected", DECISIONS_PLAIN, _unpaid_ctes("corrected"
          recursive=True)(lambda t: _unpaid_frames(t, "corrected"))
 
 
-def _comp_ctes() -> list[tuple[str, str]]:
-    return _guard_cte("compensation_leave", "as_written") + [
+def _comp_ctes(mode: str) -> list[tuple[str, str]]:
+    lohi = ("g.end_date", "g.start_date") if mode == "as_written" else ("g.start_date", "g.end_date")
+    avail = "repl_on_leave" if mode == "as_written" else "not repl_on_leave"
+    return _guard_cte("compensation_leave", mode) + [
         ("a", f"""select g.*, x.emp_id as myid, x.reason as creason, x.replacement_emp,
        exists (select 1 from attendance att join employee e on e.employee_id = x.emp_id
                where att.date = x.date_of_original_workday and att.emp_id = x.emp_id
@@ -319,22 +354,28 @@ def _comp_ctes() -> list[tuple[str, str]]:
                  and lower(dayname(x.date_of_original_workday)) = {ci('e.official_day_off')}
                  and year(x.date_of_original_workday) = year(g.date_of_request)
                  and month(x.date_of_original_workday) = month(g.date_of_request)) as spent,
-       {_repl_flags(('g.end_date', 'g.start_date')).replace('a.replacement_emp', 'x.replacement_emp')}
+       {_repl_flags(lohi).replace('a.replacement_emp', 'x.replacement_emp')}
  from g join compensation_leave x on x.request_id = g.request_id"""),
-    ]
+    ] + _sequential_ctes(
+        f"replacement_emp is not null and {avail} and repl_free and spent "
+        "and coalesce(rtrim(creason) <> '', false)",
+        "cast(null as integer)", "cast(null as integer)", mode)
+
 
+def _comp_frames(t, mode="as_written"):
+    return D.hr_decide_compensation(_hr_batch(t, t.compensation_leave), t.leave,
+                                    t.compensation_leave, t.employee_approve_leave,
+                                    t.employee, t.attendance, L.ledger_from(t),
+                                    t.employee_replace_employee, DAY, mode)
 
-register("hr_decide_compensation", """
-select seq, request_id, myid as emp_id, hr_id,
-       case when replacement_emp is not null and repl_on_leave and repl_free and spent
-                 and coalesce(rtrim(creason) <> '', false) then 'approved' else 'rejected' end
-         as final_approval_status
-from a
-""", _comp_ctes())(
-    lambda t: D.hr_decide_compensation(_hr_batch(t, t.compensation_leave), t.leave,
-                                       t.compensation_leave, t.employee_approve_leave,
-                                       t.employee, t.attendance, L.ledger_from(t),
-                                       t.employee_replace_employee, DAY)["decisions"])
+
+register("hr_decide_compensation", DECISIONS_PLAIN, _comp_ctes("as_written"), recursive=True)(
+    lambda t: _comp_frames(t)["decisions"])
+register("hr_decide_compensation_corrected", DECISIONS_PLAIN, _comp_ctes("corrected"),
+         recursive=True)(lambda t: _comp_frames(t, "corrected")["decisions"])
+register("hr_decide_compensation_corrected_replacements", REPLACEMENTS,
+         _comp_ctes("corrected"), recursive=True)(
+    lambda t: _comp_frames(t, "corrected")["replacements"])
 
 
 # ---------------------------------------------------------------- evaluations
@@ -366,36 +407,52 @@ select seq, employee_id, rating, comment, semester from {EVAL_BATCH} x where not
 # ---------------------------------------------------------------- decision snapshots
 
 
-def _annual_snapshots(t):
-    dec = _annual_frames(t, "corrected")["decisions"]
-    return {
-        "leave": D.apply_leave_status(t.leave, dec),
-        "approvals": D.apply_approval_updates(t.employee_approve_leave,
-                                              D.approval_updates_from(dec)),
-        "employee": D.apply_balances(t.employee, dec, "annual_balance"),
-    }
-
-
-_SNAP_CTES = _annual_ctes("corrected") + [("dd", DECISIONS_BAL)]
-
-register("hr_decide_annual_corrected_leave", """
+# Outputs of a decision batch as SQL over its decisions ``dd``.
+_LEAVE_SNAPSHOT = """
 select l.request_id, l.date_of_request, l.start_date, l.end_date, l.num_days,
        coalesce(u.st, l.final_approval_status) as final_approval_status
 from leave l left join (select request_id, arg_max(final_approval_status, seq) as st
                         from dd group by 1) u on u.request_id = l.request_id
-""", _SNAP_CTES, recursive=True)(lambda t: _annual_snapshots(t)["leave"])
-
-register("hr_decide_annual_corrected_approvals", """
+"""
+_APPROVAL_SNAPSHOT = """
 select ap.emp1_id, ap.leave_id, coalesce(u.st, ap.status) as status
 from employee_approve_leave ap
 left join (select hr_id, request_id, arg_max(final_approval_status, seq) as st
            from dd group by 1, 2) u on u.hr_id = ap.emp1_id and u.request_id = ap.leave_id
-""", _SNAP_CTES, recursive=True)(lambda t: _annual_snapshots(t)["approvals"])
+"""
+
 
-register("hr_decide_annual_corrected_balances", """
-select e.* replace (case when u.emp_id is not null then u.bal else e.annual_balance end
-                    as annual_balance)
+def _balance_snapshot(column: str) -> str:
+    return f"""
+select e.* replace (case when u.emp_id is not null then u.bal else e.{column} end as {column})
 from employee e
-left join (select emp_id, arg_max(balance_after, request_id) as bal from dd
+left join (select emp_id, arg_max(balance_after, (request_id, seq)) as bal from dd
            where final_approval_status = 'approved' group by 1) u on u.emp_id = e.employee_id
-""", _SNAP_CTES, recursive=True)(lambda t: _annual_snapshots(t)["employee"])
+"""
+
+
+def _register_snapshots(key: str, decide, ctes: list[tuple[str, str]], decisions_sql: str,
+                        balance: str | None = None) -> None:
+    """Leave, approval and (with a balance column) Employee snapshots after a batch."""
+    ctes = ctes + [("dd", decisions_sql)]
+    register(f"{key}_leave", _LEAVE_SNAPSHOT, ctes, recursive=True)(
+        lambda t: D.apply_leave_status(t.leave, decide(t)))
+    register(f"{key}_approvals", _APPROVAL_SNAPSHOT, ctes, recursive=True)(
+        lambda t: D.apply_approval_updates(t.employee_approve_leave,
+                                           D.approval_updates_from(decide(t))))
+    if balance:
+        register(f"{key}_balances", _balance_snapshot(balance), ctes, recursive=True)(
+            lambda t: D.apply_balances(t.employee, decide(t), balance))
+
+
+_register_snapshots("hr_decide_annual_corrected",
+                    lambda t: _annual_frames(t, "corrected")["decisions"],
+                    _annual_ctes("corrected"), DECISIONS_BAL, "annual_balance")
+_register_snapshots("hr_decide_accidental_corrected",
+                    lambda t: _accidental_frames(t, "corrected"),
+                    _accidental_ctes("corrected"), DECISIONS_BAL, "accidental_balance")
+_register_snapshots("hr_decide_unpaid_corrected", lambda t: _unpaid_frames(t, "corrected"),
+                    _unpaid_ctes("corrected"), DECISIONS_PLAIN)
+_register_snapshots("hr_decide_compensation_corrected",
+                    lambda t: _comp_frames(t, "corrected")["decisions"],
+                    _comp_ctes("corrected"), DECISIONS_PLAIN)

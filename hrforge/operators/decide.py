@@ -2,10 +2,11 @@
 
 Every decision procedure of the reference handles one request. Here ``batch``
 holds many (``seq`` = call order). Checks that only read the snapshot become
-flags computed by joins; the two rules whose outcome depends on earlier
-decisions in the same run -- the leave balance, and the one-unpaid-leave-per-
-year rule -- are decided by an ordered fold over the requests that pass every
-other check (``hrforge.plans.fold``).
+flags computed by joins. Rules whose outcome depends on earlier decisions of the
+same batch apply to the requests that pass every other check, in (request_id, seq)
+order: the annual balance and the booked replacements in rounds
+(``hrforge.plans.rounds``), the accidental balance as a row number, and the one
+unpaid leave a year as an ordered fold (``hrforge.plans.fold``).
 
 Outputs are decision frames plus helpers that apply them to the Leave,
 Employee, approval and replacement tables as new snapshots.
@@ -13,8 +14,11 @@ Employee, approval and replacement tables as new snapshots.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import cache
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hrforge.functions.dates import as_date, weekday_name
 from hrforge.functions.text import ci, ci_eq, ci_in
@@ -22,9 +26,10 @@ from hrforge.operators.admin import append_rows
 from hrforge.operators.flags import flag_on_leave_range, part_time, replacement_is_free
 from hrforge.operators.ledger import UNPAID
 from hrforge.operators.quality import check_predicate
-from hrforge.plans.fold import balance_fold, year_sequence_fold
+from hrforge.plans.fold import year_sequence_fold
 from hrforge.plans.ids import assign_ids, max_id
 from hrforge.plans.outputs import Outputs
+from hrforge.plans.rounds import settle_in_order
 
 MSG_NOT_AUTHORISED = "Error! You are not authorised to approve/reject this leave"
 UPPERBOARD_ROLES = ["Dean", "Vice Dean", "President"]
@@ -184,16 +189,35 @@ def _no_rejection(b: DataFrame, approvals: DataFrame) -> DataFrame:
         "_approval_ok", F.col("_rejected").isNull()).drop("_rj", "_rejected")
 
 
-def _fold_balances(b: DataFrame, ok_col: str, strict: bool) -> DataFrame:
-    """Approve candidates in request order per employee while the balance allows."""
-    b = b.withColumn("_key", F.coalesce(F.col("_myid"), F.lit(_NULL_KEY)))
-    cand = b.filter(F.col(ok_col)).select("seq", "request_id", "_key", "num_days", "_bal")
-    folded = balance_fold(cand, "_key", "request_id", "num_days", "_bal", strict).select(
-        "seq", "approved", "balance_after")
-    return b.join(folded, "seq", "left").withColumn(
+def _settle(b: DataFrame, ok: Column, days: Column, balance: Column, mode: str) -> DataFrame:
+    """``b`` with ``approved`` and ``balance_after``: the rows that pass ``ok``, decided in
+    order against the balance and the replacements that the batch itself books."""
+    requests = b.filter(ok).select(
+        "seq", "request_id", F.col("_myid").alias("emp_id"), days.alias("days"),
+        balance.alias("balance"), F.col("replacement_emp").alias("replacement"),
+        "start_date", "end_date")
+    return _approve(b, settle_in_order(requests, reversed_range=mode == "as_written"))
+
+
+def _approve(b: DataFrame, approved: DataFrame) -> DataFrame:
+    """Attach the approved rows (seq, balance_after) to the batch."""
+    return b.join(approved.withColumn("approved", F.lit(True)), "seq", "left").withColumn(
         "approved", F.coalesce(F.col("approved"), F.lit(False)))
 
 
+def _replacement_outputs(settled, decisions, replacements: DataFrame) -> Outputs:
+    """Decisions, the replacement rows that approvals add, and the new snapshot."""
+    def added() -> DataFrame:
+        return settled().filter(F.col("approved")).select(
+            F.col("_myid").alias("emp1_id"), F.col("replacement_emp").alias("emp2_id"),
+            F.col("start_date").alias("from_date"), F.col("end_date").alias("to_date"), "seq")
+
+    return Outputs(decisions=lambda: decisions(settled()), new_replacements=added,
+                   replacements=lambda: append_rows(replacements, added(),
+                                                    "employee_replace_employee", "table_id",
+                                                    ["seq"]))
+
+
 def _decisions(b: DataFrame, with_balance: bool) -> DataFrame:
     cols = ["seq", "request_id", F.col("_myid").alias("emp_id"), "hr_id",
             F.when(F.col("approved"), F.lit("approved")).otherwise(F.lit("rejected"))
@@ -214,7 +238,7 @@ def hr_decide_annual(batch: DataFrame, leave: DataFrame, annual_leave: DataFrame
     leave* during the request -- ``corrected``: not on leave; replacement not
     already replacing someone in that range; no rejected approval; days <= the
     remaining annual balance (a null balance passes). Approval subtracts the days
-    and records the replacement.
+    and books the replacement, for the later requests of the batch too.
     """
     b = _guarded(batch, approvals, leave, as_of, mode)
     a = annual_leave.select("request_id", F.col("emp_id").alias("_aemp"), "replacement_emp")
@@ -231,15 +255,9 @@ def hr_decide_annual(batch: DataFrame, leave: DataFrame, annual_leave: DataFrame
     avail = F.col("replacement_emp").isNotNull() & avail
     b = b.withColumn("_ok", ~part_time(F.col("_contract")) & avail & F.col("_repl_free")
                      & F.col("_approval_ok"))
-    b = _fold_balances(b, "_ok", strict=False)
-    decisions = _decisions(b, with_balance=True)
-    new_repl = b.filter(F.col("approved")).select(
-        F.col("_myid").alias("emp1_id"), F.col("replacement_emp").alias("emp2_id"),
-        F.col("start_date").alias("from_date"), F.col("end_date").alias("to_date"), "seq")
-    return Outputs(decisions=lambda: decisions, new_replacements=lambda: new_repl,
-                   replacements=lambda: append_rows(replacements, new_repl,
-                                                    "employee_replace_employee", "table_id",
-                                                    ["seq"]))
+    settled = cache(lambda: _settle(b, F.col("_ok"), F.col("num_days"), F.col("_bal"), mode))
+    return _replacement_outputs(settled, lambda x: _decisions(x, with_balance=True),
+                                replacements)
 
 
 def hr_decide_accidental(batch: DataFrame, leave: DataFrame, accidental_leave: DataFrame,
@@ -247,7 +265,9 @@ def hr_decide_accidental(batch: DataFrame, leave: DataFrame, accidental_leave: D
                          mode: str = "as_written") -> dict[str, DataFrame]:
     """``HR_approval_an_acc`` for accidental requests: exactly one day (a null day
     count passes), submitted 0..48 hours before the start, and an accidental
-    balance strictly greater than the days."""
+    balance strictly greater than the days, so a null day count is refused here.
+    Every approval costs one day: the n-th candidate of an employee, in (request_id,
+    seq) order, is approved when n is below the balance."""
     b = _guarded(batch, approvals, leave, as_of, mode)
     a = accidental_leave.select("request_id", F.col("emp_id").alias("_aemp"))
     b = b.join(a, "request_id", "inner")
@@ -257,9 +277,11 @@ def hr_decide_accidental(batch: DataFrame, leave: DataFrame, accidental_leave: D
     one_day = ~F.coalesce(F.col("num_days") != 1, F.lit(False))
     hours = F.datediff("start_date", "date_of_request") * 24
     within = F.coalesce(hours.between(0, 48), F.lit(False))
-    b = b.withColumn("_ok", one_day & within)
-    b = _fold_balances(b, "_ok", strict=True)
-    return {"decisions": _decisions(b, with_balance=True)}
+    nth = F.row_number().over(Window.partitionBy("_myid").orderBy("request_id", "seq"))
+    approved = (b.filter(one_day & within & F.col("num_days").isNotNull() & (F.col("_bal") > 1))
+                .select("seq", "_bal", nth.alias("_n")).filter(F.col("_n") < F.col("_bal"))
+                .select("seq", (F.col("_bal") - F.col("_n")).alias("balance_after")))
+    return {"decisions": _decisions(_approve(b, approved), with_balance=True)}
 
 
 def hr_decide_unpaid(batch: DataFrame, leave: DataFrame, unpaid_leave: DataFrame,
@@ -284,7 +306,7 @@ def hr_decide_unpaid(batch: DataFrame, leave: DataFrame, unpaid_leave: DataFrame
     if mode == "as_written":
         m0 = approved_unpaid.select(F.coalesce(F.max(F.year("start_date")), F.lit(-1))).scalar()
         cand = cand.select("seq", "request_id", "_ry", "_sy", m0.alias("_m0"))
-        folded = year_sequence_fold(cand, "request_id", "_ry", "_sy")
+        folded = year_sequence_fold(cand, ["request_id", "seq"], "_ry", "_sy")
     else:
         per = approved_unpaid.groupBy(F.col("emp_id").alias("_pe")).agg(
             F.max(F.year("start_date")).alias("_pm"))
@@ -292,7 +314,7 @@ def hr_decide_unpaid(batch: DataFrame, leave: DataFrame, unpaid_leave: DataFrame
         cand = cand.join(per, cand._myid == per._pe, "left").select(
             "seq", "request_id", "_key", "_ry", "_sy",
             F.coalesce(F.col("_pm"), F.lit(-1)).alias("_m0"))
-        folded = year_sequence_fold(cand, "request_id", "_ry", "_sy", key="_key")
+        folded = year_sequence_fold(cand, ["request_id", "seq"], "_ry", "_sy", key="_key")
     b = b.join(folded.select("seq", "approved"), "seq", "left").withColumn(
         "approved", F.coalesce(F.col("approved"), F.lit(False)))
     return {"decisions": _decisions(b, with_balance=False)}
@@ -305,7 +327,8 @@ def hr_decide_compensation(batch: DataFrame, leave: DataFrame, compensation_leav
     """``HR_approval_comp``: worked >= 480 minutes on the original workday, which
     is the requester's day off and in the month and year of the request; a
     non-empty reason; a replacement that (as written) is on leave -- ``corrected``:
-    is not -- and is not already replacing someone then."""
+    is not -- and is not already replacing someone then, by the table or by an
+    earlier approval of the batch."""
     b = _guarded(batch, approvals, leave, as_of, mode)
     c = compensation_leave.select("request_id", F.col("emp_id").alias("_myid"),
                                   F.col("reason").alias("_reason"), "date_of_original_workday",
@@ -330,16 +353,11 @@ def hr_decide_compensation(batch: DataFrame, leave: DataFrame, compensation_leav
     avail = F.col("_repl_on_leave") if mode == "as_written" else ~F.col("_repl_on_leave")
     avail = F.col("replacement_emp").isNotNull() & avail
     reason_ok = F.coalesce(F.rtrim(F.col("_reason")) != "", F.lit(False))
-    b = b.withColumn("approved", avail & F.col("_repl_free") & F.col("_spent").isNotNull()
-                     & reason_ok)
-    decisions = _decisions(b, with_balance=False)
-    new_repl = b.filter(F.col("approved")).select(
-        F.col("_myid").alias("emp1_id"), F.col("replacement_emp").alias("emp2_id"),
-        F.col("start_date").alias("from_date"), F.col("end_date").alias("to_date"), "seq")
-    return Outputs(decisions=lambda: decisions, new_replacements=lambda: new_repl,
-                   replacements=lambda: append_rows(replacements, new_repl,
-                                                    "employee_replace_employee", "table_id",
-                                                    ["seq"]))
+    ok = avail & F.col("_repl_free") & F.col("_spent").isNotNull() & reason_ok
+    none = F.lit(None).cast("int")
+    settled = cache(lambda: _settle(b, ok, none, none, mode))
+    return _replacement_outputs(settled, lambda x: _decisions(x, with_balance=False),
+                                replacements)
 
 
 # ---------------------------------------------------------------- evaluations

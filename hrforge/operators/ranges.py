@@ -24,7 +24,7 @@ def covered_days(a: Column, b: Column) -> Column:
     return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<date>"))
 
 
-def _range_days(df: DataFrame, a: str, b: str) -> DataFrame:
+def range_days(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row per day the range covers or ends on: ``_day``, ``_cover``, ``_end``."""
     lo, hi, day = F.col(a), F.col(b), F.col("_day")
     days = F.array_union(covered_days(lo, hi), F.array_compact(F.array(lo, hi)))
@@ -39,11 +39,11 @@ def overlapping_keys(probes: DataFrame, key: list[str], p_emp: str, p_from: str,
     """Distinct ``key`` of probe rows with at least one interval of the same
     employee for which the four-way BETWEEN overlap is TRUE. Null employees never
     match; an unknown comparison is not TRUE."""
-    p = _range_days(probes.where(F.col(p_emp).isNotNull()).select(
+    p = range_days(probes.where(F.col(p_emp).isNotNull()).select(
         *key, F.col(p_emp).alias("_pe"), F.col(p_from).alias("_f"), F.col(p_to).alias("_t")),
         "_f", "_t").select(*key, "_pe", F.col("_day").alias("_pday"),
                            F.col("_cover").alias("_pcover"), F.col("_end").alias("_pend"))
-    i = _range_days(intervals.where(F.col(i_emp).isNotNull()).select(
+    i = range_days(intervals.where(F.col(i_emp).isNotNull()).select(
         F.col(i_emp).alias("_ie"), F.col(i_from).alias("_f"), F.col(i_to).alias("_t")),
         "_f", "_t").groupBy("_ie", "_day").agg(F.max("_cover").alias("_icover"),
                                                F.max("_end").alias("_iend"))

@@ -1,15 +1,8 @@
-"""Ordered folds for rules that are sequential by nature.
-
-A request that is approved consumes balance that later requests of the same
-employee can no longer use, and a refused request consumes nothing, so no running
-sum or window expresses the outcome. The fold below streams: rows are hash
-partitioned on the group key, sorted inside the partition (Spark's spillable
-sort), and walked batch by batch in ``mapInPandas`` with O(1) state per group.
-No group is ever collected into memory, so a hot employee costs time in one task
-but not memory. Only candidate rows (those passing every other check) are fed in.
-
-The one-unpaid-leave-per-year rule has a state with a tiny domain (a year), so
-it runs as a parallel prefix scan instead: see ``year_sequence_fold``.
+"""The one-unpaid-leave-per-year rule: sequential by nature.
+
+An approval raises the year that later requests must exceed, and a refusal does not,
+so no running sum or window expresses the outcome. Its state has a tiny domain (a
+year), so it runs as a parallel prefix scan: see ``year_sequence_fold``.
 """
 
 from __future__ import annotations
@@ -24,49 +17,6 @@ from pyspark.sql import types as T
 from hrforge.session import checkpoint_dir
 
 
-def balance_fold(df: DataFrame, key: str, order: str, need: str, balance: str,
-                 strict: bool) -> DataFrame:
-    """Approve rows in ``order`` within each ``key`` while balance allows.
-
-    strict=False (annual): refuse only when ``need > remaining`` is TRUE, so a null
-    balance or a null need passes; strict=True (accidental): approve only when
-    ``remaining > need`` is TRUE. An approval subtracts ``need`` (null stays null).
-    Output: the input columns plus ``approved`` and ``balance_after``.
-    """
-    out_schema = T.StructType(df.schema.fields + [
-        T.StructField("approved", T.BooleanType(), False),
-        T.StructField("balance_after", T.LongType(), True)])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_key = object()
-        remaining = None
-        for pdf in batches:
-            keys = pdf[key].tolist()
-            needs = pdf[need].tolist()
-            bals = pdf[balance].tolist()
-            approved, after = [], []
-            for k, nd, bal in zip(keys, needs, bals):
-                if k != cur_key:
-                    cur_key = k
-                    remaining = None if pd.isna(bal) else int(bal)
-                nd = None if pd.isna(nd) else int(nd)
-                if strict:
-                    ok = remaining is not None and nd is not None and remaining > nd
-                else:
-                    ok = not (remaining is not None and nd is not None and nd > remaining)
-                if ok:
-                    remaining = None if (remaining is None or nd is None) else remaining - nd
-                approved.append(ok)
-                after.append(remaining)
-            res = pdf.copy()
-            res["approved"] = approved
-            res["balance_after"] = pd.array(after, dtype="Int64")
-            yield res
-
-    return (df.repartition(key).sortWithinPartitions(key, order)
-            .mapInPandas(run, out_schema))
-
-
 def _year_step(m: int, ry, sy) -> tuple[bool, int]:
     ok = not pd.isna(ry) and int(ry) > m
     if ok and not pd.isna(sy):
@@ -74,40 +24,42 @@ def _year_step(m: int, ry, sy) -> tuple[bool, int]:
     return ok, m
 
 
-def _pieces(rys: list, sys_: list) -> list[tuple]:
-    """The segment's effect on an incoming M, as integer pieces
-    (lo, hi, identity, value); lo/hi None = unbounded. Inside a piece every
-    comparison with the segment's years comes out the same, so one
-    representative decides the whole piece."""
-    bps = sorted({int(v) for v in rys + sys_ if not pd.isna(v)})
-    if not bps:
-        return [(None, None, True, None)]
-    spans = [(None, bps[0] - 1)]
-    for i, b in enumerate(bps):
-        spans.append((b, b))
-        nxt = bps[i + 1] if i + 1 < len(bps) else None
-        if nxt is None:
-            spans.append((b + 1, None))
-        elif nxt > b + 1:
-            spans.append((b + 1, nxt - 1))
-    out = []
-    for lo, hi in spans:
-        rep = lo if lo is not None else hi
-        m = rep
-        for ry, sy in zip(rys, sys_):
-            m = _year_step(m, ry, sy)[1]
-        out.append((lo, hi, m == rep, None if m == rep else m))
+Piece = tuple[int | None, int | None, int | None]  # lo, hi (None: unbounded), value of M
+IDENTITY: list[Piece] = [(None, None, None)]          # value None: M stays as it came in
+
+
+def _advance(pieces: list[Piece], ry, sy) -> list[Piece]:
+    """The effect of one more row on an incoming M. Equal neighbours merge, so there is
+    at most one piece per distinct start year and one that leaves M alone."""
+    if pd.isna(ry) or pd.isna(sy):
+        return pieces
+    ry, sy = int(ry), int(sy)
+    cut = min(ry, sy)  # an incoming M below it is raised to sy
+    out: list[Piece] = []
+    for lo, hi, val in pieces:
+        if val is not None:
+            parts = [(lo, hi, max(val, sy) if ry > val else val)]
+        elif lo is not None and lo >= cut:
+            parts = [(lo, hi, None)]
+        elif hi is not None and hi < cut:
+            parts = [(lo, hi, sy)]
+        else:
+            parts = [(lo, cut - 1, sy), (cut, hi, None)]
+        for part in parts:
+            if out and out[-1][2] == part[2]:
+                part = (out.pop()[0], part[1], part[2])
+            out.append(part)
     return out
 
 
-def _apply_pieces(pieces: list[tuple], m: int) -> int:
-    for lo, hi, ident, val in pieces:
+def _apply_pieces(pieces: list[Piece], m: int) -> int:
+    for lo, hi, val in pieces:
         if (lo is None or m >= lo) and (hi is None or m <= hi):
-            return m if ident else val
+            return m if val is None else val
     return m
 
 
-def year_sequence_fold(df: DataFrame, order: str, req_year: str, start_year: str,
+def year_sequence_fold(df: DataFrame, order: list[str], req_year: str, start_year: str,
                        key: str | None = None) -> DataFrame:
     """One-approved-unpaid-leave-per-year rule, as an exact parallel scan.
 
@@ -117,7 +69,7 @@ def year_sequence_fold(df: DataFrame, order: str, req_year: str, start_year: str
     sequence (the rule as written); a key restarts it per employee.
 
     M only ever takes year values, so a run of rows acts on M as a handful of
-    pieces. Rows are range-partitioned on (key, order) -- a hot key spreads over
+    pieces, one per distinct start year at most; rows are not kept. Rows are range-partitioned on (key, order) -- a hot key spreads over
     several partitions -- and frozen with a checkpoint. Pass 1 summarises only the
     first and last segment of each partition (the only ones that can continue
     across a boundary: at most two per partition). A tiny combine gives each
@@ -129,31 +81,26 @@ def year_sequence_fold(df: DataFrame, order: str, req_year: str, start_year: str
     k = key or "_all"
     d = df if key else df.withColumn("_all", F.lit(0))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    frozen = (d.repartitionByRange(n, k, order).sortWithinPartitions(k, order)
+    frozen = (d.repartitionByRange(n, k, *order).sortWithinPartitions(k, *order)
               .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
     key_type = frozen.schema[k].dataType
 
     summary_schema = T.StructType([
         T.StructField("_pid", T.IntegerType()), T.StructField(k, key_type),
         T.StructField("_m0", T.LongType()), T.StructField("_lo", T.LongType()),
-        T.StructField("_hi", T.LongType()), T.StructField("_ident", T.BooleanType()),
-        T.StructField("_val", T.LongType())])
+        T.StructField("_hi", T.LongType()), T.StructField("_val", T.LongType())])
 
     def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segs: list[list] = []  # [pid, key, m0, rys, sys]
+        segs: list[list] = []  # [pid, key, m0, pieces]
         for pdf in batches:
             for pid, kv, m0, ry, sy in zip(pdf["_pid"], pdf[k], pdf["_m0"], pdf[req_year],
                                            pdf[start_year]):
                 if not segs or segs[-1][0] != pid or segs[-1][1] != kv:
                     if len(segs) == 2:  # keep only the first and the running last
                         segs.pop()
-                    segs.append([pid, kv, m0, [], []])
-                segs[-1][3].append(ry)
-                segs[-1][4].append(sy)
-        rows = []
-        for pid, kv, m0, rys, sys_ in segs:
-            for lo, hi, ident, val in _pieces(rys, sys_):
-                rows.append((pid, kv, int(m0), lo, hi, ident, val))
+                    segs.append([pid, kv, m0, IDENTITY])
+                segs[-1][3] = _advance(segs[-1][3], ry, sy)
+        rows = [(pid, kv, int(m0), *piece) for pid, kv, m0, pieces in segs for piece in pieces]
         yield pd.DataFrame(rows, columns=[f.name for f in summary_schema.fields])
 
     carry_schema = T.StructType([
@@ -168,10 +115,8 @@ def year_sequence_fold(df: DataFrame, order: str, req_year: str, start_year: str
                 m = int(seg["_m0"].iloc[0])   # the key starts in this segment
             else:
                 out.append((int(pid), seg[k].iloc[0], m))
-            pieces = [(None if pd.isna(lo) else int(lo), None if pd.isna(hi) else int(hi),
-                       bool(ident), None if pd.isna(val) else int(val))
-                      for lo, hi, ident, val in zip(seg["_lo"], seg["_hi"], seg["_ident"],
-                                                    seg["_val"])]
+            pieces = [tuple(None if pd.isna(v) else int(v) for v in piece)
+                      for piece in zip(seg["_lo"], seg["_hi"], seg["_val"])]
             m = _apply_pieces(pieces, m)
         return pd.DataFrame(out, columns=["_pid", k, "_min"])
 
@@ -180,7 +125,7 @@ def year_sequence_fold(df: DataFrame, order: str, req_year: str, start_year: str
     carry = summaries.groupBy(k).applyInPandas(combine, carry_schema)
     # carry has at most two rows per partition: a proven bound for the broadcast
     with_carry = frozen.join(F.broadcast(carry), ["_pid", k], "left").sortWithinPartitions(
-        "_pid", k, order)
+        "_pid", k, *order)
     out_schema = T.StructType(with_carry.schema.fields + [
         T.StructField("approved", T.BooleanType(), False)])
 

@@ -1,0 +1,99 @@
+"""Decisions whose outcome depends on earlier decisions of the same batch.
+
+An approved leave uses up balance of its employee and books its replacement, and a
+refused one does neither, so a request can depend on any earlier one of the same
+employee or the same replacement. ``settle_in_order`` gives the result of deciding
+the requests one after another in (request_id, seq) order, in rounds over all of
+them at once. A round decides each request that comes out the same whatever its
+still open predecessors become. The first open request of all has none, so every
+round makes progress; a chain of requests that really depend on each other takes one
+or two rounds per approval, so balances and calendar days bound the rounds. Refused
+requests leave the state. Each round ends in a reliable checkpoint, and only the
+test whether any request is still open reaches the driver.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from hrforge.operators.ranges import range_days
+from hrforge.session import checkpoint_dir
+
+
+def _yes(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
+
+
+def _earlier(last: int):
+    """Requests of one employee in order, up to ``last`` rows from the current one.
+    Without a balance no request depends on another, and each is its own group."""
+    return (Window.partitionBy("emp_id", F.when(F.col("balance").isNull(), F.col("seq")))
+            .orderBy("request_id", "seq").rowsBetween(Window.unboundedPreceding, last))
+
+
+def _booking_conflicts(state: DataFrame, lo: str, hi: str) -> DataFrame:
+    """seq of open requests whose replacement has an earlier overlapping request:
+    ``_booked`` (an approved one), ``_contested`` (an open one). The earliest request
+    per (replacement, day) answers for all, so no pairs are formed."""
+    taken, still = _yes(F.col("approved")), F.col("approved").isNull()
+    place = F.struct("request_id", "seq")
+    marks = range_days(state, "start_date", "end_date").groupBy("replacement", "_day").agg(
+        *[F.min(F.when(kind & state_is, place)).alias(name)
+          for name, kind, state_is in (
+              ("_cover_taken", F.col("_cover"), taken), ("_end_taken", F.col("_end"), taken),
+              ("_cover_open", F.col("_cover"), still), ("_end_open", F.col("_end"), still))])
+    probes = range_days(state.filter(still), lo, hi).select(
+        "seq", "replacement", "_day", "_cover", "_end", place.alias("_place"))
+
+    def hit(suffix: str) -> Column:
+        return (_yes(F.col("_end") & (F.col(f"_cover_{suffix}") < F.col("_place")))
+                | _yes(F.col("_cover") & (F.col(f"_end_{suffix}") < F.col("_place"))))
+
+    return (probes.join(marks, ["replacement", "_day"])
+            .groupBy("seq").agg(F.max(hit("taken")).alias("_booked"),
+                                F.max(hit("open")).alias("_contested")))
+
+
+def _round(state: DataFrame, lo: str, hi: str) -> DataFrame:
+    before, days, balance = _earlier(-1), F.col("days"), F.col("balance")
+    taken, still = _yes(F.col("approved")), F.col("approved").isNull()
+
+    def used(open_days: Column) -> Column:
+        return F.coalesce(F.sum(F.when(taken, days).when(still, open_days)).over(before),
+                          F.lit(0))
+
+    s = state.select(
+        "*", used(F.least(days, F.lit(0))).alias("_used_least"),
+        used(F.greatest(days, F.lit(0))).alias("_used_most"),
+        _yes(F.max(days.isNull() & taken).over(before)).alias("_unknown_left"),
+        _yes(F.max(days.isNull() & still).over(before)).alias("_maybe_unknown"))
+    s = s.join(_booking_conflicts(state, lo, hi), "seq", "left")
+    free = balance.isNull() | days.isNull() | F.col("_unknown_left")
+    fits = free | (days <= balance - F.col("_used_most"))
+    too_long = ~free & ~F.col("_maybe_unknown") & (days > balance - F.col("_used_least"))
+    return (s.withColumn("approved", F.when(taken, F.lit(True))
+                         .when(too_long | _yes(F.col("_booked")), F.lit(False))
+                         .when(fits & ~_yes(F.col("_contested")), F.lit(True)))
+            .filter(F.col("approved").isNull() | F.col("approved")).select(*state.columns))
+
+
+def settle_in_order(requests: DataFrame, reversed_range: bool) -> DataFrame:
+    """``seq`` and ``balance_after`` of the approved ones of ``requests`` (seq, request_id,
+    emp_id, days, balance, replacement, start_date, end_date; ``seq`` identifies a row).
+
+    In (request_id, seq) order a request is approved unless its days exceed what is
+    left of the balance, or an earlier approval booked its replacement in an
+    overlapping range (``reversed_range``: tested with its ends swapped). Unknown
+    days or an unknown balance pass, and leave an unknown balance.
+    """
+    checkpoint_dir(requests.sparkSession)
+    lo, hi = ("end_date", "start_date") if reversed_range else ("start_date", "end_date")
+    state = requests.withColumn("approved", F.lit(None).cast("boolean")).checkpoint()
+    while not state.filter(F.col("approved").isNull()).isEmpty():
+        state = _round(state, lo, hi).checkpoint()
+    up_to = _earlier(0)
+    left = F.col("balance") - F.sum("days").over(up_to)
+    known = ~F.max(F.col("days").isNull()).over(up_to)
+    return state.select("seq", F.when(known, left).cast("int").alias("balance_after"))

@@ -2,7 +2,7 @@
 
 import random
 
-from hrforge.plans.fold import balance_fold, year_sequence_fold
+from hrforge.plans.fold import year_sequence_fold
 
 
 def _seq(rows, m0):
@@ -25,21 +25,13 @@ def test_year_fold_matches_sequential(spark):
         rows.append((rid, emp, ry, sy))
     df = spark.createDataFrame([(r, e, ry, sy, 2020) for r, e, ry, sy in rows],
                                "request_id int, emp int, ry int, sy int, _m0 long")
-    got = {r.request_id: r.approved for r in year_sequence_fold(df, "request_id", "ry", "sy")
+    got = {r.request_id: r.approved for r in year_sequence_fold(df, ["request_id"], "ry", "sy")
            .collect()}
     assert got == _seq([(r, ry, sy) for r, _, ry, sy in rows], 2020)
     got_k = {r.request_id: r.approved
-             for r in year_sequence_fold(df, "request_id", "ry", "sy", key="emp").collect()}
+             for r in year_sequence_fold(df, ["request_id"], "ry", "sy", key="emp").collect()}
     want_k = {}
     for e in {e for _, e, _, _ in rows}:
         want_k.update(_seq([(r, ry, sy) for r, ee, ry, sy in rows if ee == e], 2020))
     assert got_k == want_k
     assert 0 < sum(got.values()) < len(got)
-
-
-def test_balance_fold_sequential(spark):
-    df = spark.createDataFrame([(1, 7, 3, 5), (2, 7, 4, 5), (3, 7, 2, 5), (4, 8, 1, None)],
-                               "request_id int, k int, need int, bal int")
-    got = {r.request_id: (r.approved, r.balance_after)
-           for r in balance_fold(df, "k", "request_id", "need", "bal", strict=False).collect()}
-    assert got == {1: (True, 2), 2: (False, 2), 3: (True, 0), 4: (True, None)}

@@ -66,3 +66,23 @@ def test_month_filter_reaches_parquet_scan(stored):
     # only the columns the table function needs are read
     scan = [ln for ln in text.splitlines() if "ReadSchema" in ln and "check_in_time" in ln]
     assert scan and "total_duration" in scan[0]
+
+
+def test_key_checks_read_each_table_once(stored):
+    from hrforge.operators.quality import fk_violations, pk_violations
+    from hrforge.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
+    tables = {n: getattr(stored, n) for n in PRIMARY_KEYS}
+    text = plan_text(pk_violations(tables))
+    assert text.count("Scan parquet") <= 2 * len(PRIMARY_KEYS)  # tree and detail section
+    children = {c for c, _, _, _ in FOREIGN_KEYS}
+    parents = {(p, k) for _, _, p, k in FOREIGN_KEYS}
+    text = plan_text(fk_violations(tables))
+    assert text.count("Scan parquet") <= 2 * (len(children) + len(parents))
+    assert "LeftAnti" not in text
+
+
+@pytest.mark.parametrize("key", ["hr_decide_annual", "hr_decide_annual_corrected_balances",
+                                 "hr_decide_accidental", "hr_decide_compensation_corrected"])
+def test_decisions_run_no_python(stored, key):
+    text = plan_text(BUILDERS[key](stored))
+    assert "InPandas" not in text and "InArrow" not in text
