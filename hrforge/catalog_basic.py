@@ -100,6 +100,27 @@ def _q(t):
     return tvf.deductions_from_attendance(t.deduction, t.attendance, 1)
 
 
+@register("deductions_from_attendance_employee", """
+select d.deduction_id, d.emp_id, d.date, d.amount, d.type, d.status, d.attendance_id
+from deduction d join attendance a on d.attendance_id = a.attendance_id
+where (d.emp_id = 7 and month(d.date) = 1 and lower(d.type) in ('missing days', 'missing_days'))
+   or lower(d.type) in ('missing hours', 'missing_hours')
+""")
+def _q(t):
+    return tvf.deductions_from_attendance(t.deduction, t.attendance, 1, employee_id=7)
+
+
+@register("deductions_from_attendance_employee_corrected", """
+select d.deduction_id, d.emp_id, d.date, d.amount, d.type, d.status, d.attendance_id
+from deduction d join attendance a on d.attendance_id = a.attendance_id
+where d.emp_id = 7 and month(d.date) = 1
+  and lower(d.type) in ('missing days', 'missing_days', 'missing hours', 'missing_hours')
+""")
+def _q(t):
+    return tvf.deductions_from_attendance(t.deduction, t.attendance, 1, employee_id=7,
+                                          mode="corrected")
+
+
 @register("deductions_from_attendance_corrected", """
 select d.deduction_id, d.emp_id, d.date, d.amount, d.type, d.status, d.attendance_id
 from deduction d join attendance a on d.attendance_id = a.attendance_id

@@ -188,6 +188,21 @@ def _q(t):
     return flags.highest_ranked_available(t.employee, t.employee_role, t.role, blocked)
 
 
+@register("highest_ranked_available_role", f"""
+select department_name, employee_id from (
+  select e.dept_name as department_name, e.employee_id,
+         row_number() over (partition by e.dept_name order by r.rank, e.employee_id) as rn
+  from employee e join employee_role er on e.employee_id = er.emp_id
+  join role r on {ci('er.role_name')} = {ci('r.role_name')}
+  where {ci('er.role_name')} = 'researcher' and e.employee_id not in {on_leave_ids(LEAVE_DAY)}) x
+where rn = 1
+""")
+def _q(t):
+    blocked = L.on_leave_ids(L.ledger_from(t), LEAVE_DAY, LEAVE_DAY)
+    return flags.highest_ranked_available(t.employee, t.employee_role, t.role, blocked,
+                                          role_name="Researcher")
+
+
 # ---------------------------------------------------------------- bonus & payroll
 
 
@@ -524,17 +539,41 @@ def checkin_batch(t):
     """Stand-in check-in batch: each event on AS_OF is one check-in record; half of
     them are mapped to employees without an attendance row (to exercise inserts)."""
     ev = t.base("events").filter(F.to_date("ts") == F.lit(AS_OF))
+    users = t.base("events").agg(F.max("user_id") + 1).scalar()
     return ev.select(
-        (F.col("user_id") + 1 + 150 * (F.col("event_id") % 2)).cast("int").alias("emp_id"),
+        (F.col("user_id") + 1 + users * (F.col("event_id") % 2)).cast("int").alias("emp_id"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("check_in_time"),
         F.col("ts").alias("check_out_time"), F.col("event_id").alias("seq"))
 
 
 CHECKIN_SQL = f"""(select emp_id, arg_max(check_in_time, seq) as cin, arg_max(check_out_time, seq) as cout
- from (select cast(user_id + 1 + 150 * (event_id % 2) as integer) as emp_id,
+ from (select cast(user_id + 1 + (select max(user_id) + 1 from events) * (event_id % 2)
+                   as integer) as emp_id,
               date_trunc('hour', ts) as check_in_time, ts as check_out_time, event_id as seq
        from events where cast(ts as date) = {d(AS_OF)}) b group by emp_id)"""
 
+def holiday_batch(t):
+    """Stand-in batch: each month with orders is one holiday from its first to its last order."""
+    day = F.to_date("o_orderdate")
+    month = (F.year(day) * 12 + F.month(day)).alias("seq")
+    return t.base("orders").groupBy(month).agg(
+        F.min(day).alias("from_date"), F.max(day).alias("to_date")).select(
+        "seq", F.concat(F.lit("Month "), F.col("seq")).alias("holiday_name"),
+        "from_date", "to_date")
+
+
+@register("append_holidays", f"""
+select holiday_id, holiday_name, from_date, to_date from holiday
+union all
+select {next_ids('holiday', 'holiday_id', 'seq')}, concat('Month ', seq), from_date, to_date
+from (select year(o_orderdate) * 12 + month(o_orderdate) as seq,
+             min(cast(o_orderdate as date)) as from_date, max(cast(o_orderdate as date)) as to_date
+      from orders group by 1) b
+""")
+def _q(t):
+    return admin.append_holidays(t.holiday, holiday_batch(t))
+
+
 DUR = "cast(hour({o})*60 + minute({o}) - hour({i})*60 - minute({i}) as integer)"
 
 
