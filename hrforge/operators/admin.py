@@ -143,10 +143,15 @@ def holiday_dates(holiday: DataFrame) -> DataFrame:
 def drop_holiday_attendance(attendance: DataFrame, holiday: DataFrame) -> DataFrame:
     """Delete attendance on any date inside a holiday range.
 
-    Expanding the holidays into dates turns the range test into an equi-join; the
-    date list has at most one row per calendar day, so broadcasting it is bounded.
+    Expanding the holidays into dates turns the range test into an equi-join. Ranges are
+    cut to the dates that attendance spans, so the broadcast list has at most one row
+    per calendar day of that span, however far a holiday's end lies ahead.
     """
-    days = F.broadcast(holiday_dates(holiday))
+    first, last = (attendance.agg(f("date")).scalar() for f in (F.min, F.max))
+    near = holiday.filter((F.col("from_date") <= last) & (F.col("to_date") >= first)).select(
+        F.greatest("from_date", first).alias("from_date"),
+        F.least("to_date", last).alias("to_date"))
+    days = F.broadcast(holiday_dates(near))
     return attendance.join(days, attendance.date == days._hd, "left_anti")
 
 

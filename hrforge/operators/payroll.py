@@ -215,9 +215,9 @@ def run_payroll(employee: DataFrame, employee_role: DataFrame, role: DataFrame,
         F.col("emp_id").alias("_paid"))
     todo = employee.join(paid, employee.employee_id == paid._paid, "left_anti")
     if mode == "as_written":
-        bonus = bonus_amount(employee, employee_role, role, attendance, as_of=as_of)
+        bonus = bonus_amount(todo, employee_role, role, attendance, as_of=as_of)
     else:
-        bonus = bonus_amount(employee, employee_role, role, attendance,
+        bonus = bonus_amount(todo, employee_role, role, attendance,
                              from_date=from_date, to_date=to_date, mode="corrected")
     in_range = F.col("date").between(f0, t0) & ci_eq("status", "pending")
     ded = (deduction.filter(in_range).groupBy("emp_id")
