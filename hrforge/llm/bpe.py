@@ -11,13 +11,17 @@ run of letters costs n log n. Results are cached per worker, in bounded memory.
 A null text counts as empty: no ids, empty decoded text. Work is per row: repeated
 rows and ties need nothing special; empty table: empty result. Columns other than
 ``doc_id`` and ``text`` are not read. The tokenizer file is a parameter; ids equal
-those of the tokenizers library on the same file.
+those of the tokenizers library on the same file. The library's Unicode tables may be
+older than those of ``regex``: letters and numbers that it lacks are found once, on the
+driver, and count as neither, as they do there.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
+import re
 from collections.abc import Iterable
 from itertools import chain
 
@@ -44,10 +48,32 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@functools.cache
+def newer_characters() -> tuple[str, str]:
+    """Letters and numbers of ``regex`` that the tokenizers library does not know as such,
+    as ranges for a character class."""
+    from tokenizers import Regex, pre_tokenizers
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+    def lacking(kind: str) -> str:
+        ours = "".join(regex.findall(rf"\p{{{kind}}}+", every))
+        left = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}+"), "removed").pre_tokenize_str(ours)
+        ranges: list[list[int]] = []
+        for c in map(ord, "".join(part for part, _ in left)):
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+        return "".join(f"{chr(low)}-{chr(high)}" for low, high in ranges)
+
+    return lacking("L"), lacking("N")
+
+
 class Bpe:
-    """Vocabulary, merge ranks, special strings, and the worker's cache."""
+    """Vocabulary, merge ranks, special strings, and the worker's cache. ``newer``: what
+    ``newer_characters`` found."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, newer: tuple[str, str] | None = None):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -65,6 +91,15 @@ class Bpe:
         self.at_special = regex.compile("(" + "|".join(
             regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.split = regex.compile(PATTERN).findall
+        letters_, numbers_ = newer_characters() if newer is None else newer
+        self.at_newer, self.split_newer = None, self.split
+        if letters_ or numbers_:
+            self.at_newer = re.compile(f"[{letters_}{numbers_}]").search
+            older = PATTERN
+            for kind, ranges in (("L", letters_), ("N", numbers_)):
+                if ranges:
+                    older = older.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{ranges}]]")
+            self.split_newer = regex.compile("(?V1)" + older).findall
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
@@ -129,8 +164,10 @@ class Bpe:
         return self.ordinary(text)
 
     def ordinary(self, text: str) -> list[int]:
-        get, missing = self.cache.get, self.__missing__
-        return list(chain.from_iterable(get(w) or missing(w) for w in self.split(text)))
+        get, missing, split = self.cache.get, self.__missing__, self.split
+        if self.at_newer is not None and not text.isascii() and self.at_newer(text):
+            split = self.split_newer
+        return list(chain.from_iterable(get(w) or missing(w) for w in split(text)))
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -139,18 +176,19 @@ class Bpe:
 _LOADED: dict[str, Bpe] = {}
 
 
-def loaded(path: str) -> Bpe:
+def loaded(path: str, newer: tuple[str, str] | None = None) -> Bpe:
     if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
+        _LOADED[path] = Bpe(path, newer)
     return _LOADED[path]
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and the ids of every whole text."""
     arrow_batches(docs.sparkSession)
+    newer = newer_characters()
 
     def run(batches):
-        bpe = loaded(path)
+        bpe = loaded(path, newer)
         for batch in batches:
             ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -174,9 +212,10 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Digests of the ids of every text and of the text decoded from them, in one pass."""
     arrow_batches(docs.sparkSession)
+    newer = newer_characters()
 
     def run(batches):
-        bpe = loaded(path)
+        bpe = loaded(path, newer)
         for batch in batches:
             n, shas, back = [], [], []
             for text in batch.column(1).to_pylist():
