@@ -36,8 +36,8 @@ from hrforge.llm.common import arrow_batches, table
 
 CAPACITY = 4096
 END_ID = 2
-#: Words whose ids a worker keeps at most.
-CACHE = 1_000_000
+#: Words whose ids a worker keeps at most, and the longest of them in bytes.
+CACHE, CACHED_BYTES = 1_000_000, 256
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
@@ -76,7 +76,11 @@ def encoded(texts: list[str | None], path: str) -> Iterator[bytes]:
     for ws, row, at in zip(split, found, gaps):
         for i in at:
             row[i] = cache[ws[i]]
-        yield b"".join(row)
+    for w in fresh:  # memory of the cache has a bound: long words are not kept
+        if len(w) > CACHED_BYTES:
+            cache.pop(w, None)
+            cache.pop(w[:-1], None)
+    yield from map(b"".join, found)
 
 
 def _learn(tokenizer, cache: dict[bytes, bytes], words: list[bytes]) -> None:
