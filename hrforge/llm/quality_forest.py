@@ -4,7 +4,7 @@ Fixed base rules fail a document that has under 10 words, or in which more than
 of the words stand in 5-word windows found twice or more. For the others an isolation
 forest decides: random splits of rule statistics isolate odd rows early, so a short
 mean path is an anomaly. The forest is fitted on at most ``SAMPLE`` rows that passed
-the base rules (chosen by a hash of the statistics); every row is scored. The cut
+the base rules (chosen by a hash of doc_id and statistics, so in proportion to their number); every row is scored. The cut
 is calibrated on all labelled rows (``labels.quality``): among score levels it takes
 the one that separates quality 0 from 1 best, while at most ``LOSS`` of the
 quality-1 rows are lost. Without labelled rows of both kinds, the cut is 1: no anomaly.
@@ -32,6 +32,8 @@ MORE = ["n_lines", "n_upper", "n_digits", "n_adjacent"]
 WINDOW = 5
 #: Rows the forest is drawn from, trees, rows of a tree.
 SAMPLE, TREES, TREE_ROWS = 20_000, 128, 256
+#: Values of the hash by which rows are drawn: many more than any table has rows.
+MARKS = 1 << 60
 LOSS = 0.02
 LEVELS = 1000
 #: Usual bounds of the rule statistics, in the order of ``features``.
@@ -172,13 +174,13 @@ def anomaly(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 def fit(stats: DataFrame, sample: int = SAMPLE, seed: int = 7) -> dict[str, np.ndarray] | None:
     """Forest on at most ``sample`` rows that passed the base rules."""
-    mark = F.pmod(F.xxhash64(*BASE, *MORE), F.lit(1 << 20))
+    mark = F.pmod(F.xxhash64("doc_id", *BASE, *MORE), F.lit(MARKS))
     ok = stats.filter(~base_failed())
     n = ok.count()
     if not n:
         return None
-    part = ok if n <= sample else ok.filter(mark < int((1 << 20) * sample / n))
-    got = part.orderBy(mark, *BASE, *MORE).limit(sample).select(*BASE, *MORE).toArrow()
+    part = ok if n <= sample else ok.filter(mark < -(-MARKS * sample // n))
+    got = part.orderBy(mark, "doc_id", *BASE, *MORE).limit(sample).select(*BASE, *MORE).toArrow()
     return grow(features(got), seed) if got.num_rows else None
 
 
