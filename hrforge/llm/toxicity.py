@@ -37,6 +37,8 @@ LEXICON = 256
 #: A lexicon word's least number of documents, and least z value of its toxic share.
 LEAST, LEAST_Z = 4, 5.0
 THRESHOLD = 0.3
+#: Values of the hash by which rows are drawn: many more than any table has rows.
+MARKS = 1 << 52
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
@@ -61,10 +63,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     count = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share_of = {1: sample // 3, 0: sample - sample // 3}
     rate = {k: min(1.0, 0.95 * share_of.get(k, 0) / n) for k, n in count.items()}
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24))
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
     below = F.lit(0)
     for k, r in rate.items():
-        below = F.when(F.col("toxic") == k, F.lit(int(r * (1 << 24)))).otherwise(below)
+        below = F.when(F.col("toxic") == k, F.lit(int(r * MARKS))).otherwise(below)
     picked = known.filter(mark < below)
     # at most ``sample`` ids: small enough to broadcast, so that no text is shuffled
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
