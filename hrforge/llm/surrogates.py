@@ -11,7 +11,8 @@ of their title or of the known given name, shown by the ending.
 
 Distinctness is checked over the whole corpus: the distinct entities are numbered try
 0; one whose surrogate equals a real entity of its kind, or another entity's surrogate
-(the smaller canonical form keeps it), goes to the next try, until none is left. Only
+(the smaller canonical form keeps it), goes to the next try, until none is left. Names
+and addresses so short that all of their length may be real grow with the tries. Only
 entities beyond try 0 need to be known when texts are rewritten. They are few; up to
 ``LOCAL`` of them are broadcast (the size is checked), else they are joined to the rows
 that hold them.
@@ -27,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,6 +46,7 @@ TITLES = {"mr": "m", "mister": "m", "herr": "m", "monsieur": "m", "señor": "m",
 GIVEN = {"m": {"james", "john", "robert", "michael", "david", "peter", "thomas", "paul", "hans", "pierre", "jean", "carlos", "josé", "иван", "пётр", "γιώργος"},
          "f": {"mary", "anna", "maria", "linda", "susan", "sarah", "emma", "julia", "laura", "marie", "claire", "carmen", "ирина", "ольга", "ελένη"}}
 _NAME = r"(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[Α-ΩΆΈΉΊΌΎΏ][α-ωάέήίόύώςϊϋ]+|[А-ЯЁ][а-яё]+)"
+_ALONE = re.compile(rf"(?<!\w){_NAME}(?!\w)")
 PATTERNS = [
     ("email", re.compile(r"(?<![\w.+-])([A-Za-z0-9][A-Za-z0-9._%+-]*)@([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})")),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)", re.A)),
@@ -82,18 +85,23 @@ class Mention:
 
 def mentions(text: str) -> list[Mention]:
     """All entities of a text, in order, without overlaps (earlier kinds win)."""
-    taken: list[tuple[int, int]] = []
+    taken = bytearray()  # one flag per character, once there is a mention
     out: list[Mention] = []
-    surnames: dict[str, None] = {}
+    surnames: set[str] = set()
 
     def free(a: int, b: int) -> bool:
-        return all(b <= x or y <= a for x, y in taken)
+        return not taken or 1 not in taken[a:b]
+
+    def take(a: int, b: int) -> None:
+        if not taken:
+            taken.extend(bytes(len(text)))
+        taken[a:b] = b"\x01" * (b - a)
 
     for kind, pattern in PATTERNS:
         if (kind in ("email",) and "@" not in text):
             continue
         for m in pattern.finditer(text):
-            if taken and not free(*m.span()):
+            if not free(*m.span()):
                 continue
             raw = m.group()
             if kind == "card":
@@ -114,15 +122,15 @@ def mentions(text: str) -> list[Mention]:
                     out.append(Mention(*m.span(2), "given", given, gender, m[2]))
                 last = 3 if m[3] else 2
                 out.append(Mention(*m.span(last), "surname", m[last].lower(), "", m[last]))
-                surnames[m[last]] = None
+                surnames.add(m[last])
             else:
                 out.append(Mention(*m.span(), kind, raw, "", raw))
-            taken.append(m.span())
+            take(*m.span())
     if surnames:  # coreference: the surname alone, later or earlier
-        for m in re.finditer(r"(?<!\w)(?:" + "|".join(map(re.escape, surnames)) + r")(?!\w)", text):
-            if free(*m.span()):
+        for m in _ALONE.finditer(text):
+            if m.group() in surnames and free(*m.span()):
                 out.append(Mention(*m.span(), "surname", m.group().lower(), "", m.group()))
-                taken.append(m.span())
+                take(*m.span())
     out.sort(key=lambda x: x.start)
     return out
 
@@ -160,10 +168,12 @@ def surrogate(key: bytes, kind: str, canon: str, gender: str, attempt: int) -> s
     if kind == "phone":
         head = re.match(r"\+\d{1,3}(?=\d{10})|\+\d|", canon).group()
         return head + "".join(pick("23456789" if i in (0, 3) else "0123456789") for i in range(len(canon) - len(head)))
+    # short ones may all be real: later tries grow
+    more = "x" * (attempt // 4)
     if kind == "domain":
         body, _, tld = canon.rpartition(".")
-        return _like(body, pick) + "." + tld
-    return _like(canon, pick)
+        return _like(body + more, pick) + "." + tld
+    return _like(canon + more, pick)
 
 
 def _like(text: str, pick) -> str:
@@ -178,7 +188,7 @@ def fitted(m: Mention, replacement: str) -> str:
     if m.kind in ("given", "surname"):
         return replacement.upper() if m.surface.isupper() else replacement.capitalize()
     if m.surface != m.surface.lower():
-        return "".join(r.upper() if s.isupper() else r for s, r in zip(m.surface, replacement))
+        return "".join(r.upper() if s.isupper() else r for s, r in zip_longest(m.surface, replacement, fillvalue=""))
     return replacement
 
 
