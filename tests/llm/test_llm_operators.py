@@ -67,6 +67,13 @@ def test_words_have_the_ids_of_the_text():
         assert data == b"".join(i.to_bytes(4, "little") for i in ids)
 
 
+def test_long_words_do_not_stay_in_memory():
+    texts = ["q" * 5000 + "z", "long" * 400 + ".", "short words here."]
+    first = list(packing.encoded(texts, WORD_BPE))
+    assert max(map(len, packing.word_ids(WORD_BPE)[1])) <= packing.CACHED_BYTES
+    assert list(packing.encoded(texts, WORD_BPE)) == first
+
+
 # ------------------------------------------------------------------ 2 language model
 
 
@@ -118,6 +125,16 @@ def test_short_and_long_words_merge_alike():
         assert own.encode(text) == t.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_newer_than_the_library(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(BYTE_BPE)
+    letters, numbers = bpe.newer_characters()
+    new = [c for c in letters + numbers if c != "-"][::7] + ["\U00011dda", "\U00011de3", "\u088f"]
+    texts = [f"an{c}\u9ed6 {c}b 1{c}2 {c}{c}\u00a0{c}." for c in new]
+    got = {r["doc_id"]: r["ids"] for r in bpe.encode(frame(spark, list(enumerate(texts))), BYTE_BPE).collect()}
+    assert got == {i: t.encode(x, add_special_tokens=False).ids for i, x in enumerate(texts)}
+
+
 # ------------------------------------------------------------------ 4 surrogates
 
 KEY = b"test key"
@@ -170,6 +187,25 @@ def test_colliding_surrogates_get_another_try(spark, monkeypatch):
     assert len(set(ips)) == 4 and not set(ips) & {"s3", "abc", "xyz", "pqrs"}
 
 
+def test_short_addresses_grow_where_all_are_real(spark):
+    real = [("local", c, "") for c in "abcdefghijklmnopqrstuvwxyz"] + [("domain", f"{c}.org", "") for c in "abcdefghijklmnopqrstuvwxyz"]
+    found = spark.createDataFrame(real, "kind string, canon string, gender string")
+    later = {(r["kind"], r["canon"]): r["attempt"] for r in surrogates.later_tries(found, KEY).collect()}
+    new = {surrogates.surrogate(KEY, k, c, "", later[k, c]) for k, c, _ in real}
+    assert len(new) == len(real) and not new & {c for _, c, _ in real}
+    tries = {(*k, ""): n for k, n in later.items()}
+    out = [surrogates.rewrite(t, KEY, tries)[0] for t in ("A@B.org", "a@b.org")]
+    assert out[0].lower() == out[1] and len(out[1]) > len("a@b.org")
+
+
+def test_texts_of_many_entities():
+    pairs = [(f"{'Q' if i % 2 else 'K'}{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100 % 10]}", i) for i in range(1000)]
+    text = " ".join(f"Mr. {n} called +1 386 555 {i:04d}." for n, i in pairs * 5) + " " + " ".join(n for n, _ in pairs)
+    found = surrogates.mentions(text)
+    assert Counter(m.kind for m in found) == {"surname": 6000, "phone": 5000}
+    assert all(a.end <= b.start for a, b in zip(found, found[1:]))
+
+
 def test_many_later_tries_are_joined(docs):
     local = {r["doc_id"]: r["text"] for r in surrogates.replace_pii(docs, KEY).collect()}
     rows = docs.select("doc_id", "text")
@@ -305,6 +341,23 @@ def test_forest_drops_odd_documents(spark):
     assert all(r["kept"] == (r["doc_id"] % 20 != 0) for r in got if not r["base_failed"])
 
 
+def test_forest_sample_keeps_proportions(spark):
+    """A group of copies that holds a third of all rows gets a third of the sample."""
+    zero = {c: 0 for c in quality_forest.BASE + quality_forest.MORE}
+    rows = [(i, *({**zero, "n_words": 50, "n_lines": 1, "word_chars": 200, "n_symbols": 0 if i % 3 == 0 else 10 + i}).values())
+            for i in range(3000)]
+    stats = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{c} long" for c in zero))
+    taken = []
+    real = quality_forest.grow
+    quality_forest.grow = lambda x, seed: taken.append(x) or real(x, seed)
+    try:
+        quality_forest.fit(stats, sample=600)
+    finally:
+        quality_forest.grow = real
+    assert 500 <= len(taken[0]) <= 600
+    assert 0.25 <= (taken[0][:, 0] == 0).mean() <= 0.42
+
+
 # ------------------------------------------------------------------ 9 exact dedup
 
 
