@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hrforge.catalog import AS_OF, register
+from hrforge.functions.dates import month_end, month_start, prev_month_start
 from hrforge.operators import ledger as L
 from hrforge.operators import tvf, views
-from hrforge.sources.schemas import HR_TABLES
+from hrforge.sources.schemas import HR_TABLES, SCHEMAS
 
 # ---------------------------------------------------------------- views
 
@@ -55,7 +61,7 @@ from attendance a join employee e on a.emp_id = e.employee_id
 where a.date = date '2024-01-29'
 """)
 def _q(t):
-    return views.attendance_yesterday(t.attendance, t.employee, AS_OF)
+    return views.attendance_yesterday(t.between("attendance", month_start(AS_OF), AS_OF), t.employee, AS_OF)
 
 
 # ---------------------------------------------------------------- table functions
@@ -77,7 +83,7 @@ where month(a.date) = 1 and year(a.date) = 2024
   and not (lower(a.status) = 'absent' and lower(dayname(a.date)) = lower(rtrim(e.official_day_off)))
 """)
 def _q(t):
-    return tvf.attendance_this_month(t.attendance, t.employee, AS_OF)
+    return tvf.attendance_this_month(t.between("attendance", month_start(AS_OF), month_end(AS_OF)), t.employee, AS_OF)
 
 
 @register("payroll_last_month", """
@@ -87,7 +93,8 @@ from payroll
 where month(payment_date) = 12 and year(payment_date) = 2023
 """)
 def _q(t):
-    return tvf.payroll_last_month(t.payroll, AS_OF)
+    first = prev_month_start(AS_OF)
+    return tvf.payroll_last_month(t.between("payroll", first, month_end(first)), AS_OF)
 
 
 @register("deductions_from_attendance", """
@@ -196,16 +203,20 @@ def _q(t):
 # ---------------------------------------------------------------- sources / sinks
 
 
-@register("load_tables", "\nunion all\n".join(
-    f"select '{n}' as table_name, count(*) as n_rows from {n}" for n in HR_TABLES))
+def _content_sql(name: str) -> str:
+    cols = SCHEMAS[name].names
+    dates = [f.name for f in SCHEMAS[name].fields if f.dataType == T.DateType()]
+    days = " + ".join(f"coalesce(sum(date_diff('day', date '1970-01-01', {c})), 0)" for c in dates) or "0"
+    return (f"select '{name}' as table_name, count(*) as n_rows, "
+            f"cast({' + '.join(f'count({c})' for c in cols)} as bigint) as n_values, cast({days} as bigint) as sum_days from {name}")
+
+
+@register("load_tables", "\nunion all\n".join(_content_sql(n) for n in HR_TABLES))
 def _q(t):
     """Write every HR table as a typed snapshot in the shared checkpoint folder,
-    read each back with the typed loader (holidays via ``load_holidays``) and
-    count its rows."""
+    read each back with the typed loader (holidays via ``load_holidays``); count its
+    rows and its values that are not null, and add up its dates (days since 1970)."""
     import uuid
-    from functools import reduce
-
-    from pyspark.sql import DataFrame
 
     from hrforge.session import checkpoint_dir
     from hrforge.sources import io
@@ -215,6 +226,11 @@ def _q(t):
         io.write_snapshot(getattr(t, name), root, name, 0)
     loaded = io.load_tables(t.spark, root, 0, [n for n in HR_TABLES if n != "holiday"])
     loaded["holiday"] = io.load_holidays(t.spark, root, 0)
-    counts = [loaded[n].agg(F.count(F.lit(1)).alias("n_rows"))
-              .select(F.lit(n).alias("table_name"), "n_rows") for n in HR_TABLES]
-    return reduce(DataFrame.unionByName, counts)
+    def content(name: str) -> DataFrame:
+        df = loaded[name]
+        days = [F.coalesce(F.sum(F.unix_date(f.name).cast("long")), F.lit(0)) for f in df.schema.fields if f.dataType == T.DateType()]
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), reduce(add, [F.count(c) for c in df.columns]).alias("n_values"),
+                      reduce(add, days, F.lit(0).cast("long")).alias("sum_days")).select(
+            F.lit(name).alias("table_name"), "n_rows", "n_values", "sum_days")
+
+    return reduce(DataFrame.unionByName, map(content, HR_TABLES))

@@ -3,23 +3,53 @@
 Parquet refuses UPDATE / DELETE / MERGE, and a job must never overwrite a path it
 is reading, so every state change is written to a new version folder
 (``<root>/<table>/v=<version>``) and readers pick the version they want.
+
+The tables that grow with time are partitioned by the month of one date column
+(``MONTH_OF``). ``load_table`` with a date range reads the months of that range only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from hrforge.functions.dates import as_date
 from hrforge.sources.fixtures import conform
 from hrforge.sources.schemas import HR_TABLES, SCHEMAS
 
+#: Date column by whose month a table's snapshots are partitioned.
+MONTH_OF = {"attendance": "date", "deduction": "date", "payroll": "payment_date", "leave": "start_date"}
+_MONTH = "month_key"
+
+
+def month_key(date: Column) -> Column:
+    """Year and month as one number (202401); null for a null date."""
+    return F.year(date) * 100 + F.month(date)
+
 
 def table_path(root: str, table: str, version: int | str) -> str:
     return f"{root.rstrip('/')}/{table}/v={version}"
 
 
-def load_table(spark: SparkSession, root: str, table: str, version: int | str) -> DataFrame:
-    """Read one table with its declared schema (no inference)."""
-    return spark.read.schema(SCHEMAS[table]).parquet(table_path(root, table, version))
+def load_table(spark: SparkSession, root: str, table: str, version: int | str,
+               first=None, last=None) -> DataFrame:
+    """Read one table with its declared schema (no inference). ``first`` and ``last``
+    (dates, inclusive) keep the rows of that range of the table's ``MONTH_OF`` column;
+    only the folders of its months are read."""
+    path = table_path(root, table, version)
+    if table not in MONTH_OF:
+        if first is not None or last is not None:
+            raise ValueError(f"{table} has no month partitions")
+        return spark.read.schema(SCHEMAS[table]).parquet(path)
+    schema = T.StructType([*SCHEMAS[table].fields, T.StructField(_MONTH, T.IntegerType())])
+    df = spark.read.schema(schema).parquet(path)
+    date = F.col(MONTH_OF[table])
+    if first is not None:
+        df = df.filter((F.col(_MONTH) >= month_key(as_date(first))) & (date >= as_date(first)))
+    if last is not None:
+        df = df.filter((F.col(_MONTH) <= month_key(as_date(last))) & (date <= as_date(last)))
+    return df.drop(_MONTH)
 
 
 def load_tables(spark: SparkSession, root: str, version: int | str,
@@ -35,16 +65,19 @@ def load_holidays(spark: SparkSession, root: str | None = None,
     return load_table(spark, root, "holiday", version)
 
 
-def write_snapshot(df: DataFrame, root: str, table: str, version: int | str,
-                   partition_by: list[str] | None = None) -> str:
+def write_snapshot(df: DataFrame, root: str, table: str, version: int | str) -> str:
     """Write a table's new state as its own version folder and return the path.
 
     Refuses to write into an existing version (``errorifexists``): a snapshot is
     immutable once published, so a retried job cannot clobber what readers use.
+    The rows of a month are brought together before they are written, so that it has
+    few files; AQE splits a month that is too large for one task.
     """
     path = table_path(root, table, version)
-    w = conform(df, table).write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    rows = conform(df, table)
+    if table not in MONTH_OF:
+        rows.write.mode("errorifexists").parquet(path)
+        return path
+    rows = rows.withColumn(_MONTH, month_key(F.col(MONTH_OF[table]))).hint("rebalance", F.col(_MONTH))
+    rows.write.mode("errorifexists").partitionBy(_MONTH).parquet(path)
     return path

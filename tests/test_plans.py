@@ -11,6 +11,7 @@ from hrforge.plans.ids import assign_ids
 from hrforge.plans.inspect import plan_text, unbounded_nested_loops
 from hrforge.sources.fixtures import materialize
 from hrforge.sources.io import load_table, write_snapshot
+from hrforge.sources.schemas import SCHEMAS
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,6 +69,26 @@ def test_month_filter_reaches_parquet_scan(stored):
     assert scan and "total_duration" in scan[0]
 
 
+@pytest.mark.parametrize("key", ["attendance_this_month", "attendance_yesterday", "payroll_last_month"])
+def test_month_queries_read_the_month_folders_only(stored, key):
+    text = plan_text(BUILDERS[key](stored))
+    assert "PartitionFilters: [isnotnull(month_key" in text
+
+
+def test_month_ranges_of_a_stored_table(spark):
+    root = tempfile.mkdtemp(prefix="hrforge-months-", dir="/tmp")
+    days = [None, *(dt.date(2023, 11, 28) + dt.timedelta(days=k) for k in range(0, 120, 3))]
+    rows = [(i, d, None, None, None, "absent", i % 4) for i, d in enumerate(days)]
+    write_snapshot(spark.createDataFrame(rows, SCHEMAS["attendance"]), root, "attendance", 0)
+    assert load_table(spark, root, "attendance", 0).count() == len(rows)
+    assert load_table(spark, root, "attendance", 0).schema == SCHEMAS["attendance"]
+    for first, last in [("2023-12-30", "2024-01-02"), ("2024-01-01", "2024-01-31"), (None, "2023-12-01"), ("2024-02-10", None)]:
+        got = {r.attendance_id for r in load_table(spark, root, "attendance", 0, first, last).collect()}
+        assert got == {i for i, d in enumerate(days) if d and (first or "") <= str(d) <= (last or "9")}
+    with pytest.raises(ValueError):
+        load_table(spark, root, "holiday", 0, "2024-01-01")
+
+
 def test_key_checks_read_each_table_once(stored):
     from hrforge.operators.quality import fk_violations, pk_violations
     from hrforge.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS
