@@ -28,7 +28,8 @@ PACKED = "slice int, keys binary, counts binary"
 MAX_BITS = 29
 
 
-def packed_rows(schema: list[str], slices: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch | None:
+def packed_rows(schema: list[str], slices: np.ndarray, columns: list[np.ndarray],
+                write: Callable[[np.ndarray], bytes] = np.ndarray.tobytes) -> pa.RecordBatch | None:
     """One row per slice with each column's values as bytes. ``slices``: per entry."""
     if not len(slices):
         return None
@@ -38,10 +39,24 @@ def packed_rows(schema: list[str], slices: np.ndarray, columns: list[np.ndarray]
     begin = np.concatenate([[0], cuts])
     arrays = [pa.array(s[begin].astype(np.int32))]
     for c in columns:
-        arrays.append(pa.array([x.tobytes() for x in np.split(c[order], cuts)], pa.binary()))
+        arrays.append(pa.array([write(x) for x in np.split(c[order], cuts)], pa.binary()))
     return pa.RecordBatch.from_arrays(arrays, schema)
 
 
+def planes(x: np.ndarray) -> bytes:
+    """The bytes of ``x`` (its rows, if it has two dimensions) by place: all first bytes, then
+    all second ones. Sorted or small values so give long runs, which shuffles compress well."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def from_planes(col, kind, n: int = 1) -> np.ndarray:
+    """Values that ``planes`` wrote (``n``: values of a row), of all rows of ``col``."""
+    size = n * np.dtype(kind).itemsize
+    parts = [np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(size, -1).T).view(kind) for x in col]
+    got = np.concatenate(parts or [np.empty((0, n), kind)])
+    return got if n > 1 else got.ravel()
+
+
 class Gather:
     """Buffer of 64-bit keys of one map task; emits distinct keys with counts."""
 
@@ -59,7 +74,7 @@ class Gather:
         if self.size:
             keys, n = np.unique(np.concatenate(self.parts), return_counts=True)
             self.parts, self.size = [], 0
-            got = packed_rows(["slice", "keys", "counts"], mix64(keys) >> U64(64 - self.bits), [keys, n.astype(np.uint32)])
+            got = packed_rows(["slice", "keys", "counts"], mix64(keys) >> U64(64 - self.bits), [keys, n.astype(np.uint32)], planes)
             if got is not None:
                 yield got
 
@@ -86,7 +101,7 @@ def totals(partial: DataFrame, least: int, name: str) -> DataFrame:
     the sum of all counts of the slice."""
 
     def merge(group: pa.Table) -> pa.Table:
-        keys, n = unpack(group["keys"], U64), unpack(group["counts"], np.uint32)
+        keys, n = from_planes(group["keys"], U64), from_planes(group["counts"], np.uint32)
         found, at = np.unique(keys, return_inverse=True)
         count = np.bincount(at, n, len(found)).astype(np.int64)
         big = count >= least
@@ -94,7 +109,14 @@ def totals(partial: DataFrame, least: int, name: str) -> DataFrame:
                          "counts": pa.array([count[big].tobytes()], pa.binary()),
                          "seen": pa.array([int(count.sum())], pa.int64())})
 
-    return table(partial.groupBy("slice").applyInArrow(merge, PACKED + ", seen long"), name)
+    # the shuffled partial counts are not needed once the table is written
+    conf, key = partial.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return table(partial.groupBy("slice").applyInArrow(merge, PACKED + ", seen long"), name)
+    finally:
+        conf.set(key, before)
 
 
 def frequent(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:

@@ -95,6 +95,22 @@ def test_backoff_with_odd_ids(spark, odd_ids):
     assert sum(x[2] for x in got) == pytest.approx(sum(x[2] for x in want))
 
 
+@pytest.mark.parametrize("hot", [1 << 19, 16])
+def test_every_word_is_kept(spark, monkeypatch, hot):
+    """Over 65,536 words; with a small ``hot`` nearly all counts come from the partitioned tables."""
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    rng = random.Random(21)
+    rare = [f"w{i}" for i in range(70_000)]
+    many = [w for k, w in enumerate(rare) for _ in range(1 + k % 3)]
+    rng.shuffle(many)
+    rows = [(i, " ".join(many[i * 500:(i + 1) * 500] + ["the", "of"] * (i % 90))) for i in range(-(-len(many) // 500))]
+    rows += [(9000 + i, " ".join(rare[i * 50:i * 50 + 60])) for i in range(60)] + [(9100, "zq " * 40), (9101, "w1 w4 w7")]
+    want = {d: (n, s) for d, n, s in brute.backoff(rows, 3, vocabulary=1 << 62)}
+    got = {r["doc_id"]: (r["n_words"], r["score"]) for r in lm_score.score(frame(spark, rows).repartition(4)).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[d][0] == want[d][0] and abs(got[d][1] - want[d][1]) < 1e-9 for d in want)
+
+
 # ------------------------------------------------------------------ 3 BPE
 
 
