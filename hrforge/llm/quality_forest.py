@@ -2,9 +2,15 @@
 
 Fixed base rules fail a document that has under 10 words, or in which more than 20 %
 of the words stand in 5-word windows found twice or more. For the others an isolation
-forest decides: random splits of rule statistics isolate odd rows early, so a short
-mean path is an anomaly. The forest is fitted on at most ``SAMPLE`` rows that passed
-the base rules (chosen by a hash of doc_id and statistics, so in proportion to their number); every row is scored. The cut
+forest decides: random cuts over the whole range of a rule statistic isolate odd rows
+early, so a short mean path is an anomaly. It sees the statistics themselves, scaled on either side of the median
+by far quantiles over all rows that passed the base rules; none is cut at a bound. A side
+is cut the more often, the more labelled bad rows lie beyond nearly all good ones on it, but
+always with a share of ``FLOOR``, so that kinds without labels are isolated too. It is fitted on at most ``SAMPLE`` such rows, chosen by a hash of
+doc_id and statistics, so in proportion to their number; on larger tables 1 / ``FAR`` of
+them are rows with far values and the rows with the least and greatest value of every
+statistic over all rows, and every tree has the latter. So a kind that the sample misses can
+still be cut off. Every row is scored. The cut
 is calibrated on all labelled rows (``labels.quality``): among score levels it takes
 the one that separates quality 0 from 1 best, while at most ``LOSS`` of the
 quality-1 rows are lost. Without labelled rows of both kinds, the cut is 1: no anomaly.
@@ -18,10 +24,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +43,15 @@ SAMPLE, TREES, TREE_ROWS = 20_000, 128, 256
 MARKS = 1 << 60
 LOSS = 0.02
 LEVELS = 1000
-#: Usual bounds of the rule statistics, in the order of ``features``.
-BOUNDS = (0.1, 0.3, 0.1, 0.1, 0.3, 0.3, 10.0, -3.0)
+#: Share (as a divisor) of the sample that is kept for far values, and what is far.
+FAR, TAIL = 50, 0.001
+#: Least weight of a side of a statistic (the greatest is 1 more), and which share of the good rows a
+#: side's bad ones must exceed.
+FLOOR, MOST = 0.1, 0.99
+#: The rule statistics: symbols per word, duplicate lines, repeated and adjacent equal words,
+#: capitals, digits, and the mean word length.
+RATES = [("n_symbols", "n_words"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"), ("n_adjacent", "n_words"),
+         ("n_upper", "word_chars"), ("n_digits", "word_chars"), ("word_chars", "n_words")]
 
 _SYMBOL, _UPPER, _DIGIT, _CONT, _BLANK = (np.zeros(256, bool) for _ in range(5))
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -109,15 +123,77 @@ def base_failed():
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def features(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
-    """By how much each rule statistic exceeds its usual bound (0 within it): symbols per
-    word, duplicate lines, repeated and adjacent equal words, capitals, digits, and the
-    mean word length on either side. So ordinary variation isolates nothing."""
+def rate_columns() -> list[Column]:
+    return [F.col(a) / F.greatest(F.col(b), F.lit(1)) for a, b in RATES]
+
+
+class Scale(NamedTuple):
+    """Of each statistic: median, distances of the far values below and above, weights."""
+
+    middle: np.ndarray
+    below: np.ndarray
+    above: np.ndarray
+    weight_below: np.ndarray
+    weight_above: np.ndarray
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        def side(far: np.ndarray) -> np.ndarray:  # linear up to the far value, then logarithmic
+            return np.minimum(far, 1) + np.log(np.maximum(far, 1))
+
+        return (self.weight_above * side(np.maximum(x - self.middle, 0) / self.above)
+                - self.weight_below * side(np.maximum(self.middle - x, 0) / self.below))
+
+
+def features(rows: pa.Table | pa.RecordBatch, scale: Scale) -> np.ndarray:
+    """The rule statistics, scaled so that 0 stays 0."""
     c = {k: rows.column(k).to_numpy(zero_copy_only=False).astype(float) for k in BASE + MORE}
-    n, chars, lines = np.maximum(c["n_words"], 1), np.maximum(c["word_chars"], 1), np.maximum(c["n_lines"], 1)
-    rates = [c["n_symbols"] / n, c["n_dup_lines"] / lines, c["n_repeat_words"] / n, c["n_adjacent"] / n,
-             c["n_upper"] / chars, c["n_digits"] / chars, c["word_chars"] / n, -c["word_chars"] / n]
-    return np.stack([np.maximum(0, r - b) for r, b in zip(rates, BOUNDS)], axis=1)
+    return scale.of(np.stack([c[a] / np.maximum(c[b], 1) for a, b in RATES], axis=1)) - scale.of(np.zeros(len(RATES)))
+
+
+class Survey(NamedTuple):
+    """Of all rows that passed the base rules: number, scale (weights 1), the bounds of each
+    statistic's far values, and the rows with its least and greatest value."""
+
+    n: int
+    scale: Scale
+    low: list[float]
+    high: list[float]
+    ends: pa.Table
+
+
+def survey(ok: DataFrame) -> Survey | None:
+    row = F.struct(*BASE, *MORE)
+    got = ok.agg(F.count(F.lit(1)).alias("n"), *[x for i, r in enumerate(rate_columns()) for x in (
+        F.percentile_approx(r, [TAIL, 0.5, 1 - TAIL], 10_000).alias(f"q{i}"),
+        F.min(F.struct(r.alias("rate"), row.alias("row"))).alias(f"min{i}"),
+        F.max(F.struct(r.alias("rate"), row.alias("row"))).alias(f"max{i}"))]).first()
+    if not got["n"]:
+        return None
+    every = range(len(RATES))
+    low, middle, high = (np.array([got[f"q{i}"][k] for i in every]) for k in range(3))
+    least, most = (np.array([got[f"{end}{i}"]["rate"] for i in every]) for end in ("min", "max"))
+
+    def distance(far: np.ndarray, farthest: np.ndarray) -> np.ndarray:
+        return np.where(far > 0, far, np.where(farthest > 0, farthest, 1.0))
+
+    ends = [got[f"{end}{i}"]["row"].asDict() for i in every for end in ("min", "max")]
+    one = np.ones(len(RATES))
+    return Survey(got["n"], Scale(middle, distance(middle - low, middle - least), distance(high - middle, most - middle), one, one),
+                  low.tolist(), high.tolist(), pa.Table.from_pylist(ends, pa.schema([(c, pa.int64()) for c in BASE + MORE])))
+
+
+def weighted(scale: Scale, ok: DataFrame, labels: DataFrame) -> Scale:
+    """Weights by the share of all labelled bad rows beyond ``MOST`` of the good ones."""
+    known = ok.join(labels.filter("quality is not null").select("doc_id", (F.col("quality") == 1).alias("good")), "doc_id")
+    good = known.filter("good").agg(*[F.percentile_approx(r, [1 - MOST, MOST], 10_000).alias(f"q{i}") for i, r in enumerate(rate_columns())]).first()
+    if good["q0"] is None:
+        return scale
+    sides = [x for i, r in enumerate(rate_columns()) for x in (r < good[f"q{i}"][0], r > good[f"q{i}"][1])]
+    got = known.filter("not good").agg(*[F.avg(x.cast("int")) for x in sides]).first()
+    if got[0] is None:
+        return scale
+    share_of = FLOOR + np.array(list(got)).reshape(-1, 2)
+    return scale._replace(weight_below=share_of[:, 0], weight_above=share_of[:, 1])
 
 
 def _mean_path(n: float) -> float:
@@ -126,7 +202,8 @@ def _mean_path(n: float) -> float:
 
 
 def grow(x: np.ndarray, seed: int, trees: int = TREES, rows: int = TREE_ROWS) -> dict[str, np.ndarray]:
-    """Isolation trees as flat arrays: feature (-1: leaf), cut, left child, path value."""
+    """Isolation trees as flat arrays: feature (-1: leaf), cut, left child, path value. Every
+    tree has the rows with the least and greatest value of each feature."""
     rng = np.random.default_rng(seed)
     out: dict[str, list] = {"feature": [], "cut": [], "left": [], "value": [], "root": []}
     limit = math.ceil(math.log2(max(2, min(rows, len(x)))))
@@ -136,8 +213,10 @@ def grow(x: np.ndarray, seed: int, trees: int = TREES, rows: int = TREE_ROWS) ->
             out[k].append(v)
         return len(out["feature"]) - 1
 
+    ends = np.concatenate([x.argmin(0), x.argmax(0)])
+    whole, wide = x.min(0), x.max(0) - x.min(0)
     for _ in range(trees):
-        take = x[rng.choice(len(x), min(rows, len(x)), replace=False)]
+        take = x[np.union1d(rng.choice(len(x), min(rows, len(x)), replace=False), ends)]
         out["root"].append(node())
         todo = [(out["root"][-1], take, 0)]
         while todo:
@@ -147,8 +226,12 @@ def grow(x: np.ndarray, seed: int, trees: int = TREES, rows: int = TREE_ROWS) ->
             if depth >= limit or len(part) < 2 or not len(open_):
                 out["value"][at] = depth + _mean_path(len(part))
                 continue
-            f = int(rng.choice(open_))
-            cut = float(rng.uniform(low[f], high[f]))
+            # over the whole range: a cut beside all rows of a narrow part leaves them together
+            f = int(rng.choice(len(wide), p=wide / wide.sum()))
+            cut = float(rng.uniform(whole[f], whole[f] + wide[f]))
+            if not low[f] <= cut < high[f]:
+                todo.append((at, part, depth + 1))
+                continue
             out["feature"][at], out["cut"][at], out["left"][at] = f, cut, node()
             node()
             goes = part[:, f] <= cut
@@ -172,25 +255,39 @@ def anomaly(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return 2.0 ** (-total / len(forest["root"]) / forest["norm"][0])
 
 
-def fit(stats: DataFrame, sample: int = SAMPLE, seed: int = 7) -> dict[str, np.ndarray] | None:
-    """Forest on at most ``sample`` rows that passed the base rules."""
+def fit(stats: DataFrame, sample: int = SAMPLE, seed: int = 7, labels: DataFrame | None = None) -> dict | None:
+    """Forest on at most ``sample`` rows that passed the base rules, with weights by ``labels``."""
     mark = F.pmod(F.xxhash64("doc_id", *BASE, *MORE), F.lit(MARKS))
     ok = stats.filter(~base_failed())
-    n = ok.count()
-    if not n:
+    known = survey(ok)
+    if known is None:
         return None
-    part = ok if n <= sample else ok.filter(mark < -(-MARKS * sample // n))
-    got = part.orderBy(mark, "doc_id", *BASE, *MORE).limit(sample).select(*BASE, *MORE).toArrow()
-    return grow(features(got), seed) if got.num_rows else None
-
 
-def scored(stats: DataFrame, forest: dict[str, np.ndarray] | None) -> DataFrame:
+    def drawn(rows: DataFrame, most: int, n: int) -> pa.Table:
+        part = rows if n <= most else rows.filter(mark < -(-MARKS * most // n))
+        return part.orderBy(mark, "doc_id", *BASE, *MORE).limit(most).select(*BASE, *MORE).toArrow()
+
+    if known.n <= sample:
+        got = drawn(ok, sample, known.n)
+    else:
+        far = F.lit(False)
+        for r, low, high in zip(rate_columns(), known.low, known.high):
+            far = far | (r < low) | (r > high)
+        room = max(0, sample // FAR - known.ends.num_rows)
+        tails = ok.filter(far)
+        got = [drawn(ok, sample - room - known.ends.num_rows, known.n), drawn(tails, room, tails.count()), known.ends]
+        got = pa.concat_tables([t.cast(known.ends.schema) for t in got])
+    scale = known.scale if labels is None else weighted(known.scale, ok, labels)
+    return {**grow(features(got, scale), seed), "scale": scale}
+
+
+def scored(stats: DataFrame, forest: dict | None) -> DataFrame:
     """Statistics, base_failed and the anomaly score in thousandths (0 without forest)."""
     model = share(stats, forest)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = anomaly(model.value, features(b)) if model.value is not None else np.zeros(b.num_rows)
+            s = anomaly(model.value, features(b, model.value["scale"])) if model.value is not None else np.zeros(b.num_rows)
             yield b.append_column("level", pa.array(np.round(s * LEVELS).astype(np.int32)))
 
     kept = stats.select("doc_id", *BASE, *MORE)
@@ -206,18 +303,21 @@ def calibrate(rows: DataFrame, labels: DataFrame, loss: float = LOSS) -> int:
     good, bad = (sum(n for (_, g), n in count.items() if g is side) for side in (True, False))
     if not good or not bad:
         return LEVELS + 1
-    best, cut, g, b = 0.0, LEVELS + 1, 0, 0
+    best, top, cut, g, b = 0.0, LEVELS + 1, LEVELS + 1, 0, 0
     for level in range(LEVELS, -1, -1):
         g, b = g + count.get((level, True), 0), b + count.get((level, False), 0)
-        if g <= loss * good and b / bad - g / good > best:
-            best, cut = b / bad - g / good, level
-    return cut
+        apart = b / bad - g / good
+        if g <= loss * good and apart > best:
+            best, top, cut = apart, level, level
+        elif apart == best and level == cut - 1:
+            cut = level
+    return (top + cut + 1) // 2  # the middle of a gap between the two
 
 
 def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, loss: float = LOSS) -> DataFrame:
     """doc_id, the base counts, base_failed, kept and the anomaly score."""
     stats = table(statistics(docs), "statistics")
-    rows = scored(stats, fit(stats, sample))
+    rows = scored(stats, fit(stats, sample, labels=labels))
     cut = calibrate(rows, labels, loss)
     return rows.select("doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.col("level") < cut)).alias("kept"),
                        (F.col("level") / LEVELS).alias("anomaly"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import brute
 import public_tokenizers
@@ -374,6 +374,34 @@ def test_forest_sample_keeps_proportions(spark):
     assert 0.25 <= (taken[0][:, 0] == 0).mean() <= 0.42
 
 
+def test_forest_isolates_kinds_the_sample_misses(spark):
+    """Several kinds of odd rows beside many with symbols; one kind is 2 of 30,000 rows."""
+    rng = random.Random(4)
+    rows, kinds = [], {}
+    for i in range(30_000):
+        n = rng.randint(50, 400)
+        chars = int(n * rng.uniform(4.2, 5.8))
+        r = {"n_words": n, "word_chars": chars, "n_symbols": 0, "n_dup_lines": 0, "n_repeat_words": 0, "n_lines": rng.randint(1, 20),
+             "n_upper": int(chars * rng.uniform(0.01, 0.05)), "n_digits": int(chars * rng.uniform(0, 0.03)), "n_adjacent": rng.choice([0, 0, 0, 1])}
+        kind = "digits" if i in (11_111, 22_222) else "symbols" if i % 12 == 0 else "upper" if i % 100 == 1 else "short" if i % 500 == 2 else "within" if i % 400 == 3 else ""
+        r |= {"digits": {"n_digits": int(chars * 0.9)}, "symbols": {"n_symbols": n}, "upper": {"n_upper": int(chars * 0.8)},
+              "short": {"word_chars": int(n * 1.5), "n_digits": 0, "n_upper": 0}, "within": {"n_upper": int(chars * 0.25)}}.get(kind, {})
+        kinds[i] = kind
+        rows.append((i, *(r[c] for c in quality_forest.BASE + quality_forest.MORE)))
+    stats = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{c} long" for c in quality_forest.BASE + quality_forest.MORE))
+    marks = spark.createDataFrame([(i, int(not k), 0) for i, k in kinds.items() if i % 5 == 0 and k in ("", "symbols")],
+                                  "doc_id long, quality int, toxic int")
+    levels = defaultdict(list)
+    for r in quality_forest.scored(stats, quality_forest.fit(stats, sample=2000, labels=marks)).collect():
+        levels[kinds[r["doc_id"]]].append(r["level"])
+    usual = sorted(levels.pop(""))
+    assert len(levels) == 5
+    mild = levels.pop("within")  # capitals not far beyond the usual ones
+    assert sum(mild) / len(mild) > usual[len(usual) // 2]
+    for kind, found in levels.items():
+        assert min(found) > usual[-len(usual) // 20], (kind, min(found))
+
+
 # ------------------------------------------------------------------ 9 exact dedup
 
 
