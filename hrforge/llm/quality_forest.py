@@ -41,7 +41,7 @@ WINDOW = 5
 SAMPLE, TREES, TREE_ROWS = 20_000, 128, 256
 #: Values of the hash by which rows are drawn: many more than any table has rows.
 MARKS = 1 << 60
-LOSS = 0.02
+LOSS = 0.01
 LEVELS = 1000
 #: Share (as a divisor) of the sample that is kept for far values, and what is far.
 FAR, TAIL = 50, 0.001
