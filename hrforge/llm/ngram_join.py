@@ -36,10 +36,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hrforge.llm.common import U64, arrow_batches, digest, grams, keep_rows, mix64, share, table, words
+from hrforge.llm.common import U64, arrow_batches, digest, free_name, grams, mix64, share, table, words
 from hrforge.llm.components import components
 from hrforge.llm.sketch import Bits, repeated, width
 
@@ -285,6 +286,11 @@ def may_link(x: str, y: str) -> Column:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row."""
+    return labelled(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with the class of every row and a name of its component (``of``)."""
     arrow_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = table(postings(source), "postings")
@@ -324,14 +330,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     rows = every.filter("kind = 0").select("doc_id", "class", F.col("size").cast("long").alias("n_shingles"))
     of = rows.join(label.select(F.col("node").alias("class"), "root"), "class", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "class").alias("of"))
+        "doc_id", "n_shingles", "class", F.coalesce("root", "class").alias("of"))
     smallest = of.filter("n_shingles > 0").groupBy("of").agg(F.min("doc_id").alias("smallest"))
     return of.join(smallest, "of", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "n_shingles", "class", "of", F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest doc_id; rows without
-    a doc_id stay, as do all columns."""
-    gone = near_duplicates(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return keep_rows(docs, gone, drop=True)
+    """``docs`` with one row of each component, that of the smallest doc_id (of several, the
+    one of the smallest class); rows without a doc_id or a shingle stay, as do all columns.
+    A doc_id may repeat: rows are told apart by doc_id and class."""
+    own, place = free_name(docs, "own_class"), free_name(docs, "place")
+    text = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            yield b.append_column(own, pa.array([d for d, _ in classes(b, text)], pa.binary()))
+
+    pairs = labelled(docs).filter("doc_id is not null and n_shingles > 0").groupBy("of", "component_id", "doc_id", "class").agg(
+        F.count(F.lit(1)).alias("n"))
+    first = pairs.filter("doc_id = component_id").groupBy("of").agg(F.min("class").alias("first"))
+    # the pairs of which not all rows stay: none, or one
+    pairs = table(pairs.join(first, "of").withColumn(
+        "stays", (F.col("doc_id") == F.col("component_id")) & (F.col("class") == F.col("first"))).filter(
+        "not stays or n > 1").select(F.col("doc_id").alias("of_id"), F.col("class").alias("of_class"), "stays"), "near-copies")
+    rows = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(own, T.BinaryType())]))
+    same = (F.col("d.doc_id") == F.col("p.of_id")) & (F.col(f"d.{own}") == F.col("p.of_class"))
+    alone = rows.alias("d").join(pairs.alias("p"), same, "left_anti")
+    several = rows.alias("d").join(pairs.filter("stays").alias("p"), same, "left_semi").withColumn(
+        place, F.row_number().over(Window.partitionBy("doc_id", own).orderBy("text"))).filter(F.col(place) == 1)
+    return alone.select(*docs.columns).unionByName(several.select(*docs.columns))

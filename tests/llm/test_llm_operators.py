@@ -256,6 +256,20 @@ def test_near_copies_with_odd_ids(spark, odd_ids):
     assert got == sorted(brute.near(odd_ids), key=str)
 
 
+def test_near_copies_that_share_an_id(spark):
+    """A repeated doc_id: an unrelated text stays, and one of two near copies goes."""
+    base = [f"w{i}" for i in range(60)]
+    copy, other = " ".join([*base, "end"]), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, " ".join(base)), (5, copy), (5, other), (8, " ".join(f"u{i}" for i in range(50))), (8, " ".join(f"u{i}" for i in range(51))),
+            (9, "x y z"), (9, "x y z"), (9, ""), (9, ""), (None, copy), (None, None)]
+    docs = frame(spark, rows)
+    got = ngram_join.drop_near_copies(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    assert sum(d == 8 for d, _ in kept) == 1
+    assert [r for r in kept if r[0] != 8] == sorted([(1, rows[0][1]), (5, other), (9, "x y z"), (9, ""), (9, ""), (None, copy), (None, None)], key=str)
+
+
 def test_near_copies_of_random_edits(spark):
     rng = random.Random(8)
     pool = [f"w{i}" for i in range(60)]
