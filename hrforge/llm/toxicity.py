@@ -8,7 +8,7 @@ remains of documents without any evidence.
 
 Training: at most ``SAMPLE`` labelled rows (a documented bound), drawn by a hash per
 label with weights that restore the label rate. Words whose documents are toxic much
-more often than chance would allow become the lexicon (at most ``LEXICON``); counting
+more often than chance would allow become the lexicon (copies of a text count once); counting
 is a Spark aggregation. The rows' sentences, reduced to lexicon word numbers, are
 fitted in numpy. Scoring covers every row in one pass.
 
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from hrforge.llm.common import arrow_batches, share
 
 SAMPLE = 24_000
-LEXICON = 256
 #: A lexicon word's least number of documents, and least z value of its toxic share.
 LEAST, LEAST_Z = 4, 5.0
 THRESHOLD = 0.3
@@ -73,9 +72,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     return rows, {k: 1 / r for k, r in rate.items() if r}
 
 
-def lexicon(rows: DataFrame, weight: dict[int, float], most: int = LEXICON) -> list[str]:
-    """Words whose documents are toxic far more often than the sample's rate."""
+def lexicon(rows: DataFrame) -> list[str]:
+    """Words whose documents are toxic far more often than the sample's rate. Equal texts of
+    one label count once, so copies do not push out the words of other documents."""
     arrow_batches(rows.sparkSession)
+    rows = rows.withColumn("sha", F.sha2("text", 256)).dropDuplicates(["sha", "toxic"]).select("text", "toxic")
 
     def run(batches):
         for b in batches:
@@ -95,7 +96,7 @@ def lexicon(rows: DataFrame, weight: dict[int, float], most: int = LEXICON) -> l
     z = (F.col("toxic") - n * p) / F.sqrt(n * p * (1 - p))
     got = (rows.mapInArrow(run, "word string, clean long, toxic long").groupBy("word")
            .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-           .filter((n >= LEAST) & (z >= LEAST_Z)).orderBy(z.desc(), "word").limit(most).collect())
+           .filter((n >= LEAST) & (z >= LEAST_Z)).orderBy(z.desc(), "word").collect())
     return [r["word"] for r in got]
 
 
@@ -117,9 +118,9 @@ def spotter(words: list[str]) -> re.Pattern:
     return re.compile("|".join(map(re.escape, sorted(words, key=len, reverse=True))) if words else r"(?!)")
 
 
-def fit(rows: DataFrame, weight: dict[int, float], most: int = LEXICON, steps: int = 400) -> Model:
+def fit(rows: DataFrame, weight: dict[int, float], steps: int = 400) -> Model:
     """Noisy-or model by gradient ascent on the weighted document likelihood."""
-    vocabulary = lexicon(rows, weight, most)
+    vocabulary = lexicon(rows)
     number = {w: i for i, w in enumerate(vocabulary)}
     shared = share(rows, vocabulary)
 

@@ -337,6 +337,17 @@ def test_toxicity_sample_is_bounded_and_weighted(spark):
     assert picked.count() <= 300 and weight[0] > 1
 
 
+def test_copies_do_not_push_out_toxic_words(spark):
+    """Half of the toxic rows are copies of one text of 400 words."""
+    rows, labels = toxic_rows()
+    text = " ".join(f"{a}{b}{c}" for a in "qwxz" for b in "abcdefghij" for c in "klmnopqrst")
+    n = sum(toxic for _, _, toxic in labels)
+    rows += [(10_000 + i, text) for i in range(n)]
+    labels += [(10_000 + i, 1, 1) for i in range(n)]
+    model = toxicity.train(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert {"vilething", "nastyone", "rotter"} <= set(model.weights)
+
+
 def test_toxicity_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.score(docs, toxicity.train(docs, none)).collect()
