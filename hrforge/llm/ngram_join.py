@@ -16,7 +16,7 @@ their first ``n - least overlap + 1`` tokens. Several orders are used:
 * every other order (a different hash of the tokens) must also give common prefix tokens,
   and enough of them: an overlap is at most the common tokens of the prefixes plus what
   lies beyond the prefix that ends first. Pairs that fail one order are dropped, and only
-  the others' sets are moved and intersected.
+  the others' sets are moved and intersected. Pairs with a hub (below) skip these orders.
 
 No pairs are emitted within a group of copies. In each posting list the class with the
 fewest tokens of its own is the hub (it lies nearest to what the others share). First every
