@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and the SQL of those that SQL can express."""
+"""Registered queries of the operators, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hrforge.llm import (bpe, exact_dedup, lm_score, ngram_join, packing, quality_forest, secrets, substring_dedup,
-                         surrogates, toxicity)
+from hrforge.llm import (bpe, exact_dedup, lm_score, merkle, merkle_sql, ngram_join, packing, quality_forest, secrets,
+                         substring_dedup, surrogates, toxicity)
 from hrforge.llm.common import documents, labels
 
 #: Key of the surrogates of the registered query; a deployment passes its own.
@@ -57,11 +57,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return merkle.verify(merkle.prove(docs, merkle.without_newlines(docs)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_lm_scoring, op3_bpe, op4_pii_surrogates, op5_substring_dedup, op6_ngram_join, op7_toxicity,
-    op8_quality_rules, op9_exact_dedup, op10_secret_scan)}
+    op8_quality_rules, op9_exact_dedup, op10_secret_scan, op13_merkle_manifest)}
 
 ORACLES = {
+    "op13_merkle_manifest": merkle_sql.ORACLE,
     "op9_exact_dedup": """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
