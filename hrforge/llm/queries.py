@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hrforge.llm import (bpe, exact_dedup, lm_score, merkle, merkle_sql, ngram_join, packing, quality_forest, secrets,
-                         substring_dedup, surrogates, toxicity)
+                         substring_dedup, surrogates, toxicity, warc_zip)
 from hrforge.llm.common import documents, labels
 
 #: Key of the surrogates of the registered query; a deployment passes its own.
@@ -57,6 +57,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op11_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc_zip.archived(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return merkle.verify(merkle.prove(docs, merkle.without_newlines(docs)))
@@ -64,9 +69,24 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_lm_scoring, op3_bpe, op4_pii_surrogates, op5_substring_dedup, op6_ngram_join, op7_toxicity,
-    op8_quality_rules, op9_exact_dedup, op10_secret_scan, op13_merkle_manifest)}
+    op8_quality_rules, op9_exact_dedup, op10_secret_scan, op11_warc_zip,
+    op13_merkle_manifest)}
 
 ORACLES = {
+    # base32 of the SHA-1: four letters of five bits for every five hexadecimal digits
+    "op11_warc_zip": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (
+  SELECT page_id, strlen(html) AS payload_bytes,
+         list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(h, (i // 4 * 5 + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+         max(page_id) OVER (PARTITION BY html) AS last,
+         row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS nth
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN nth > 1 THEN last END AS refers_to
+FROM r""",
     "op13_merkle_manifest": merkle_sql.ORACLE,
     "op9_exact_dedup": """
 WITH n AS (
