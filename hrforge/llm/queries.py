@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hrforge.llm import (bpe, exact_dedup, lm_score, merkle, merkle_sql, ngram_join, packing, quality_forest, secrets,
+from hrforge.llm import (bpe, exact_dedup, lm_score, merkle, merkle_sql, ngram_join, packing, phrases, quality_forest, secrets,
                          substring_dedup, surrogates, toxicity, warc_zip)
 from hrforge.llm.common import documents, labels
 
@@ -62,6 +62,10 @@ def op11_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.archived(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return merkle.verify(merkle.prove(docs, merkle.without_newlines(docs)))
@@ -70,7 +74,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_lm_scoring, op3_bpe, op4_pii_surrogates, op5_substring_dedup, op6_ngram_join, op7_toxicity,
     op8_quality_rules, op9_exact_dedup, op10_secret_scan, op11_warc_zip,
-    op13_merkle_manifest)}
+    op12_phrase_collocations, op13_merkle_manifest)}
 
 ORACLES = {
     # base32 of the SHA-1: four letters of five bits for every five hexadecimal digits
@@ -87,6 +91,32 @@ r AS (
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN nth > 1 THEN last END AS refers_to
 FROM r""",
+    "op12_phrase_collocations": """
+WITH w AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(piece, '[ \t]'), lambda x: x <> '') AS words
+  FROM (SELECT lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\v\f\r]')) AS piece
+        FROM documents)),
+spot AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+f AS (
+  SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, m, count(*) AS f
+  FROM spot, range(1, 6) t(m) WHERE i + m - 1 <= len(words) GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(words)) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS words FROM f WHERE m > 1),
+cut AS (
+  SELECT c.lang, c.phrase, c.words, c.m, c.a, l.f AS l, r.f AS r, n.n, k,
+         ((1000::HUGEINT * c.a * n.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM c JOIN n USING (lang), range(1, 5) t(k), f l, f r
+  WHERE k < c.m AND l.lang = c.lang AND r.lang = c.lang AND l.phrase = array_to_string(c.words[1:k], ' ')
+    AND r.phrase = array_to_string(c.words[k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT c.lang, array_to_string(c.words[i:i + s - 1], ' ') AS phrase, max(c.a) AS longer
+  FROM c, range(2, 5) t(s), range(1, 5) u(i) WHERE s < c.m AND i + s - 1 <= c.m GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n::BIGINT AS n, score
+FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000""",
     "op13_merkle_manifest": merkle_sql.ORACLE,
     "op9_exact_dedup": """
 WITH n AS (

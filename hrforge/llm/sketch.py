@@ -218,3 +218,34 @@ def repeated(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.nd
 
 def slice_total(counted: DataFrame) -> int:
     return counted.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
+
+
+def key_count(counted: DataFrame) -> int:
+    return counted.agg(F.coalesce(F.sum(F.octet_length("keys")), F.lit(0))).first()[0] // 8
+
+
+def key_bits(counted: DataFrame, shift: int = 0, cells_per_key: int = 16) -> Bits:
+    """Bit map of the keys of packed counts, without their last ``shift`` bits: a key of the
+    table always hits. At most 2**MAX_BITS cells, so larger tables let more other keys hit."""
+    salt = 0xA4093822299F31D0
+    bits = power_of_two(key_count(counted) * cells_per_key, 16, MAX_BITS)
+    cut = min(12, bits - 3)
+
+    def run(batches):
+        for b in batches:
+            c = np.unique(cells(unpack(b.column("keys"), U64) >> U64(shift), salt, bits))
+            got = packed_rows(["part", "cells"], c >> np.uint32(bits - cut), [c])
+            if got is not None:
+                yield got
+
+    def merge(group: pa.Table) -> pa.Table:
+        flags = np.zeros(1 << (bits - cut), bool)
+        flags[unpack(group["cells"], np.uint32) & np.uint32((1 << (bits - cut)) - 1)] = True
+        return pa.table({"part": group["part"][:1], "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+
+    got = counted.mapInArrow(run, "part int, cells binary").groupBy("part").applyInArrow(merge, "part int, bits binary").toArrow()
+    data = np.zeros((1, 1 << (bits - 3)), np.uint8)
+    step = 1 << (bits - cut - 3)
+    for p, b in zip(got["part"].to_pylist(), got["bits"]):
+        data[0, p * step:(p + 1) * step] = np.frombuffer(b.as_buffer(), np.uint8)
+    return Bits(bits, data, (salt,))
