@@ -1,0 +1,278 @@
+"""Archives, phrases and manifests against brute force; odd cases."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import io
+import random
+import re
+import struct
+import zipfile
+import zlib
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from conftest import frame
+
+from hrforge.llm import merkle, phrases, warc_zip
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def ordered(rows):
+    return sorted((tuple(r) for r in rows), key=str)
+
+
+# ------------------------------------------------------------------ 11 archives
+
+
+def records(rows, least=0):
+    groups = defaultdict(list)
+    for i, (page, _, html) in enumerate(rows):
+        groups[html or ""].append((page is not None, page or 0, i, page))
+    out = []
+    for html, members in groups.items():
+        data = html.encode()
+        last = max(members)
+        for m in members:
+            again = len(data) >= least and m != last
+            out.append((m[3], len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
+                        "revisit" if again else "response", last[3] if again else None))
+    return ordered(out)
+
+
+@pytest.fixture(scope="module")
+def page_rows():
+    rng = random.Random(5)
+    rows = [(i, None if i % 7 == 0 else f"http://x.example.org/a b\r\nWARC-Type: metadata {i}é",
+             rng.choice([None, "", "same", "same", "x" * 5000, "é日本" * i, f"\r\n\r\n{i}"])) for i in range(250)]
+    rows += [(None, None, "same"), (None, None, "no page"), (None, "u", "no page"), (None, None, None)]
+    rows += [(5, "q", "twice"), (5, "q", "twice"), (4, "q", "twice"), (10 ** 12, None, "same"), (7, "u", "long " * 400_000)]
+    return rows
+
+
+def page_frame(spark, rows):
+    return spark.createDataFrame([(p, u, h, "z", "k", 1) for p, u, h in rows],
+                                 "page_id long, url string, html string, own string, sha string, nth int").repartition(3)
+
+
+@pytest.mark.parametrize("least", [0, 3, 100])
+def test_archives_give_the_records_back(spark, page_rows, least):
+    manifest = warc_zip.write_archives(page_frame(spark, page_rows), least=least, archive_bytes=2000)
+    got = warc_zip.read_archives(manifest, payloads=True).collect()
+    assert ordered((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == records(page_rows, least)
+    assert Counter(bytes(r["payload"]).decode() for r in got if r["record_type"] == "response") == Counter(
+        (h or "") for (_, _, h), r in zip(sorted(page_rows, key=lambda x: x[2] or ""), range(10 ** 9))
+        if len((h or "").encode()) < least) + Counter({h: 1 for h in {h or "" for _, _, h in page_rows} if len(h.encode()) >= least})
+    assert manifest.count() > 5
+    assert manifest.agg({"records": "sum"}).first()[0] == len(page_rows)
+    for m in manifest.limit(3).collect():  # another reader finds the same archive sound
+        z = zipfile.ZipFile(re.sub("^file:/+", "/", m["archive"]))
+        assert z.testzip() is None and {i.compress_type for i in z.infolist()} == {zipfile.ZIP_STORED}
+
+
+def test_no_pages(spark):
+    assert warc_zip.archived(spark, page_frame(spark, []).limit(0)).count() == 0
+
+
+class Bytes(io.BytesIO):
+    def read_at(self, n, offset):
+        self.seek(offset)
+        return self.read(n)
+
+    def size(self):
+        return len(self.getvalue())
+
+
+def test_directory_of_many_members():
+    """Over 65,535 members: the number stands in the ZIP64 end record only."""
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        for i in range(66_000):
+            z.writestr(f"m/{i}", b"")
+        z.writestr("archive/data.warc.gz", b"payload")
+    for before in (b"", b"#!/bin/sh\n" * 9):
+        f = Bytes(before + raw.getvalue())
+        found = warc_zip.members(f, f.size())
+        m = found["archive/data.warc.gz"]
+        assert len(found) == 66_001
+        assert f.read_at(m.size, warc_zip.data_start(f, m)) == b"payload"
+
+
+def test_wide_fields_and_comments():
+    """A directory entry whose sizes and place stand in its ZIP64 field, and an end record in the comment."""
+    name, data, full = b"archive/data.warc.gz", b"stored bytes", 0xFFFFFFFF
+    local = struct.pack("<4s5H3L2H", b"PK\3\4", 45, 8, 0, 0, 0, 0, 0, 0, len(name), 4) + name + struct.pack("<2H", 9, 0)
+    extra = struct.pack("<2H", 7, 2) + b"xx" + struct.pack("<2H3Q", 1, 24, len(data), len(data), 0)
+    entry = struct.pack("<4s6H3L5H2L", b"PK\1\2", 45, 45, 8, 0, 0, 0, 0, full, full, len(name), len(extra), 0, 0, 0, 0, full) + name + extra
+    start = len(local) + len(data)
+    end64 = struct.pack("<4sQ2H2L4Q", b"PK\6\6", 44, 45, 45, 0, 0, 1, 1, len(entry), start)
+    locator = struct.pack("<4sLQL", b"PK\6\7", 0, start + len(entry), 1)
+    comment = b"a PK\5\6 in a comment" + b"." * 30
+    end = struct.pack("<4s4H2LH", b"PK\5\6", 0, 0, 0xFFFF, 0xFFFF, full, full, len(comment)) + comment
+    f = Bytes(local + data + entry + end64 + locator + end)
+    m = warc_zip.members(f, f.size())[name.decode()]
+    assert f.read_at(m.size, warc_zip.data_start(f, m)) == data
+
+
+def test_broken_archives_are_refused():
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr(warc_zip.DATA, b"x" * 100)
+        z.writestr(warc_zip.INDEX, b"")
+    f = Bytes(raw.getvalue())
+    with pytest.raises(ValueError, match="compressed"):
+        warc_zip.record_places(f, f.size())
+    for broken in (b"", b"no archive", raw.getvalue()[:-30]):
+        with pytest.raises(ValueError):
+            warc_zip.members(Bytes(broken), len(broken))
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        z.writestr(warc_zip.DATA, b"x" * 100)
+    with pytest.raises(ValueError, match="index"):
+        warc_zip.record_places(Bytes(raw.getvalue()), len(raw.getvalue()))
+    record = warc_zip.warc_record(warc_zip.record_id(1, "A", 1), None, b"text", "A", None)
+    with pytest.raises(ValueError, match="digest"):
+        warc_zip.described(record)
+
+
+def test_runs_cover_neighbours():
+    places = [(10, 5), (15, 5), (20, 100), (121, 4), (125, 4)]
+    assert list(warc_zip.runs(places, 50)) == [(10, [5, 5]), (20, [100]), (121, [4, 4])]
+    assert list(warc_zip.runs([])) == []
+
+
+# ------------------------------------------------------------------ 12 phrases
+
+
+def collocations(rows, support, absorb, top, longest=5):
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for m in range(1, longest + 1):
+                f[lang].update(tuple(w[i:i + m]) for i in range(len(w) - m + 1))
+    out = []
+    for lang, counts in f.items():
+        found = {p: a for p, a in counts.items() if len(p) > 1 and a >= support}
+        rows = []
+        for p, a in found.items():
+            longer = [b for q, b in found.items() if len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q)))]
+            if longer and 100 * max(longer) >= absorb * a:
+                continue
+            score, k = min((int(Fraction(1000 * a * n[lang], counts[p[:k]] * counts[p[k:]])), k) for k in range(1, len(p)))
+            rows.append((" ".join(p), a, counts[p[:k]], counts[p[k:]], n[lang], score))
+        rows.sort(key=lambda r: (-r[5], -r[1], r[0].encode()))
+        out += [(lang, i, *r) for i, r in enumerate(rows[:top], 1)]
+    return ordered(out)
+
+
+@pytest.mark.parametrize("support,absorb,top", [(4, 100, 2000), (9, 100, 25), (20, 60, 2000), (1, 100, 300)])
+def test_phrases(spark, support, absorb, top):
+    rng = random.Random(8)
+    common = ["the", "of", "A", "new", "york", "times", "été", "日本", "x\x85y", "é"]
+    rows: list = [(None, None), ("en", None), ("", "the of the of"), ("en", ""), ("en", " \t,.;"), (None, "New  York\tTimes! new york times")]
+    rows += [(rng.choice(["en", "de", None]), "".join(rng.choice(common) + rng.choice([" ", " ", " ", "  ", "\t", ", ", "\n", "."])
+                                                      for _ in range(rng.randint(1, 60)))) for _ in range(60)]
+    rows += [("en", "same old line of many copies")] * 40 + [("de", "of " * 3000)]
+    if support == 1:
+        rows = rows[:12]
+    df = spark.createDataFrame([(None if i % 9 == 0 else i // 2, t, lg, "p", 1) for i, (lg, t) in enumerate(rows)],
+                               "doc_id long, text string, lang string, phrase string, shard int").repartition(3)
+    got = phrases.collocations(df, support, absorb=absorb, top=top)
+    assert ordered(got.collect()) == collocations(rows, support, absorb, top)
+
+
+def test_scores_past_64_bits(spark):
+    counts = [("", 4 * 10 ** 15), ("a", 3 * 10 ** 9), ("b", 7 * 10 ** 9), ("a b", 2 * 10 ** 9 + 1)]
+    df = spark.createDataFrame([("en", p, f) for p, f in counts], "lang string, phrase string, f long")
+    r = phrases.scored(df).first()
+    assert r["score"] == 1000 * (2 * 10 ** 9 + 1) * 4 * 10 ** 15 // (21 * 10 ** 18)
+
+
+def test_full_bit_maps_lose_nothing(spark, monkeypatch):
+    from hrforge.llm import sketch
+    rng = random.Random(2)
+    rows = [("en", " ".join(rng.choice("abcdefgh") for _ in range(50))) for _ in range(30)]
+    df = spark.createDataFrame([(i, t, lg) for i, (lg, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(sketch.Bits, "hit", lambda self, keys: np.ones(len(keys), bool))
+    assert ordered(phrases.collocations(df, 10).collect()) == collocations(rows, 10, 100, 2000)
+
+
+# ------------------------------------------------------------------ 13 manifest
+
+
+def H(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def manifest(rows):
+    def field(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def tree(leaves):
+        paths, level = [[] for _ in leaves], [(h, [i]) for i, h in enumerate(leaves)]
+        while len(level) > 1:
+            above = []
+            for i in range(0, len(level), 3):
+                run = level[i:i + 3]
+                for k, (_, own) in enumerate(run):
+                    for o in own:
+                        paths[o].append(("".join(x[0] for x in run[:k]), "".join(x[0] for x in run[k + 1:])))
+                above.append((H(*(x[0] for x in run)), sum((x[1] for x in run), [])))
+            level = above
+        return level[0][0], paths
+
+    by = defaultdict(list)
+    for i, r in enumerate(rows):
+        by[r[1]].append(((r[0] is not None, r[0] or 0), H(*map(field, r)), i))
+    subs = []
+    for s in sorted(by, key=lambda s: (s is not None, (s or "").encode())):
+        by[s].sort()
+        subs.append((s, *tree([x[1] for x in by[s]])))
+    root, up = tree([x[1] for x in subs])
+    out = []
+    for (s, subroot, paths), above in zip(subs, up):
+        for (_, leaf, i), path in zip(by[s], paths):
+            d, *mid, text = rows[i]
+            if text is not None and d is not None and zlib.crc32(str(d).encode()) % 2 == 0:
+                text = text.replace("\n", "")
+            h, path = H(*map(field, (d, *mid, text))), path + above
+            for left, right in path:
+                h = H(left, h, right)
+            out.append((d, leaf, subroot, root, H(*(a + b for a, b in path)), h, h == root))
+    return ordered(out)
+
+
+ODD = [(None, None, None, None, None)] * 3 + [(1, None, "x", 2, "a\nb")] * 5 + [(i, f"s{i % 13}", "en", 3, f"t\n{i}") for i in range(300)]
+ODD += [(9000 + i, "big", "é", 1, "") for i in range(700)] + [(5, "", "a", 0, "q"), (6, "-", "a", 0, "q"), (6, "é", "a", 0, "\n" * 200_000)]
+
+
+@pytest.mark.parametrize("rows", [ODD, ODD[:1], ODD[:3], ODD[8:9], ODD[8:17], ODD[-1:] + ODD[8:11], ODD[20:120:13], ODD[308:389]])
+def test_manifest(spark, rows):
+    df = spark.createDataFrame([(*r, "k", 1, 2) for r in rows],
+                               "doc_id long, source string, lang string, n_chars long, text string, tree string, level int, idx long").repartition(4)
+    got = merkle.verify(merkle.prove(df, merkle.without_newlines(df)))
+    assert ordered(got.collect()) == manifest(rows)
+
+
+def test_untampered_tables_verify(spark, docs):
+    got = merkle.verify(merkle.prove(docs)).collect()
+    assert len(got) == docs.count() and all(r["verified"] for r in got)
+
+
+def test_empty_tables(spark, empty):
+    assert merkle.verify(merkle.prove(empty, merkle.without_newlines(empty))).count() == 0
+    assert phrases.collocations(empty).count() == 0
+
+
+def test_clashing_columns(spark, odd_ids):
+    rows = [(d, "src", "en", len(t or ""), t) for d, t in odd_ids]
+    df = frame(spark, odd_ids)
+    assert ordered(merkle.verify(merkle.prove(df, merkle.without_newlines(df))).collect()) == manifest(rows)
+    assert ordered(phrases.collocations(df, 5).collect()) == collocations([("en", t) for _, t in odd_ids], 5, 100, 2000)
