@@ -54,6 +54,8 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 ARCHIVE_BYTES = 256 << 20
 #: Bytes of a run of neighbouring records that one range read fetches.
 RUN_BYTES = 1 << 20
+#: Bytes of archives that one reading task is meant to fetch, and the most tasks.
+TASK_BYTES, MOST_TASKS = 16 << 20, 100_000
 GZIP_LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -348,8 +350,12 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
                 cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[i], kinds[i]) for i in range(len(schema))], schema.names)
 
-    placed = manifest.select("archive").mapInArrow(locate, "archive string, start long, sizes array<int>")
-    return placed.repartition("archive", "start").sortWithinPartitions("archive", "start").mapInArrow(fetch, schema)
+    # rows of places are small, so their number of tasks follows the bytes they name
+    count, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, min(-(-size // TASK_BYTES), MOST_TASKS))
+    placed = manifest.select("archive").repartition(max(1, min(count, MOST_TASKS)), "archive").mapInArrow(
+        locate, "archive string, start long, sizes array<int>")
+    return placed.repartition(tasks, "archive", "start").sortWithinPartitions("archive", "start").mapInArrow(fetch, schema)
 
 
 def archived(spark: SparkSession, pages: DataFrame, least: int = 0) -> DataFrame:
