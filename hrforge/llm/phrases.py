@@ -49,7 +49,7 @@ SUPPORT, LONGEST, ABSORB, TOP = 100, 5, 100, 2000
 SHARD_BITS = 3
 SHARDS = 1 << SHARD_BITS
 #: Bytes of text that are counted at once in step 4.
-CHUNK = 16 << 20
+CHUNK = 4 << 20
 #: Groups of a lang in which the best phrases are looked for first.
 SALTS = 32
 
