@@ -52,6 +52,8 @@ SHARDS = 1 << SHARD_BITS
 CHUNK = 4 << 20
 #: Groups of a lang in which the best phrases are looked for first.
 SALTS = 32
+#: Counts that a task of step 4 holds before it adds them up by phrase.
+HELD = 1 << 20
 
 _BLANK, _END = np.zeros(256, bool), np.zeros(256, bool)
 _BLANK[[0x20, 0x09]] = True
@@ -209,6 +211,28 @@ def _rows(lang: list, phrase: list, f: np.ndarray) -> pa.RecordBatch:
         pa.string()), pa.array(f.astype(np.int64))], ["lang", "phrase", "f"])
 
 
+def _added_up(counts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts with equal lang and phrase as one, as far as HELD rows show them."""
+    held, size = [], 0
+    for batch in counts:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= HELD:
+            held = _merged(held)
+            size = sum(b.num_rows for b in held)
+            if size > HELD // 2:
+                yield from held
+                held, size = [], 0
+    yield from _merged(held)
+
+
+def _merged(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    if not held:
+        return []
+    added = pa.Table.from_batches(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    return added.select(["lang", "phrase", "f_sum"]).rename_columns(["lang", "phrase", "f"]).to_batches(max_chunksize=1 << 16)
+
+
 def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST) -> DataFrame:
     """lang, phrase, f of all words and phrases found ``support`` times or more, and
     (lang, "", number of words)."""
@@ -222,8 +246,7 @@ def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGES
     union = share(docs, key_bits(in_pairs.unionByName(longer), shift=SHARD_BITS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches):
-            yield from _counted_chunk(chunk, words.value, union.value, longest)
+        yield from _added_up(c for chunk in _chunks(batches) for c in _counted_chunk(chunk, words.value, union.value, longest))
 
     found = corpus.mapInArrow(count, "lang string, phrase string, f long")
     return table(found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter((F.col("f") >= support) | (F.col("phrase") == "")), "phrase-counts")
