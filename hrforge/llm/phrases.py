@@ -15,7 +15,8 @@ overlaps included.
    lowered support is the same at every size of the corpus.
 3. Union. Phrases frequent in any shard become a bit map, which has no false negatives.
 4. Count. A second pass over all texts counts the phrases of the union (and the words)
-   by their text; the sums are exact, and those below ``support`` go, false positives included.
+   by their text, task by task and then by hash partitions; the sums are exact, and those
+   below ``support`` go, false positives included.
 5. Score. Each candidate is joined with the counts of both parts of each of its cuts. The lowest
    score counts, ties to the shortest first part. Candidates within a longer candidate that is
    found at least ``absorb`` / 100 times as often go. The best ``top`` of each lang stay, chosen in
@@ -37,6 +38,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -173,14 +175,14 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted_chunk(batch: pa.RecordBatch, words: Bits, union: Bits, longest: int) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, f) of the phrases of the union and of frequent words in one chunk, and
-    (lang, "", number of words)."""
+    """(key, lang, phrase, f) of the phrases of the union and of frequent words in one chunk,
+    and (key, lang, "", number of words)."""
     langs = batch.column(1).dictionary_encode()
-    names, code = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-    lang = np.array([xxhash.xxh3_64_intdigest(x) for x in names], U64)[code]
+    names, code = langs.dictionary, langs.indices.to_numpy()
+    hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in names.to_pylist()], U64)
+    lang = hashes[code]
     p = pieces(batch.column(0))
-    n_words = np.bincount(code[p.row], minlength=len(names))
-    yield _rows(names, ["" for _ in names], n_words)
+    yield _rows(hashes, names, np.arange(len(names)), [b""] * len(names), np.bincount(code[p.row], minlength=len(names)))
     one = phrase_keys(p, 1, lang)
     common = words.hit(one)
     pair = together(p, common) if len(one) else np.empty(0, bool)
@@ -196,41 +198,65 @@ def _counted_chunk(batch: pa.RecordBatch, words: Bits, union: Bits, longest: int
             at, keys = at[hit], keys[hit]
         if not len(at):
             continue
-        _, first, count = np.unique(keys, return_index=True, return_counts=True)
+        keys, first, count = np.unique(keys, return_index=True, return_counts=True)
         at = at[first]
-        starts, ends = p.starts[at].tolist(), p.ends[at + n - 1].tolist()
-        phrases = [text[s:e] for s, e in zip(starts, ends)]
+        phrases = [text[s:e] for s, e in zip(p.starts[at].tolist(), p.ends[at + n - 1].tolist())]
         if n > 1:
             phrases = [b" ".join(x.split()) for x in phrases]
-        of = code[p.row[at]]
-        yield _rows([names[i] for i in of.tolist()], phrases, count)
+        yield _rows(keys, names, code[p.row[at]], phrases, count)
 
 
-def _rows(lang: list, phrase: list, f: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.string() if phrase and isinstance(phrase[0], str) else pa.binary()).cast(
-        pa.string()), pa.array(f.astype(np.int64))], ["lang", "phrase", "f"])
+def _rows(keys: np.ndarray, names: pa.Array, code: np.ndarray, phrases: list[bytes], f: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys), names.take(pa.array(code)), pa.array(phrases, pa.binary()), pa.array(f.astype(np.int64))],
+                                      ["key", "lang", "phrase", "f"])
 
 
-def _added_up(counts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _added_up(counts: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The counts with equal lang and phrase as one, as far as HELD rows show them."""
     held, size = [], 0
     for batch in counts:
-        held.append(batch)
+        held.append(pa.Table.from_batches([batch]))
         size += batch.num_rows
         if size >= HELD:
-            held = _merged(held)
-            size = sum(b.num_rows for b in held)
+            held = [_merged(held)]
+            size = held[0].num_rows
             if size > HELD // 2:
-                yield from held
-                held, size = [], 0
-    yield from _merged(held)
-
-
-def _merged(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
-    if not held:
-        return []
-    added = pa.Table.from_batches(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
-    return added.select(["lang", "phrase", "f_sum"]).rename_columns(["lang", "phrase", "f"]).to_batches(max_chunksize=1 << 16)
+                yield held.pop()
+                size = 0
+    if held:
+        yield _merged(held)
+
+
+def _merged(held: list[pa.Table], by: tuple = ("key", "lang", "phrase")) -> pa.Table:
+    added = pa.concat_tables(held).group_by(list(by), use_threads=False).aggregate([("f", "sum")])
+    return added.select([*by, "f_sum"]).rename_columns([*by, "f"])
+
+
+def _sliced(counts: pa.Table, bits: int) -> pa.RecordBatch:
+    """One row per slice of the keys and lang: its phrases (which hold no line ends) and counts."""
+    counts = counts.append_column("slice", pa.array((mix64(counts["key"].to_numpy()) >> U64(64 - bits)).astype(np.int32)))
+    counts = counts.sort_by([("slice", "ascending"), ("lang", "ascending")])
+    slices, langs = counts["slice"].to_numpy(), counts["lang"].combine_chunks().dictionary_encode()
+    cuts = np.flatnonzero((np.diff(slices) != 0) | (np.diff(langs.indices.to_numpy()) != 0)) + 1
+    phrases, f = counts["phrase"].to_pylist(), counts["f"].to_numpy()
+    begin, end = [0, *cuts.tolist()], [*cuts.tolist(), len(phrases)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(slices[begin]), langs.take(pa.array(begin)).cast(pa.string()),
+         pa.array([b"\n".join(phrases[i:j]) for i, j in zip(begin, end)], pa.binary()),
+         pa.array([f[i:j].tobytes() for i, j in zip(begin, end)], pa.binary())], ["slice", "lang", "phrases", "counts"])
+
+
+def _summed(group: pa.Table, support: int) -> pa.Table:
+    """Exact counts of one slice, by the text of the phrases."""
+    parts = []
+    for lang, phrases, counts in zip(group["lang"].to_pylist(), group["phrases"].to_pylist(), group["counts"].to_pylist()):
+        text = phrases.split(b"\n")
+        parts.append(pa.table({"lang": pa.array([lang] * len(text), pa.string()), "phrase": pa.array(text, pa.binary()),
+                               "f": pa.array(np.frombuffer(counts, np.int64))}))
+    added = _merged(parts, ("lang", "phrase"))
+    keep = pc.or_(pc.greater_equal(added["f"], support), pc.equal(pc.binary_length(added["phrase"]), 0))
+    added = added.filter(keep)
+    return added.set_column(1, "phrase", added["phrase"].cast(pa.string()))
 
 
 def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST) -> DataFrame:
@@ -246,10 +272,12 @@ def phrase_counts(docs: DataFrame, support: int = SUPPORT, longest: int = LONGES
     union = share(docs, key_bits(in_pairs.unionByName(longer), shift=SHARD_BITS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _added_up(c for chunk in _chunks(batches) for c in _counted_chunk(chunk, words.value, union.value, longest))
+        chunks = (c for chunk in _chunks(batches) for c in _counted_chunk(chunk, words.value, union.value, longest))
+        for added in _added_up(chunks):
+            yield _sliced(added, bits)
 
-    found = corpus.mapInArrow(count, "lang string, phrase string, f long")
-    return table(found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter((F.col("f") >= support) | (F.col("phrase") == "")), "phrase-counts")
+    found = corpus.mapInArrow(count, "slice int, lang string, phrases binary, counts binary")
+    return table(found.groupBy("slice").applyInArrow(lambda group: _summed(group, support), "lang string, phrase string, f long"), "phrase-counts")
 
 
 def _joined(words: Column, start: Column, length: Column) -> Column:
