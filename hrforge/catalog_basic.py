@@ -153,9 +153,9 @@ LEDGER_SQL = """
 select s.request_id, s.kind, s.emp_id, s.replacement_emp, l.date_of_request, l.start_date,
        l.end_date, l.num_days, l.final_approval_status
 from (select request_id, emp_id, 0 as kind, replacement_emp from annual_leave
-      union select request_id, emp_id, 1, cast(null as integer) from accidental_leave
-      union select request_id, emp_id, 2, cast(null as integer) from medical_leave
-      union select request_id, emp_id, 3, cast(null as integer) from unpaid_leave
+      union select request_id, emp_id, 1, cast(null as bigint) from accidental_leave
+      union select request_id, emp_id, 2, cast(null as bigint) from medical_leave
+      union select request_id, emp_id, 3, cast(null as bigint) from unpaid_leave
       union select request_id, emp_id, 4, replacement_emp from compensation_leave) s
 join leave l on l.request_id = s.request_id
 """

@@ -386,13 +386,13 @@ def evaluation_batch(t):
     p = t.base("part")
     employees = t.base("customer").agg(F.count(F.lit(1))).scalar()
     return p.select(F.col("p_partkey").alias("seq"),
-                    (F.col("p_partkey") % employees + 1).cast("int").alias("employee_id"),
+                    (F.col("p_partkey") % employees + 1).cast("bigint").alias("employee_id"),
                     (F.col("p_size") % 7).cast("int").alias("rating"),
                     F.col("p_type").alias("comment"), F.lit("W24").alias("semester"))
 
 
 EVAL_BATCH = ("(select p_partkey as seq, cast(p_partkey % (select count(*) from "
-              "customer) + 1 as integer) as employee_id, "
+              "customer) + 1 as bigint) as employee_id, "
               "cast(p_size % 7 as integer) as rating, p_type as comment, 'W24' as semester from part)")
 
 register("append_evaluations", f"""

@@ -197,7 +197,7 @@ def dec_unpaid(mode: str) -> str:
         reason = f"case when _pt then null when {noapp} then {_q(S.MSG_UNPAID_NO_APPROVERS)} end"
         creates = f"not _pt and not {noapp}"
     return f"""select b.*, h.hr_rep, {reason} as reason, {creates} as creates_leave,
-  case when {noapp} then cast([] as integer[])
+  case when {noapp} then cast([] as bigint[])
        when _dkey = 'hr' then [{upper}, (select id from hr_mgr_plain_avail)]
        when _dov then [{upper}, h.hr_rep]
        else [{head}, {upper}, h.hr_rep] end as approvers

@@ -281,7 +281,7 @@ def _hours_sql(skip_part_time: bool) -> str:
 select {next_ids('deduction', 'deduction_id', 'x.emp_id, x.attendance_id')} as deduction_id,
        x.emp_id, {d(AS_OF)} as date,
        {from_cents(rq(cents('e.salary') + ' * (480 - x.total_duration)', 10560))} as amount,
-       'missing_hours' as type, 'pending' as status, cast(null as integer) as unpaid_id, x.attendance_id
+       'missing_hours' as type, 'pending' as status, cast(null as bigint) as unpaid_id, x.attendance_id
 from (select emp_id, attendance_id, total_duration,
              row_number() over (partition by emp_id order by date, attendance_id) as rn
       from attendance a
@@ -310,7 +310,7 @@ def _days_sql(corrected: bool) -> str:
     return f"""
 select {next_ids('deduction', 'deduction_id', 'a.emp_id, a.attendance_id')} as deduction_id,
        a.emp_id, {d(AS_OF)} as date, {from_cents(rq(cents('e.salary'), 22))} as amount,
-       'missing_days' as type, 'pending' as status, cast(null as integer) as unpaid_id, a.attendance_id
+       'missing_days' as type, 'pending' as status, cast(null as bigint) as unpaid_id, a.attendance_id
 from attendance a join employee e on e.employee_id = a.emp_id
 where {in_month('a.date', M0)} and {ci('a.status')} = 'absent' {again}
   and not exists (select 1 from unpaid_leave u join leave l on u.request_id = l.request_id
@@ -349,7 +349,7 @@ def _unpaid_sql(corrected: bool) -> str:
 select {next_ids('deduction', 'deduction_id', 'p.emp_id, p.request_id')} as deduction_id,
        p.emp_id, {dated} as date, {from_cents(f'{daily} * {days}')} as amount,
        'unpaid' as type, 'pending' as status, p.request_id as unpaid_id,
-       cast(null as integer) as attendance_id
+       cast(null as bigint) as attendance_id
 from (select u.emp_id, l.request_id, l.start_date, l.end_date,
              row_number() over (partition by u.emp_id order by l.request_id desc) as rn
       from unpaid_leave u join leave l on l.request_id = u.request_id
@@ -541,14 +541,14 @@ def checkin_batch(t):
     ev = t.base("events").filter(F.to_date("ts") == F.lit(AS_OF))
     users = t.base("events").agg(F.max("user_id") + 1).scalar()
     return ev.select(
-        (F.col("user_id") + 1 + users * (F.col("event_id") % 2)).cast("int").alias("emp_id"),
+        (F.col("user_id") + 1 + users * (F.col("event_id") % 2)).cast("bigint").alias("emp_id"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("check_in_time"),
         F.col("ts").alias("check_out_time"), F.col("event_id").alias("seq"))
 
 
 CHECKIN_SQL = f"""(select emp_id, arg_max(check_in_time, seq) as cin, arg_max(check_out_time, seq) as cout
  from (select cast(user_id + 1 + (select max(user_id) + 1 from events) * (event_id % 2)
-                   as integer) as emp_id,
+                   as bigint) as emp_id,
               date_trunc('hour', ts) as check_in_time, ts as check_out_time, event_id as seq
        from events where cast(ts as date) = {d(AS_OF)}) b group by emp_id)"""
 

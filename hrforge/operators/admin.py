@@ -92,19 +92,22 @@ def upsert_attendance(attendance: DataFrame, checkins: DataFrame, as_of) -> Data
                    max_id(attendance, "attendance_id"))
 
 
-def upsert_attendance_days(attendance: DataFrame, checkins: DataFrame) -> DataFrame:
+def upsert_attendance_days(attendance: DataFrame, checkins: DataFrame,
+                           last_id: int | None = None) -> DataFrame:
     """``Update_Attendance`` for check-ins of any days: checkins carry ``date``.
 
     Per (emp_id, date) the latest seq wins. Rows of the batch's dates are
     updated (all rows of that employee and day), missing (employee, day) pairs
     are inserted with new ids (ordered by date, employee); other dates pass
     through untouched. The list of touched dates is at most one row per calendar
-    day, so it is broadcast.
+    day, so it is broadcast. ``attendance`` may be the touched months alone; ``last_id``
+    is then the table's largest id.
     """
     days = F.broadcast(checkins.select(F.col("date").alias("_day")).distinct())
     others = attendance.join(days, attendance.date == days._day, "left_anti")
     todays = attendance.join(days, attendance.date == days._day, "left_semi")
-    return _upsert(others, todays, checkins, max_id(attendance, "attendance_id"))
+    base = max_id(attendance, "attendance_id") if last_id is None else last_id
+    return _upsert(others, todays, checkins, base)
 
 
 def _upsert(others: DataFrame, todays: DataFrame, checkins: DataFrame, base) -> DataFrame:

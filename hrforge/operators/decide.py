@@ -5,7 +5,7 @@ holds many (``seq`` = call order). Checks that only read the snapshot become
 flags computed by joins. Rules whose outcome depends on earlier decisions of the
 same batch apply to the requests that pass every other check, in (request_id, seq)
 order: the annual balance and the booked replacements in rounds
-(``hrforge.plans.rounds``), the accidental balance as a row number, and the one
+(``hrforge.plans.settle``), the accidental balance as a row number, and the one
 unpaid leave a year as an ordered fold (``hrforge.plans.fold``).
 
 Outputs are decision frames plus helpers that apply them to the Leave,
@@ -29,7 +29,7 @@ from hrforge.operators.quality import check_predicate
 from hrforge.plans.fold import year_sequence_fold
 from hrforge.plans.ids import assign_ids, max_id
 from hrforge.plans.outputs import Outputs
-from hrforge.plans.rounds import settle_in_order
+from hrforge.plans.settle import settle_in_order
 
 MSG_NOT_AUTHORISED = "Error! You are not authorised to approve/reject this leave"
 UPPERBOARD_ROLES = ["Dean", "Vice Dean", "President"]

@@ -31,7 +31,7 @@ def subtype_union(annual: DataFrame, accidental: DataFrame, medical: DataFrame,
             continue
         repl = F.col("replacement_emp") if "replacement_emp" in df.columns else F.lit(None)
         parts.append(df.select("request_id", "emp_id", F.lit(kind).alias("kind"),
-                               repl.cast("int").alias("replacement_emp")))
+                               repl.cast("bigint").alias("replacement_emp")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

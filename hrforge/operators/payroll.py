@@ -70,7 +70,7 @@ def missing_hour_deductions(attendance: DataFrame, employee: DataFrame,
                                          WORK_DAYS_PER_MONTH * 8 * 60))
     new = rows.select("emp_id", day.alias("date"), amount.alias("amount"),
                       F.lit("missing_hours").alias("type"), F.lit("pending").alias("status"),
-                      F.col("attendance_id").cast("int").alias("attendance_id"))
+                      F.col("attendance_id").cast("bigint").alias("attendance_id"))
     return _finish_deductions(new, deduction, ["emp_id", "attendance_id"])
 
 
@@ -98,7 +98,7 @@ def missing_day_deductions(attendance: DataFrame, employee: DataFrame, ledger: D
     amount = from_cents(rounded_quotient(cents(F.col("salary")), WORK_DAYS_PER_MONTH))
     new = rows.select("emp_id", day.alias("date"), amount.alias("amount"),
                       F.lit("missing_days").alias("type"), F.lit("pending").alias("status"),
-                      F.lit(None).cast("int").alias("unpaid_id"), "attendance_id")
+                      F.lit(None).cast("bigint").alias("unpaid_id"), "attendance_id")
     return _finish_deductions(new, deduction, ["emp_id", "attendance_id"])
 
 
@@ -152,7 +152,7 @@ def unpaid_leave_deductions(employee: DataFrame, ledger: DataFrame, deduction: D
     new = rows.select("emp_id", dated.alias("date"), amount.alias("amount"),
                       F.lit("unpaid").alias("type"), F.lit("pending").alias("status"),
                       F.col("request_id").alias("unpaid_id"),
-                      F.lit(None).cast("int").alias("attendance_id"))
+                      F.lit(None).cast("bigint").alias("attendance_id"))
     return _finish_deductions(new, deduction, ["emp_id", "unpaid_id"])
 
 

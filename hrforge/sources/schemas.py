@@ -1,6 +1,7 @@
 """Typed schemas of the twenty HR tables (plus the login-attempt input).
 
-Reference types map as: INT -> int, VARCHAR/CHAR -> string, DECIMAL(p,s) ->
+Reference types map as: INT -> int (ids -> bigint, so that a table can have more than 2**31
+rows), VARCHAR/CHAR -> string, DECIMAL(p,s) ->
 decimal(p,s), DATE -> date, BIT -> boolean. TIME becomes ``timestamp_ntz``
 (date plus time of day, no zone): Spark 4.1 has no usable TIME type in queries
 or parquet, and a zone-free timestamp keeps the wall-clock meaning.
@@ -16,6 +17,8 @@ DATE = T.DateType()
 TS = T.TimestampNTZType()
 BOOL = T.BooleanType()
 LONG = T.LongType()
+#: Identity columns and the columns that refer to them.
+ID = LONG
 
 
 def DEC(p: int, s: int) -> T.DecimalType:
@@ -29,58 +32,58 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 SCHEMAS: dict[str, T.StructType] = {
     "department": _schema(("name", STR), ("building_location", STR)),
     "employee": _schema(
-        ("employee_id", INT), ("first_name", STR), ("last_name", STR), ("email", STR),
+        ("employee_id", ID), ("first_name", STR), ("last_name", STR), ("email", STR),
         ("password", STR), ("address", STR), ("gender", STR), ("official_day_off", STR),
         ("years_of_experience", INT), ("national_id", STR), ("employment_status", STR),
         ("type_of_contract", STR), ("emergency_contact_name", STR),
         ("emergency_contact_phone", STR), ("annual_balance", INT),
         ("accidental_balance", INT), ("salary", DEC(10, 2)), ("hire_date", DATE),
         ("last_working_date", DATE), ("dept_name", STR)),
-    "employee_phone": _schema(("emp_id", INT), ("phone_num", STR)),
+    "employee_phone": _schema(("emp_id", ID), ("phone_num", STR)),
     "role": _schema(
         ("role_name", STR), ("title", STR), ("description", STR), ("rank", INT),
         ("base_salary", DEC(10, 2)), ("percentage_yoe", DEC(4, 2)),
         ("percentage_overtime", DEC(4, 2)), ("annual_balance", INT),
         ("accidental_balance", INT)),
-    "employee_role": _schema(("emp_id", INT), ("role_name", STR)),
+    "employee_role": _schema(("emp_id", ID), ("role_name", STR)),
     "role_existsin_department": _schema(("department_name", STR), ("role_name", STR)),
     "leave": _schema(
-        ("request_id", INT), ("date_of_request", DATE), ("start_date", DATE),
+        ("request_id", ID), ("date_of_request", DATE), ("start_date", DATE),
         ("end_date", DATE), ("num_days", INT), ("final_approval_status", STR)),
-    "annual_leave": _schema(("request_id", INT), ("emp_id", INT), ("replacement_emp", INT)),
-    "accidental_leave": _schema(("request_id", INT), ("emp_id", INT)),
+    "annual_leave": _schema(("request_id", ID), ("emp_id", ID), ("replacement_emp", ID)),
+    "accidental_leave": _schema(("request_id", ID), ("emp_id", ID)),
     "medical_leave": _schema(
-        ("request_id", INT), ("insurance_status", BOOL), ("disability_details", STR),
-        ("type", STR), ("emp_id", INT)),
-    "unpaid_leave": _schema(("request_id", INT), ("emp_id", INT)),
+        ("request_id", ID), ("insurance_status", BOOL), ("disability_details", STR),
+        ("type", STR), ("emp_id", ID)),
+    "unpaid_leave": _schema(("request_id", ID), ("emp_id", ID)),
     "compensation_leave": _schema(
-        ("request_id", INT), ("reason", STR), ("date_of_original_workday", DATE),
-        ("emp_id", INT), ("replacement_emp", INT)),
+        ("request_id", ID), ("reason", STR), ("date_of_original_workday", DATE),
+        ("emp_id", ID), ("replacement_emp", ID)),
     "document": _schema(
-        ("document_id", INT), ("type", STR), ("description", STR), ("file_name", STR),
-        ("creation_date", DATE), ("expiry_date", DATE), ("status", STR), ("emp_id", INT),
-        ("medical_id", INT), ("unpaid_id", INT)),
+        ("document_id", ID), ("type", STR), ("description", STR), ("file_name", STR),
+        ("creation_date", DATE), ("expiry_date", DATE), ("status", STR), ("emp_id", ID),
+        ("medical_id", ID), ("unpaid_id", ID)),
     "payroll": _schema(
-        ("id", INT), ("payment_date", DATE), ("final_salary_amount", DEC(10, 1)),
+        ("id", ID), ("payment_date", DATE), ("final_salary_amount", DEC(10, 1)),
         ("from_date", DATE), ("to_date", DATE), ("comments", STR),
-        ("bonus_amount", DEC(10, 2)), ("deductions_amount", DEC(10, 2)), ("emp_id", INT)),
+        ("bonus_amount", DEC(10, 2)), ("deductions_amount", DEC(10, 2)), ("emp_id", ID)),
     "attendance": _schema(
-        ("attendance_id", INT), ("date", DATE), ("check_in_time", TS),
-        ("check_out_time", TS), ("total_duration", INT), ("status", STR), ("emp_id", INT)),
+        ("attendance_id", ID), ("date", DATE), ("check_in_time", TS),
+        ("check_out_time", TS), ("total_duration", INT), ("status", STR), ("emp_id", ID)),
     "deduction": _schema(
-        ("deduction_id", INT), ("emp_id", INT), ("date", DATE), ("amount", DEC(10, 2)),
-        ("type", STR), ("status", STR), ("unpaid_id", INT), ("attendance_id", INT)),
+        ("deduction_id", ID), ("emp_id", ID), ("date", DATE), ("amount", DEC(10, 2)),
+        ("type", STR), ("status", STR), ("unpaid_id", ID), ("attendance_id", ID)),
     "performance": _schema(
-        ("performance_id", INT), ("rating", INT), ("comments", STR), ("semester", STR),
-        ("emp_id", INT)),
+        ("performance_id", ID), ("rating", INT), ("comments", STR), ("semester", STR),
+        ("emp_id", ID)),
     "employee_replace_employee": _schema(
-        ("table_id", INT), ("emp1_id", INT), ("emp2_id", INT), ("from_date", DATE),
+        ("table_id", ID), ("emp1_id", ID), ("emp2_id", ID), ("from_date", DATE),
         ("to_date", DATE)),
-    "employee_approve_leave": _schema(("emp1_id", INT), ("leave_id", INT), ("status", STR)),
+    "employee_approve_leave": _schema(("emp1_id", ID), ("leave_id", ID), ("status", STR)),
     "holiday": _schema(
-        ("holiday_id", INT), ("holiday_name", STR), ("from_date", DATE), ("to_date", DATE)),
+        ("holiday_id", ID), ("holiday_name", STR), ("from_date", DATE), ("to_date", DATE)),
     # Batch input for the login flags (one row per attempt).
-    "login_attempts": _schema(("attempt_id", LONG), ("employee_id", INT), ("password", STR)),
+    "login_attempts": _schema(("attempt_id", LONG), ("employee_id", ID), ("password", STR)),
 }
 
 # Primary keys (reference DDL, fixed values).

@@ -48,6 +48,23 @@ def test_assign_ids_dense_in_order_across_partitions(spark):
     assert part.filter(F.col("rid") != F.col("k") + 42).count() == 0
 
 
+def test_ids_go_past_32_bits_with_one_write(spark, monkeypatch):
+    frame, writer = type(spark.range(0)), type(spark.range(0).write)
+    writes = []
+    for kind, name in ((frame, "checkpoint"), (writer, "parquet")):
+        real = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda self, *a, real=real, **k: (writes.append(1), real(self, *a, **k))[1])
+    df = spark.range(0, 1000, 1, 5).select((F.col("id") * 7 % 1000).alias("k"))
+    out = assign_ids(df, ["k"], "rid", (1 << 31) + 5)
+    assert len(writes) == 1
+    assert {(r.k, r.rid) for r in out.collect()} == {(k, (1 << 31) + 6 + k) for k in range(1000)}
+    root = tempfile.mkdtemp(prefix="hrforge-ids-", dir="/tmp")
+    rows = out.select(F.col("rid").alias("attendance_id"), F.lit(1).alias("emp_id"))
+    write_snapshot(rows, root, "attendance", 0)
+    assert load_table(spark, root, "attendance", 0).agg(F.max("attendance_id")).first()[0] == (1 << 31) + 1005
+    assert assign_ids(df.limit(0), ["k"], "rid", 3).collect() == []
+
+
 def test_snapshot_roundtrip_and_no_overwrite(spark):
     root = tempfile.mkdtemp(prefix="hrforge-snap-", dir="/tmp")
     rows = [(1, "Winter break", dt.date(2024, 1, 1), dt.date(2024, 1, 2))]

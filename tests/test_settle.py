@@ -6,7 +6,7 @@ import random
 from test_quirks import empty, ledger_of, mk
 
 from hrforge.operators import decide
-from hrforge.plans.rounds import settle_in_order
+from hrforge.plans.settle import settle_in_order
 
 D = dt.date
 BASE = D(2024, 2, 1)
@@ -79,3 +79,46 @@ def test_two_deciders_and_a_shared_replacement(spark):
     snap = decide.apply_balances(emp, out["decisions"], "annual_balance")
     assert {r.employee_id: r.annual_balance for r in snap.collect()} == {1: 8, 2: 10, 9: 10}
     assert out["new_replacements"].count() == 1
+
+
+def chain(n):
+    """Request i shares its employee with one neighbour and its replacement with the other."""
+    return [(i, i, i // 2, 5, 7, 100 + (i + 1) // 2, BASE, BASE + dt.timedelta(days=4)) for i in range(n)]
+
+
+def test_chains_take_few_jobs(spark, monkeypatch):
+    frame = type(spark.range(0))
+    count, real = [], frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a, **k: (count.append(1), real(self, *a, **k))[1])
+    jobs = {}
+    for n in (24, 400):
+        count.clear()
+        rows = chain(n)
+        got = {r.seq: r.balance_after for r in settle_in_order(spark.createDataFrame(rows, COLUMNS), False).collect()}
+        assert got == _one_by_one(rows, False) and len(got) == n // 2
+        jobs[n] = len(count)
+    assert jobs[24] <= 6 and jobs[400] <= 8, jobs
+
+
+def test_far_ends_cost_no_more(spark):
+    rows = [(i, i, i % 5, 1, 3, 50 + i % 3, BASE + dt.timedelta(days=i), D(9999, 12, 31) if i % 4 == 0 else BASE + dt.timedelta(days=i + 2))
+            for i in range(60)]
+    for reversed_range in (False, True):
+        got = {r.seq: r.balance_after for r in settle_in_order(spark.createDataFrame(rows, COLUMNS), reversed_range).collect()}
+        assert got == _one_by_one(rows, reversed_range)
+
+
+def test_components_of_random_links(spark):
+    from hrforge.plans.components import component_roots
+    rng = random.Random(3)
+    links = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(1300)] + [(i, i + 1) for i in range(5000, 5200)]
+    root = {x: x for e in links for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    got = {r.node: r.root for r in component_roots(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {n: r for n, r in root.items() if n != r}
