@@ -1,149 +1,78 @@
-"""The one-unpaid-leave-per-year rule: sequential by nature.
+"""The one-unpaid-leave-per-year rule: each approval can raise the year to exceed.
 
-An approval raises the year that later requests must exceed, and a refusal does not,
-so no running sum or window expresses the outcome. Its state has a tiny domain (a
-year), so it runs as a parallel prefix scan: see ``year_sequence_fold``.
+A request is approved when its year exceeds M, and an approval raises M to its start
+year if that is later. So M only changes at rows whose request year and start year both
+exceed it, and between two such rows nothing depends on earlier decisions. M takes a
+later year with every change, so the calendar bounds the number of changes.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
+import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hrforge.session import checkpoint_dir
 
+#: Changes of M that one job looks for.
+STEPS = 3
 
-def _year_step(m: int, ry, sy) -> tuple[bool, int]:
-    ok = not pd.isna(ry) and int(ry) > m
-    if ok and not pd.isna(sy):
-        m = max(m, int(sy))
-    return ok, m
 
-
-Piece = tuple[int | None, int | None, int | None]  # lo, hi (None: unbounded), value of M
-IDENTITY: list[Piece] = [(None, None, None)]          # value None: M stays as it came in
-
-
-def _advance(pieces: list[Piece], ry, sy) -> list[Piece]:
-    """The effect of one more row on an incoming M. Equal neighbours merge, so there is
-    at most one piece per distinct start year and one that leaves M alone."""
-    if pd.isna(ry) or pd.isna(sy):
-        return pieces
-    ry, sy = int(ry), int(sy)
-    cut = min(ry, sy)  # an incoming M below it is raised to sy
-    out: list[Piece] = []
-    for lo, hi, val in pieces:
-        if val is not None:
-            parts = [(lo, hi, max(val, sy) if ry > val else val)]
-        elif lo is not None and lo >= cut:
-            parts = [(lo, hi, None)]
-        elif hi is not None and hi < cut:
-            parts = [(lo, hi, sy)]
-        else:
-            parts = [(lo, cut - 1, sy), (cut, hi, None)]
-        for part in parts:
-            if out and out[-1][2] == part[2]:
-                part = (out.pop()[0], part[1], part[2])
-            out.append(part)
-    return out
-
-
-def _apply_pieces(pieces: list[Piece], m: int) -> int:
-    for lo, hi, val in pieces:
-        if (lo is None or m >= lo) and (hi is None or m <= hi):
-            return m if val is None else val
-    return m
+def _written(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def year_sequence_fold(df: DataFrame, order: list[str], req_year: str, start_year: str,
                        key: str | None = None) -> DataFrame:
-    """One-approved-unpaid-leave-per-year rule, as an exact parallel scan.
-
-    In ``order`` (within ``key`` if given): approve when ``req_year > M``; after
-    an approval ``M = max(M, start_year)``; ``M`` starts at the ``_m0`` column
-    (latest approved start year, -1 when none). ``key=None`` is one global
-    sequence (the rule as written); a key restarts it per employee.
-
-    M only ever takes year values, so a run of rows acts on M as a handful of
-    pieces, one per distinct start year at most; rows are not kept. Rows are range-partitioned on (key, order) -- a hot key spreads over
-    several partitions -- and frozen with a checkpoint. Pass 1 summarises only the
-    first and last segment of each partition (the only ones that can continue
-    across a boundary: at most two per partition). A tiny combine gives each
-    continued segment its incoming M; that table (bounded by the partition count)
-    is broadcast, and pass 2 folds every segment in parallel.
+    """``df`` with ``approved``: in ``order`` (within ``key`` if given) approve when
+    ``req_year > M``; after an approval ``M = max(M, start_year)``; ``M`` starts at the
+    ``_m0`` column (one value per key). ``key=None`` is one global sequence (the rule as
+    written); a key restarts it per employee.
+
+    A step finds, for every key at once, the next row that changes M: the first one behind
+    the last change whose years both exceed M. That is a minimum, reduced on the map side, so
+    a hot key or the one global sequence is no task of its own. Only rows that can still
+    change M enter the next step. The changes of a key (at most one per start year) are then
+    put beside its rows, and each row compares its year with the M in force at its place.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     k = key or "_all"
-    d = df if key else df.withColumn("_all", F.lit(0))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    frozen = (d.repartitionByRange(n, k, *order).sortWithinPartitions(k, *order)
-              .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
-    key_type = frozen.schema[k].dataType
-
-    summary_schema = T.StructType([
-        T.StructField("_pid", T.IntegerType()), T.StructField(k, key_type),
-        T.StructField("_m0", T.LongType()), T.StructField("_lo", T.LongType()),
-        T.StructField("_hi", T.LongType()), T.StructField("_val", T.LongType())])
-
-    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segs: list[list] = []  # [pid, key, m0, pieces]
-        for pdf in batches:
-            for pid, kv, m0, ry, sy in zip(pdf["_pid"], pdf[k], pdf["_m0"], pdf[req_year],
-                                           pdf[start_year]):
-                if not segs or segs[-1][0] != pid or segs[-1][1] != kv:
-                    if len(segs) == 2:  # keep only the first and the running last
-                        segs.pop()
-                    segs.append([pid, kv, m0, IDENTITY])
-                segs[-1][3] = _advance(segs[-1][3], ry, sy)
-        rows = [(pid, kv, int(m0), *piece) for pid, kv, m0, pieces in segs for piece in pieces]
-        yield pd.DataFrame(rows, columns=[f.name for f in summary_schema.fields])
-
-    carry_schema = T.StructType([
-        T.StructField("_pid", T.IntegerType()), T.StructField(k, key_type),
-        T.StructField("_min", T.LongType())])
-
-    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        m = None
-        for pid, seg in pdf.sort_values("_pid").groupby("_pid", sort=True):
-            if m is None:
-                m = int(seg["_m0"].iloc[0])   # the key starts in this segment
-            else:
-                out.append((int(pid), seg[k].iloc[0], m))
-            pieces = [tuple(None if pd.isna(v) else int(v) for v in piece)
-                      for piece in zip(seg["_lo"], seg["_hi"], seg["_val"])]
-            m = _apply_pieces(pieces, m)
-        return pd.DataFrame(out, columns=["_pid", k, "_min"])
-
-    summaries = frozen.select("_pid", k, "_m0", req_year, start_year).mapInPandas(
-        summarize, summary_schema)
-    carry = summaries.groupBy(k).applyInPandas(combine, carry_schema)
-    # carry has at most two rows per partition: a proven bound for the broadcast
-    with_carry = frozen.join(F.broadcast(carry), ["_pid", k], "left").sortWithinPartitions(
-        "_pid", k, *order)
-    out_schema = T.StructType(with_carry.schema.fields + [
-        T.StructField("approved", T.BooleanType(), False)])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur = None
-        m = 0
-        for pdf in batches:
-            approved = []
-            for pid, kv, m0, mi, ry, sy in zip(pdf["_pid"], pdf[k], pdf["_m0"], pdf["_min"],
-                                               pdf[req_year], pdf[start_year]):
-                if cur != (pid, kv):
-                    cur = (pid, kv)
-                    m = int(m0) if pd.isna(mi) else int(mi)
-                ok, m = _year_step(m, ry, sy)
-                approved.append(ok)
-            res = pdf.copy()
-            res["approved"] = approved
-            yield res
-
-    out = with_carry.mapInPandas(run, out_schema).drop("_pid", "_min")
-    return out if key else out.drop("_all")
+    rows = df if key else df.withColumn("_all", F.lit(0))
+    rows = _written(rows.withColumn("_place", F.struct(*order)).withColumn(
+        "_both", F.when(F.col(req_year).isNotNull() & F.col(start_year).isNotNull(),
+                        F.least(req_year, start_year))), "years")
+
+    def one(small: DataFrame) -> DataFrame:
+        # a single sequence has one row here, and its rows must not meet in one task
+        return small if key else F.broadcast(small)
+
+    def after(candidates: DataFrame, state: DataFrame) -> DataFrame:
+        s = state.select(F.col(k).alias("_k"), F.col("_m").alias("_in"), F.col("_at").alias("_from"))
+        return (candidates.join(one(s), candidates[k] == s["_k"])
+                .filter((F.col("_both") > F.col("_in")) & (F.col("_from").isNull() | (F.col("_place") > F.col("_from"))))
+                .drop("_k", "_in", "_from"))
+
+    none = F.lit(None).cast(rows.schema["_place"].dataType)
+    start = _written(rows.groupBy(k).agg(F.max("_m0").cast("long").alias("_m")).withColumn("_at", none), "years-0")
+    changes, state, candidates = start, start, rows.select(k, "_place", "_both", F.col(start_year).alias("_to"))
+    while not state.isEmpty():
+        found, last = None, state
+        for _ in range(STEPS):
+            last = (after(candidates, last).groupBy(k).agg(F.min(F.struct("_place", "_to")).alias("_n"))
+                    .select(k, F.col("_n._to").cast("long").alias("_m"), F.col("_n._place").alias("_at")))
+            found = last if found is None else found.unionByName(last)
+        found = _written(found, "years-n")
+        changes = changes.unionByName(found)
+        latest = found.groupBy(k).agg(F.max("_m").alias("_m"), F.max("_at").alias("_at"), F.count(F.lit(1)).alias("_n"))
+        state = latest.filter(F.col("_n") == STEPS).drop("_n")  # the others have found all their changes
+        candidates = after(candidates, state)
+    in_force = _written(changes.groupBy(k).agg(F.collect_list(F.struct("_at", "_m")).alias("_changes")), "years-in-force")
+    in_force = in_force.withColumnRenamed(k, "_k")
+    # M rises with every change, so the largest one before the row is the last one
+    m = F.array_max(F.transform(F.filter("_changes", lambda c: c["_at"].isNull() | (c["_at"] < F.col("_place"))), lambda c: c["_m"]))
+    out = rows.join(one(in_force), rows[k] == in_force["_k"]).withColumn(
+        "approved", F.coalesce(F.col(req_year) > m, F.lit(False)))
+    return out.select(*df.columns, "approved")

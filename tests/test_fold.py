@@ -1,4 +1,4 @@
-"""The parallel year fold equals a plain sequential fold (global and per key)."""
+"""The steps of the year rule equal a plain sequential fold (global and per key)."""
 
 import random
 
@@ -35,3 +35,13 @@ def test_year_fold_matches_sequential(spark):
         want_k.update(_seq([(r, ry, sy) for r, ee, ry, sy in rows if ee == e], 2020))
     assert got_k == want_k
     assert 0 < sum(got.values()) < len(got)
+
+
+def test_many_years_one_row_and_none(spark):
+    up = [(i, 1, 2000 + i, 2000 + i) for i in range(40)]  # every row changes the year
+    schema = "request_id int, emp int, ry int, sy int, _m0 long"
+    for rows in (up, up[:1], []):
+        df = spark.createDataFrame([(*r, 1990) for r in rows], schema)
+        for key in (None, "emp"):
+            got = {r.request_id: r.approved for r in year_sequence_fold(df, ["request_id"], "ry", "sy", key=key).collect()}
+            assert got == _seq([(r, ry, sy) for r, _, ry, sy in rows], 1990)
