@@ -61,7 +61,7 @@ from (select a.request_id, a.replacement_emp, l.start_date, l.end_date
 def _q(t):
     probes = t.annual_leave.join(t.leave, "request_id").select(
         "request_id", "replacement_emp", "start_date", "end_date")
-    return flags.flag_on_leave_range(probes, L.ledger_from(t), ["request_id"],
+    return flags.flag_on_leave_range(probes, L.ledger_from(t),
                                      "replacement_emp", "start_date", "end_date").select(
         "request_id", "replacement_emp", "is_on_leave")
 
@@ -146,16 +146,14 @@ from {REPL_PROBES} p
 
 @register("replacement_is_free", _free_sql("p.end_date", "p.start_date"))
 def _q(t):
-    return flags.replacement_is_free(_repl_probes(t), t.employee_replace_employee,
-                                     ["request_id"], "replacement_emp", "start_date",
+    return flags.replacement_is_free(_repl_probes(t), t.employee_replace_employee, "replacement_emp", "start_date",
                                      "end_date").select("request_id", "replacement_emp",
                                                         "is_free")
 
 
 @register("replacement_is_free_corrected", _free_sql("p.start_date", "p.end_date"))
 def _q(t):
-    return flags.replacement_is_free(_repl_probes(t), t.employee_replace_employee,
-                                     ["request_id"], "replacement_emp", "start_date",
+    return flags.replacement_is_free(_repl_probes(t), t.employee_replace_employee, "replacement_emp", "start_date",
                                      "end_date", mode="corrected").select(
         "request_id", "replacement_emp", "is_free")
 

@@ -175,8 +175,7 @@ def drop_day_off_absences(attendance: DataFrame, employee: DataFrame, as_of,
 
 def drop_leave_attendance(attendance: DataFrame, ledger: DataFrame,
                           employee_id: int | None = None) -> DataFrame:
-    """Delete attendance on dates inside the employee's own approved leaves
-    (anti join on employee and month, the date range as residual)."""
+    """Delete attendance on dates inside the employee's own approved leaves (see ``ranges``)."""
     lv = ledger.filter(ci_eq("final_approval_status", "approved"))
     if employee_id is not None:
         cand = attendance.filter(F.col("emp_id") == F.lit(employee_id))

@@ -4,9 +4,9 @@ Every decision procedure of the reference handles one request. Here ``batch``
 holds many (``seq`` = call order). Checks that only read the snapshot become
 flags computed by joins. Rules whose outcome depends on earlier decisions of the
 same batch apply to the requests that pass every other check, in (request_id, seq)
-order: the annual balance and the booked replacements in rounds
-(``hrforge.plans.settle``), the accidental balance as a row number, and the one
-unpaid leave a year as an ordered fold (``hrforge.plans.fold``).
+order: the annual balance and the booked replacements by components of requests that can
+touch each other (``hrforge.plans.settle``), the accidental balance as a row number, and
+the one unpaid leave a year by the rows that change the year (``hrforge.plans.fold``).
 
 Outputs are decision frames plus helpers that apply them to the Leave,
 Employee, approval and replacement tables as new snapshots.
@@ -23,13 +23,14 @@ from pyspark.sql.window import Window
 from hrforge.functions.dates import as_date, weekday_name
 from hrforge.functions.text import ci, ci_eq, ci_in
 from hrforge.operators.admin import append_rows
-from hrforge.operators.flags import flag_on_leave_range, part_time, replacement_is_free
+from hrforge.operators.flags import flag_on_leave_range, flag_replacement, part_time
 from hrforge.operators.ledger import UNPAID
 from hrforge.operators.quality import check_predicate
 from hrforge.plans.fold import year_sequence_fold
 from hrforge.plans.ids import assign_ids, max_id
 from hrforge.plans.outputs import Outputs
 from hrforge.plans.settle import settle_in_order
+from hrforge.session import checkpoint_dir
 
 MSG_NOT_AUTHORISED = "Error! You are not authorised to approve/reject this leave"
 UPPERBOARD_ROLES = ["Dean", "Vice Dean", "President"]
@@ -84,6 +85,18 @@ def approval_updates_from(decisions: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- upperboard
 
 
+def _same_department(rows: DataFrame, one: str, other: str, employee_role: DataFrame, red: DataFrame) -> DataFrame:
+    """seq and ``_same``: do the roles of both employees of a row sit in one department
+    (highest role name, then highest department name)? Both sides of a row are asked in one
+    join and meet in one aggregate; a side without a department makes the row false."""
+    role_of = employee_role.groupBy("emp_id").agg(ci(F.max("role_name")).alias("_rk"))
+    dept_of = red.groupBy(ci("role_name").alias("_rk")).agg(ci(F.max("department_name")).alias("_dept"))
+    home = role_of.join(dept_of, "_rk").select(F.col("emp_id").alias("_who"), "_dept")
+    sides = rows.select("seq", F.explode(F.array(one, other)).alias("_who")).join(home, "_who")
+    return sides.groupBy("seq").agg(
+        ((F.count("_dept") == 2) & (F.min("_dept") == F.max("_dept"))).alias("_same"))
+
+
 def upperboard_decide_annual(batch: DataFrame, approvals: DataFrame, annual_leave: DataFrame,
                              employee_role: DataFrame, red: DataFrame, leave: DataFrame,
                              ledger: DataFrame, mode: str = "as_written"
@@ -109,20 +122,15 @@ def upperboard_decide_annual(batch: DataFrame, approvals: DataFrame, annual_leav
     rejections = denied.select("seq", "request_id", "upperboard_id",
                                F.lit(MSG_NOT_AUTHORISED).alias("reason"))
 
-    role_of = employee_role.groupBy("emp_id").agg(F.max("role_name").alias("_role"))
-    dept_of = red.groupBy(ci("role_name").alias("_rk")).agg(
-        F.max("department_name").alias("_dept"))
     a = annual_leave.select("request_id", F.col("emp_id").alias("_emp"))
     lv = leave.select("request_id", "start_date", "end_date")
-    b = auth.join(a, "request_id", "left").join(lv, "request_id", "left")
-    for who, col in (("ee", "_emp"), ("er", "replacement_id")):
-        r = role_of.select(F.col("emp_id").alias(f"_{who}"), F.col("_role").alias(f"_{who}_role"))
-        b = b.join(r, b[col] == r[f"_{who}"], "left").drop(f"_{who}")
-        dd = dept_of.select(F.col("_rk").alias(f"_{who}_rk"), F.col("_dept").alias(f"_{who}_dept"))
-        b = b.join(dd, ci(b[f"_{who}_role"]) == dd[f"_{who}_rk"], "left").drop(f"_{who}_rk")
-    b = flag_on_leave_range(b, ledger, ["seq"], "replacement_id", "start_date", "end_date",
-                            "_repl_off")
-    ok = F.coalesce(~F.col("_repl_off") & (ci("_ee_dept") == ci("_er_dept")), F.lit(False))
+    # frozen: the flags below and the updates read it
+    checkpoint_dir(batch.sparkSession)
+    b = auth.join(a, "request_id", "left").join(lv, "request_id", "left").checkpoint()
+    b = flag_on_leave_range(b, ledger, "replacement_id", "start_date", "end_date", "_repl_off")
+    same = _same_department(b, "_emp", "replacement_id", employee_role, red).withColumnRenamed("seq", "_s")
+    b = b.join(same, b["seq"] == same["_s"], "left")
+    ok = F.coalesce(~F.col("_repl_off") & F.col("_same"), F.lit(False))
     updates = b.select(F.col("upperboard_id").alias("emp1_id"),
                        F.col("request_id").alias("leave_id"),
                        F.when(ok, F.lit("approved")).otherwise(F.lit("rejected")).alias("new_status"),
@@ -191,7 +199,10 @@ def _no_rejection(b: DataFrame, approvals: DataFrame) -> DataFrame:
 
 def _settle(b: DataFrame, ok: Column, days: Column, balance: Column, mode: str) -> DataFrame:
     """``b`` with ``approved`` and ``balance_after``: the rows that pass ``ok``, decided in
-    order against the balance and the replacements that the batch itself books."""
+    order against the balance and the replacements that the batch itself books. The flags
+    are computed once: ``b`` is frozen."""
+    checkpoint_dir(b.sparkSession)
+    b = b.checkpoint()
     requests = b.filter(ok).select(
         "seq", "request_id", F.col("_myid").alias("emp_id"), days.alias("days"),
         balance.alias("balance"), F.col("replacement_emp").alias("replacement"),
@@ -246,10 +257,8 @@ def hr_decide_annual(batch: DataFrame, leave: DataFrame, annual_leave: DataFrame
     e = employee.select(F.col("employee_id").alias("_myid"), F.col("annual_balance").alias("_bal"),
                         F.col("type_of_contract").alias("_contract"))
     b = b.join(e, b._aemp == e._myid, "left")
-    b = flag_on_leave_range(b, ledger, ["seq"], "replacement_emp", "start_date", "end_date",
-                            "_repl_on_leave")
-    b = replacement_is_free(b, replacements, ["seq"], "replacement_emp", "start_date",
-                            "end_date", mode, "_repl_free")
+    b = flag_replacement(b, ledger, replacements, "replacement_emp", "start_date", "end_date",
+                         mode, "_repl_on_leave", "_repl_free")
     b = _no_rejection(b, approvals)
     avail = F.col("_repl_on_leave") if mode == "as_written" else ~F.col("_repl_on_leave")
     avail = F.col("replacement_emp").isNotNull() & avail
@@ -346,10 +355,8 @@ def hr_decide_compensation(batch: DataFrame, leave: DataFrame, compensation_leav
                     & (F.col("date_of_original_workday") == att._ad), "left_semi")
               .select("seq").withColumn("_spent", F.lit(True)))
     b = b.join(worked, "seq", "left")
-    b = flag_on_leave_range(b, ledger, ["seq"], "replacement_emp", "start_date", "end_date",
-                            "_repl_on_leave")
-    b = replacement_is_free(b, replacements, ["seq"], "replacement_emp", "start_date",
-                            "end_date", mode, "_repl_free")
+    b = flag_replacement(b, ledger, replacements, "replacement_emp", "start_date", "end_date",
+                         mode, "_repl_on_leave", "_repl_free")
     avail = F.col("_repl_on_leave") if mode == "as_written" else ~F.col("_repl_on_leave")
     avail = F.col("replacement_emp").isNotNull() & avail
     reason_ok = F.coalesce(F.rtrim(F.col("_reason")) != "", F.lit(False))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hrforge.functions.dates import earlier_date, later_date
 from hrforge.functions.text import ci, ci_eq, ci_in
 from hrforge.operators.ledger import COMPENSATION, UNPAID, blocking_leaves, on_leave_ids
-from hrforge.operators.ranges import overlapping_keys
+from hrforge.operators.ranges import Intervals, overlap_flags
 
 # ---------------------------------------------------------------- logins
 
@@ -46,35 +46,45 @@ def flag_on_leave_today(probes: DataFrame, ledger: DataFrame, day, emp_col: str,
             .drop("_leave_emp", "_leave_hit"))
 
 
-def flag_on_leave_range(probes: DataFrame, ledger: DataFrame, key: list[str], emp_col: str,
-                        from_col: str, to_col: str, flag: str = "is_on_leave",
-                        statuses=("approved", "pending")) -> DataFrame:
-    """``Is_On_Leave(emp, from, to)`` with a per-row range; ``key`` must identify
-    probe rows. Joined on (employee, day), see ``ranges``."""
-    hits = overlapping_keys(probes, key, emp_col, from_col, to_col,
-                            blocking_leaves(ledger, statuses), "emp_id", "start_date",
-                            "end_date").withColumn("_hit", F.lit(True))
-    return (probes.join(hits, key, "left")
-            .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
-
-
-def replacement_is_free(probes: DataFrame, replacements: DataFrame, key: list[str],
-                        emp_col: str, start_col: str, end_col: str,
-                        mode: str = "as_written", flag: str = "is_free") -> DataFrame:
-    """``checkingifreplacingsomeoneelse``: 1 when the employee is not already a
-    replacer (emp2_id) in an overlapping range; a null employee gives 0.
+def on_leave_intervals(ledger: DataFrame, statuses=("approved", "pending")) -> Intervals:
+    """The leaves that ``Is_On_Leave`` looks at."""
+    return Intervals(blocking_leaves(ledger, statuses), "emp_id", "start_date", "end_date")
+
+
+def replacing_intervals(replacements: DataFrame, mode: str = "as_written") -> Intervals:
+    """The ranges in which an employee replaces someone (as emp2_id).
 
     As written, the function declares (employee, end, start) but is called with
     (employee, start, end): inside it the range is reversed, so a replacement that
     lies strictly inside the requested range is missed. ``corrected`` uses the
     range the caller meant.
     """
-    lo, hi = (end_col, start_col) if mode == "as_written" else (start_col, end_col)
-    hits = overlapping_keys(probes, key, emp_col, lo, hi, replacements, "emp2_id",
-                            "from_date", "to_date").withColumn("_busy", F.lit(True))
-    out = probes.join(hits, key, "left")
-    free = F.col(emp_col).isNotNull() & F.col("_busy").isNull()
-    return out.withColumn(flag, free).drop("_busy")
+    return Intervals(replacements, "emp2_id", "from_date", "to_date", swapped=mode == "as_written")
+
+
+def flag_on_leave_range(probes: DataFrame, ledger: DataFrame, emp_col: str, from_col: str,
+                        to_col: str, flag: str = "is_on_leave",
+                        statuses=("approved", "pending")) -> DataFrame:
+    """``Is_On_Leave(emp, from, to)`` with a per-row range, see ``ranges``."""
+    return overlap_flags(probes, emp_col, from_col, to_col, {flag: on_leave_intervals(ledger, statuses)})
+
+
+def replacement_is_free(probes: DataFrame, replacements: DataFrame, emp_col: str,
+                        start_col: str, end_col: str, mode: str = "as_written",
+                        flag: str = "is_free") -> DataFrame:
+    """``checkingifreplacingsomeoneelse``: 1 when the employee is not already a
+    replacer in an overlapping range; a null employee gives 0."""
+    out = overlap_flags(probes, emp_col, start_col, end_col, {flag: replacing_intervals(replacements, mode)})
+    return out.withColumn(flag, F.col(emp_col).isNotNull() & ~F.col(flag))
+
+
+def flag_replacement(probes: DataFrame, ledger: DataFrame, replacements: DataFrame, emp_col: str,
+                     start_col: str, end_col: str, mode: str, on_leave: str, free: str) -> DataFrame:
+    """Both tests of a replacement at once: on leave in the range, and free of another
+    replacement in it."""
+    out = overlap_flags(probes, emp_col, start_col, end_col,
+                        {on_leave: on_leave_intervals(ledger), free: replacing_intervals(replacements, mode)})
+    return out.withColumn(free, F.col(emp_col).isNotNull() & ~F.col(free))
 
 
 # ---------------------------------------------------------------- role / employee flags

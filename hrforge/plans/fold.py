@@ -56,9 +56,9 @@ def year_sequence_fold(df: DataFrame, order: list[str], req_year: str, start_yea
                 .drop("_k", "_in", "_from"))
 
     none = F.lit(None).cast(rows.schema["_place"].dataType)
-    start = _written(rows.groupBy(k).agg(F.max("_m0").cast("long").alias("_m")).withColumn("_at", none), "years-0")
+    start = rows.groupBy(k).agg(F.max("_m0").cast("long").alias("_m")).withColumn("_at", none)
     changes, state, candidates = start, start, rows.select(k, "_place", "_both", F.col(start_year).alias("_to"))
-    while not state.isEmpty():
+    while state is start or not state.isEmpty():
         found, last = None, state
         for _ in range(STEPS):
             last = (after(candidates, last).groupBy(k).agg(F.min(F.struct("_place", "_to")).alias("_n"))
@@ -69,8 +69,7 @@ def year_sequence_fold(df: DataFrame, order: list[str], req_year: str, start_yea
         latest = found.groupBy(k).agg(F.max("_m").alias("_m"), F.max("_at").alias("_at"), F.count(F.lit(1)).alias("_n"))
         state = latest.filter(F.col("_n") == STEPS).drop("_n")  # the others have found all their changes
         candidates = after(candidates, state)
-    in_force = _written(changes.groupBy(k).agg(F.collect_list(F.struct("_at", "_m")).alias("_changes")), "years-in-force")
-    in_force = in_force.withColumnRenamed(k, "_k")
+    in_force = changes.groupBy(F.col(k).alias("_k")).agg(F.collect_list(F.struct("_at", "_m")).alias("_changes"))
     # M rises with every change, so the largest one before the row is the last one
     m = F.array_max(F.transform(F.filter("_changes", lambda c: c["_at"].isNull() | (c["_at"] < F.col("_place"))), lambda c: c["_m"]))
     out = rows.join(one(in_force), rows[k] == in_force["_k"]).withColumn(

@@ -69,8 +69,8 @@ class Bookings:
         return i < len(self.points) and self.points[i] <= last
 
 
-#: Columns that the walk reads, and the place of the tested range in them.
-_WALK = ["root", "seq", "emp_id", "days", "balance", "ample", "replacement", "first", "last"]
+#: Columns that the walk reads.
+_WALK = ["root", "emp_id", "days", "balance", "ample", "replacement", "first", "last"]
 
 
 def _walk(reversed_range: bool):
@@ -78,7 +78,7 @@ def _walk(reversed_range: bool):
         at, used, unknown, booked = None, {}, set(), {}
         for batch in batches:
             approved = []
-            for root, seq, emp, days, balance, ample, who, first, last in zip(*(c.to_pylist() for c in batch.columns)):
+            for i, (root, emp, days, balance, ample, who, first, last) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:8]))):
                 if root != at:
                     at, used, unknown, booked = root, defaultdict(int), set(), defaultdict(Bookings)
                 if not (ample or days is None or emp in unknown) and days > balance - used[emp]:
@@ -91,8 +91,8 @@ def _walk(reversed_range: bool):
                     unknown.add(emp)
                 else:
                     used[emp] += days
-                approved.append(seq)
-            yield pa.RecordBatch.from_arrays([pa.array(approved, pa.int64())], ["approved_seq"])
+                approved.append(i)
+            yield batch.select(["seq", "request_id", "emp_id", "days", "balance"]).take(pa.array(approved, pa.int64()))
 
     return run
 
@@ -122,19 +122,22 @@ def settle_in_order(requests: DataFrame, reversed_range: bool) -> DataFrame:
     left of the balance, or an earlier approval booked its replacement in an
     overlapping range (``reversed_range``: tested with its ends swapped). Unknown
     days or an unknown balance pass, and leave an unknown balance.
+
+    ``requests`` is read twice, so callers freeze it first. The result is frozen.
     """
     checkpoint_dir(requests.sparkSession)
-    linked = _linked(requests).checkpoint()
+    linked = _linked(requests)
     links = linked.select(F.explode(F.array("by_emp", "by_run")).alias("a"), F.col("seq").alias("b"))
     roots = component_roots(links)
     rooted = linked.join(roots, linked["seq"] == roots["node"], "left").withColumn("root", F.coalesce("root", "seq"))
-    walked = (rooted.select(*_WALK[:-2], F.unix_date("start_date").alias("first"), F.unix_date("end_date").alias("last"), "request_id")
-              .repartition("root").sortWithinPartitions("root", "request_id", "seq").select(*_WALK)
-              .mapInArrow(_walk(reversed_range), "approved_seq long"))
-    approved = linked.join(walked, linked["seq"] == walked["approved_seq"], "left_semi").checkpoint()
+    days = [F.unix_date("start_date").alias("first"), F.unix_date("end_date").alias("last")]
+    ids = [F.col(c).cast("long").alias(c) for c in ("request_id", "emp_id", "replacement")]
+    walked = (rooted.select("root", "days", "balance", "ample", *days, *ids, "seq")
+              .repartition("root").sortWithinPartitions("root", "request_id", "seq").select(*_WALK, "seq", "request_id")
+              .mapInArrow(_walk(reversed_range), "seq long, request_id long, emp_id long, days int, balance int"))
     # without a balance nothing is added up, so those requests need not come together
     up_to = (Window.partitionBy("emp_id", F.when(F.col("balance").isNull(), F.col("seq")))
              .orderBy("request_id", "seq").rowsBetween(Window.unboundedPreceding, 0))
     left = F.col("balance") - F.sum("days").over(up_to)
     known = ~F.max(F.col("days").isNull()).over(up_to)
-    return approved.select("seq", F.when(known, left).cast("int").alias("balance_after"))
+    return walked.select("seq", F.when(known, left).cast("int").alias("balance_after")).checkpoint()

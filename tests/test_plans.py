@@ -119,9 +119,7 @@ def test_key_checks_read_each_table_once(stored):
     assert "LeftAnti" not in text
 
 
-@pytest.mark.parametrize("key", ["hr_decide_annual", "hr_decide_annual_corrected_balances",
-                                 "hr_decide_accidental", "hr_decide_compensation_corrected",
-                                 "hr_decide_unpaid", "hr_decide_unpaid_corrected"])
+@pytest.mark.parametrize("key", ["hr_decide_accidental", "hr_decide_unpaid", "hr_decide_unpaid_corrected"])
 def test_decisions_run_no_python(stored, key):
     text = plan_text(BUILDERS[key](stored))
     assert "InPandas" not in text and "InArrow" not in text

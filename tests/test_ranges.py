@@ -55,3 +55,31 @@ def test_points_in_ranges_match_brute_force(spark):
     want = {k for k, e, d in pts
             if not any(ie == e and _between(d, s, n) is True for ie, s, n in ivs)}
     assert got == want and 0 < len(want) < len(pts)
+
+
+def test_tables_tested_together_match_one_by_one(spark):
+    from hrforge.operators.ranges import Intervals, overlap_flags
+    rng = random.Random(13)
+    probes = [(i, rng.choice([None, 1, 2, 3]), _d(rng), _d(rng)) for i in range(200)] + [(900, 1, None, None)]
+    a = [(rng.choice([None, 1, 2, 3]), _d(rng), _d(rng)) for _ in range(40)]
+    b = [(rng.randint(1, 3), _d(rng), _d(rng)) for _ in range(15)] + [(2, BASE, dt.date(9999, 12, 31))]
+    pdf = spark.createDataFrame(probes, "k int, e int, f date, t date")
+    adf, bdf = (spark.createDataFrame(x, "e int, s date, n date") for x in (a, b))
+    got = {r.k: (r.x, r.y) for r in overlap_flags(pdf, "e", "f", "t", {
+        "x": Intervals(adf, "e", "s", "n"), "y": Intervals(bdf, "e", "s", "n", swapped=True)}).collect()}
+
+    def hit(e, f, t, rows):
+        return any(e is not None and ie == e and _or(_between(f, s, n), _between(t, s, n), _between(s, f, t), _between(n, f, t)) is True
+                   for ie, s, n in rows)
+
+    assert got == {k: (hit(e, f, t, a), hit(e, t, f, b)) for k, e, f, t in probes}
+    assert 20 < sum(x for x, _ in got.values()) < 180
+
+
+def test_a_far_end_makes_no_more_rows(spark):
+    from hrforge.operators.ranges import Intervals, overlap_hits
+    pdf = spark.createDataFrame([(1, BASE, dt.date(9999, 12, 31))], "e int, f date, t date")
+    idf = spark.createDataFrame([(1, BASE, dt.date(9999, 12, 31))], "e int, s date, n date")
+    hits = overlap_hits(pdf, "e", "f", "t", [Intervals(idf, "e", "s", "n")])
+    assert hits.count() == 1
+    assert "sequence(" not in hits._jdf.queryExecution().toString()
