@@ -41,6 +41,7 @@ def _load_all() -> None:
     from hrforge import catalog_ops  # noqa: F401
     from hrforge import catalog_flow  # noqa: F401
     from hrforge import catalog_decide  # noqa: F401
+    from hrforge import catalog_damaged  # noqa: F401
 
 
 _load_all()

@@ -52,14 +52,14 @@ def _batch_sql(subtype: str, role_pred: str, who: str, approvals: str = "employe
 # ---------------------------------------------------------------- upperboard annual
 
 
-def _ub_annual_frames(t, mode="as_written"):
+def _ub_annual_frames(t, mode="as_written", of=lambda batch: batch):
     batch = _approval_batch(t.employee_approve_leave,
                             _holders(t, ci_in("role_name", D.UPPERBOARD_ROLES)),
                             t.annual_leave, "upperboard_id")
     batch = batch.join(t.annual_leave.select(F.col("request_id").alias("_r"),
                                              F.col("replacement_emp").alias("replacement_id")),
                        F.col("request_id") == F.col("_r"), "left").drop("_r")
-    return D.upperboard_decide_annual(batch, t.employee_approve_leave, t.annual_leave,
+    return D.upperboard_decide_annual(of(batch), t.employee_approve_leave, t.annual_leave,
                                       t.employee_role, t.role_existsin_department, t.leave,
                                       L.ledger_from(t), mode)
 

@@ -387,17 +387,18 @@ def _text(name):
     return {f.name for f in SCHEMAS[name].fields if f.dataType.typeName() == "string"}
 
 
-def _pk_sql() -> str:
+def _pk_sql(prefix: str = "") -> str:
     parts = []
     for name, pk in PRIMARY_KEYS.items():
+        table = prefix + name
         nul = " or ".join(f"{c} is null" for c in pk)
         parts.append(f"select '{name}' as table_name, {_render_sql(pk)} as key_value, "
-                     f"'null_key' as violation, count(*) as n_rows from {name} where {nul} "
+                     f"'null_key' as violation, count(*) as n_rows from {table} where {nul} "
                      f"group by {_render_sql(pk)}")
         txt = _text(name)
         keys = ", ".join(ci(c) if c in txt else c for c in pk)
         parts.append(f"select '{name}', {_render_sql(pk, txt)}, 'duplicate', count(*) "
-                     f"from {name} where not ({nul}) group by {keys} having count(*) > 1")
+                     f"from {table} where not ({nul}) group by {keys} having count(*) > 1")
     return "\nunion all\n".join(parts)
 
 

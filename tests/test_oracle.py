@@ -31,3 +31,18 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert "final_salary_amount" in df.columns
+
+
+@pytest.mark.parametrize("key", [k for k in KEYS if "_damaged" in k])
+def test_damaged_inputs_are_refused(spark, con, key):
+    assert compare(spark, key, SF, con)["spark_rows"] > 0
+
+
+def test_one_bad_role_refuses_the_batch(spark):
+    from hrforge.catalog_damaged import FEW_DEPARTMENTS
+    from hrforge.catalog_ops import role_batch
+    from hrforge.operators.quality import hr_role_set_guard
+    from hrforge.sources.fixtures import Tables
+    t = Tables(spark, SF)
+    accepted, bad = hr_role_set_guard(role_batch(t), t.department.filter(FEW_DEPARTMENTS))
+    assert accepted.count() == 0 < bad.count() < role_batch(t).count()
