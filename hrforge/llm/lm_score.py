@@ -1,32 +1,41 @@
 """Stupid-backoff language-model scores, computed relationally.
 
 The model is counted over all documents. Every word is kept, with its count; n-grams of
-2 up to ``order`` words are kept when seen ``CUT`` times or more. All counts are in
+2 up to ``order`` words are kept when seen ``cut`` times or more (1: all of them). All counts are in
 tables partitioned by hash: words are known by 64-bit hashes, n-grams by 64-bit hashes
 of their words' hashes, so no number of words is too many. With
 S(w | h) = c(h w) / c(h) if h w is kept, else ALPHA * S(w | h without its first word),
 and S(w) = c(w) / N, a document's score is the mean of log S over its words. N-grams
 stay within a document; its first words have shorter histories and no penalty.
 
-Jobs: for each length, counts of the n-grams whose parts are seen ``CUT`` times or more
-(a Bloom bit map of bounded size says which may be); then every document's n-grams are
+Jobs: for each length, counts of the n-grams whose parts are seen twice or more (a Bloom
+bit map of bounded size says which may be); then every document's n-grams are
 exploded, reduced to distinct (document, n-gram, weight) entries, sent to the hash
-partition of the count table of their length, and summed per document. An entry that
+partition of the count table of their length, and summed per document.
+
+With ``cut`` 1 every n-gram of the corpus is in the model, so nothing backs off, and what a
+text asks is known where it is read: the count of each n-gram and, with weight -1, of each
+history. An n-gram that the bit map lacks is seen once, and its logarithm is 0. The
+others go to the tables of all lengths in one exchange; the tables hold the counts of
+2 and more, and an entry that its table lacks is seen once. With a larger ``cut`` an entry that
 the table lacks goes on to the next shorter length, down to the single words. Words and
 n-grams that make up ``1 / HOT`` of all words or more are looked up where they are found
 (their counts, at most ``HOT`` a length, are broadcast), so no partition gets a hot
 n-gram's documents. What is counted and moved grows with the corpus; the tables, of any
 size, stay partitioned.
 
-A null text counts as empty: no words, score null. Equal rows get equal scores. Empty
+Logarithms are added up as integers, in units of 2**-32, so the order of the sums does not
+matter: equal texts get equal scores, bit by bit.
+
+A null text counts as empty: no words, score null. Empty
 table: empty result. Long texts are scored whole. Columns other than ``doc_id`` and
 ``text`` are not read.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -41,7 +50,9 @@ from hrforge.llm.common import U64, arrow_batches, grams, mix64, plan_bytes, pow
 from hrforge.llm.sketch import (Bits, cells, frequent, from_planes, gather, lookup, packed_rows, planes,
                                 slice_total, totals, unpack, width)
 
-ORDER, ALPHA, CUT = 3, 0.4, 2
+ORDER, ALPHA, CUT = 3, 0.4, 1
+#: Units of a logarithm.
+UNIT = 1 << 32
 #: Input bytes for a hash partition: its count tables and entries fit in a task.
 PARTITION = 8 << 20
 HOT = 1 << 19
@@ -72,15 +83,20 @@ def keys_of_columns(columns: np.ndarray) -> np.ndarray:
     return mix64(out)
 
 
-def kept_bits(counted: DataFrame, bits: int) -> Bits:
-    """Bloom bit map of the keys counted ``CUT`` times or more, merged from the slices."""
+def fixed(x: float | np.ndarray) -> np.ndarray:
+    """Logarithm in units."""
+    return np.rint(np.log(x) * UNIT).astype(np.int64)
+
+
+def kept_bits(counted: DataFrame, bits: int, least: int) -> Bits:
+    """Bloom bit map of the keys counted ``least`` times or more, merged from the slices."""
     salt = 0x452821E638D01377
     # (slice of the map, bits) rows: a map part is OR-ed once per table partition
     cut = min(12, bits - 3)
 
     def run(batches):
         for b in batches:
-            often = unpack(b.column("counts"), np.int64) >= CUT
+            often = unpack(b.column("counts"), np.int64) >= least
             c = np.unique(cells(unpack(b.column("keys"), U64)[often], salt, bits))
             got = packed_rows(["part", "cells"], c >> np.uint32(bits - cut), [c])
             if got is not None:
@@ -114,8 +130,9 @@ class Model(NamedTuple):
     named: np.ndarray
 
 
-def train(docs: DataFrame, order: int = ORDER) -> tuple[Model, dict[int, DataFrame]]:
-    """The model and the count tables (packed by slice) for 1 up to ``order`` words."""
+def train(docs: DataFrame, order: int = ORDER, least: int = 2) -> tuple[Model, dict[int, DataFrame]]:
+    """The model and the count tables (packed by slice) for 1 up to ``order`` words; those of
+    2 words and more hold the n-grams counted ``least`` (2 or more) times."""
     bits = partition_bits(docs)
     texts = docs.select("text")
     model, tables = Model(0, {}, {}, np.empty(0, np.uint32), np.zeros(1, U64)), {}
@@ -130,13 +147,12 @@ def train(docs: DataFrame, order: int = ORDER) -> tuple[Model, dict[int, DataFra
                 at = at[part[at] & part[at + 1]]
             yield keys[at]
 
-        tables[n] = totals(gather(texts, keys_of, bits), 1 if n == 1 else CUT, f"counts-{n}")
+        tables[n] = totals(gather(texts, keys_of, bits), 1 if n == 1 else least, f"counts-{n}")
         known.unpersist()
         if n == 1:
             model = model._replace(total=slice_total(tables[1]))
-        least = max(1 if n == 1 else CUT, -(-model.total // HOT))
-        model.maps[n] = kept_bits(tables[n], width(docs, CELLS.get(n, 0.5)))
-        model.hot[n] = frequent(tables[n], least)
+        model.maps[n] = kept_bits(tables[n], width(docs, CELLS.get(n, 0.5)), least)
+        model.hot[n] = frequent(tables[n], max(1 if n == 1 else least, -(-model.total // HOT)))
     hashes, counts = model.hot[1]
     by_count = np.argsort(-counts, kind="stable")
     numbers = np.empty(len(hashes), np.uint32)
@@ -179,11 +195,11 @@ def together(parts: list[Entries]) -> Entries:
 def step_down(n: int, e: Entries, count: np.ndarray, total: int) -> tuple[np.ndarray, Entries | None]:
     """Log scores of entries of length n under their counts (0: not kept), and what they
     ask of the next shorter length (single words: nothing)."""
-    logs = np.log(np.maximum(count, 1))
+    logs = fixed(np.maximum(count, 1))
     if n == 1:
-        return (e.tgt - e.ctx) * logs - e.tgt * math.log(max(total, 1)), None
+        return (e.tgt - e.ctx) * logs - e.tgt * fixed(max(total, 1)), None
     got = count > 0
-    part = np.where(got, (e.tgt - e.ctx) * logs, e.tgt * math.log(ALPHA))
+    part = np.where(got, (e.tgt - e.ctx) * logs, e.tgt * fixed(ALPHA))
     history, shorter = e.only(got), e.only(~got)
     return part, entries(
         np.concatenate([history.words[:-1], shorter.words[1:]], axis=1), np.concatenate([history.doc, shorter.doc]),
@@ -260,12 +276,20 @@ def pieces(own: pa.Table) -> Iterator[pa.Table]:
         yield own.slice(a, b - a)
 
 
+def summed(keys: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their parts (integers)."""
+    if not len(keys):
+        return keys, parts
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[at], np.add.reduceat(parts[order], at)
+
+
 def sum_rows(done: list[tuple], bits: int) -> list[pa.RecordBatch]:
     """Log scores summed by document, by slice of the document."""
-    doc = np.concatenate([d for d, _ in done])
-    found, at = np.unique(doc, return_inverse=True)
-    return _batch(0, packed_rows(["slice", "docs", "parts"], _slices(found, bits),
-                                 [found, np.bincount(at, np.concatenate([p for _, p in done]), len(found))]))
+    found, total = summed(np.concatenate([d for d, _ in done]), np.concatenate([p for _, p in done]))
+    return _batch(0, packed_rows(["slice", "docs", "parts"], _slices(found, bits), [found, total]))
 
 
 def entries_of(docs: DataFrame, model, order: int, bits: int) -> DataFrame:
@@ -347,31 +371,119 @@ def finish(flow: pa.Table) -> pa.Table:
     """Scores of the documents of one slice."""
     parts = flow.filter(pc.is_valid(flow["parts"]))
     rows = flow.filter(pc.is_valid(flow["ids"]))
-    found, at = np.unique(unpack(parts["docs"], np.int64), return_inverse=True)
-    total = np.bincount(at, unpack(parts["parts"], np.float64), len(found))
+    found, total = summed(unpack(parts["docs"], np.int64), unpack(parts["parts"], np.int64))
     docs = unpack(rows["docs"], np.int64)
     n = np.array([x[0] for x in rows["words"].to_pylist()], np.int64)
-    score = lookup_signed(found, total, docs) / np.maximum(n, 1) if len(docs) else np.empty(0)
+    score = lookup(found, total, docs) / UNIT / np.maximum(n, 1)
     return pa.table({"doc_id": pa.array([x[0] for x in rows["ids"].to_pylist()], pa.int64()), "n_words": pa.array(n),
                      "score": pa.array(score, pa.float64(), mask=n == 0)})
 
 
-def lookup_signed(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(wanted))
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0.0)
+# ------------------------------------------------------------------ all n-grams kept
+
+
+def asked(rows: np.ndarray, n: int, order: int) -> np.ndarray:
+    """Per word: how often a text's scores ask the count of the ``n`` words from it on, less the
+    times they ask it as a history. Only a text's first words have histories shorter than
+    ``order`` - 1 words."""
+    weight = np.zeros(rows[-1], np.int64)
+    for m, sign in ((n, 1), (n + 1, -1)):
+        if m <= order:
+            at = runs(rows, m)
+            weight[at if m == order else at[np.isin(at, rows)]] += sign
+    return weight
+
+
+def direct_entries(docs: DataFrame, model, order: int, bits: int) -> DataFrame:
+    """For every length the (document, n-gram, weight) entries that only the count tables can
+    settle, the sums of the others, and one row per document, in one pass."""
+
+    def run(batches):
+        known = model.value
+        number = TaskContext.get().partitionId() << 32
+        held, size = {}, 0
+
+        def emit():
+            for n, parts in held.items():
+                keys, numbers, weights = (np.concatenate(x) for x in zip(*parts))
+                yield from _batch(n, packed_rows(["slice", "keys", "docs", "tgts"], _slices(keys, bits),
+                                                 [keys, numbers, weights.astype(np.int32)], planes))
+            held.clear()
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, 128):
+                ids = batch.column(0).slice(i, 128).to_pylist()
+                w = words(batch.column(1).slice(i, 128))
+                row = np.repeat(np.arange(len(ids)), np.diff(w.rows))
+                numbers = np.arange(number, number + len(ids))
+                number += len(ids)
+                done = [(numbers, (np.diff(w.rows) > 0) * -np.diff(w.rows) * fixed(max(known.total, 1)) if order == 1
+                         else (np.diff(w.rows) > 0) * -fixed(max(known.total, 1)))]
+                for n in range(1, order + 1):
+                    weight = asked(w.rows, n, order)
+                    at = np.flatnonzero(weight)
+                    doc, key, weight = distinct(row[at], ngram_keys(w.hashes, n)[at], weight[at])
+                    count = lookup(*known.hot[n], key)
+                    done.append((numbers[doc], weight * fixed(np.maximum(count, 1))))
+                    ask = count == 0
+                    if n > 1:  # one that the map lacks is seen once; every word is in its table
+                        ask &= known.maps[n].hit(key)
+                    held.setdefault(n, []).append((key[ask], numbers[doc[ask]], weight[ask]))
+                    size += int(ask.sum())
+                if size >= 4 * HELD:
+                    yield from emit()
+                    size = 0
+                yield from sum_rows(done, bits)
+                yield from _doc_rows(ids, numbers, np.diff(w.rows), bits)
+        yield from emit()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, FLOW)
+
+
+def distinct(doc: np.ndarray, key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One entry for each document and n-gram; those whose weights add up to 0 go."""
+    if not len(key):
+        return doc, key, weight
+    order = np.argsort(key + doc.astype(U64) * U64(0x9E3779B97F4A7C15), kind="stable")
+    doc, key, weight = doc[order], key[order], weight[order]
+    at = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]))
+    weight = np.add.reduceat(weight, at)
+    keep = weight != 0
+    return doc[at][keep], key[at][keep], weight[keep]
+
+
+def against_counts(bits: int):
+    """Settle the entries of one length and slice; sums and document rows pass. Returns the
+    function for a cogroup."""
+
+    def run(flow: pa.Table, counted: pa.Table) -> pa.Table:
+        if not flow.num_rows or not flow["n"][0].as_py():
+            return flow.cast(SCHEMA)
+        keys, counts = unpack(counted["keys"], U64), unpack(counted["counts"], np.int64)
+        out = []
+        for piece in pieces(flow):
+            count = lookup(keys, counts, from_planes(piece["keys"], U64))
+            part = from_planes(piece["tgts"], np.int32).astype(np.int64) * fixed(np.maximum(count, 1))
+            out += sum_rows([(from_planes(piece["docs"], np.int64), part)], bits)
+        return pa.Table.from_batches(out, SCHEMA)
+
+    return run
 
 
-def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
+def score(docs: DataFrame, order: int = ORDER, cut: int = CUT) -> DataFrame:
     """doc_id, n_words and score (mean log S; null without words) of every document."""
-    if not 1 <= order <= len(GRAM):
-        raise ValueError(f"order is 1 to {len(GRAM)}")
+    if not 1 <= order <= len(GRAM) or cut < 1:
+        raise ValueError(f"order is 1 to {len(GRAM)}, cut 1 or more")
     arrow_batches(docs.sparkSession)
-    model, tables = train(docs, order)
+    model, tables = train(docs, order, max(cut, 2))
     bits = partition_bits(docs)
     shared = share(docs, model)
-    flow = entries_of(docs, shared, order, bits)
-    for n in range(order, 0, -1):
-        flow = flow.groupBy("slice").cogroup(tables[n].groupBy("slice")).applyInArrow(against_table(n, shared, bits), FLOW)
+    if cut == 1:
+        counted = reduce(DataFrame.unionByName, [t.select(F.lit(n).alias("n"), "slice", "keys", "counts") for n, t in tables.items()])
+        flow = (direct_entries(docs, shared, order, bits).groupBy("n", "slice")
+                .cogroup(counted.groupBy("n", "slice")).applyInArrow(against_counts(bits), FLOW))
+    else:
+        flow = entries_of(docs, shared, order, bits)
+        for n in range(order, 0, -1):
+            flow = flow.groupBy("slice").cogroup(tables[n].groupBy("slice")).applyInArrow(against_table(n, shared, bits), FLOW)
     return flow.filter("n = 0").groupBy("slice").applyInArrow(finish, "doc_id long, n_words long, score double")

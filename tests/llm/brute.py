@@ -116,7 +116,7 @@ def quality_base(text: str | None) -> tuple[int, int, int, int, int]:
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, sum(twice)
 
 
-def backoff(rows: list[tuple], order: int = 3, vocabulary: int = 1 << 16) -> list[tuple]:
+def backoff(rows: list[tuple], order: int = 3, vocabulary: int = 1 << 16, cut: int = 1) -> list[tuple]:
     import math
     split = [words(t) for _, t in rows]
     count = Counter(x for w in split for x in w)
@@ -129,7 +129,7 @@ def backoff(rows: list[tuple], order: int = 3, vocabulary: int = 1 << 16) -> lis
         if not history:
             return math.log(table[1][(word,)] / total)
         n = table[len(history) + 1][(*history, word)]
-        if n >= 2:
+        if n >= cut:
             return math.log(n / table[len(history)][history])
         return math.log(0.4) + log_s(history[1:], word)
 

@@ -77,10 +77,10 @@ def test_long_words_do_not_stay_in_memory():
 # ------------------------------------------------------------------ 2 language model
 
 
-@pytest.mark.parametrize("order", [2, 3])
-def test_backoff_scores(docs, rows, order):
-    want = {(d, n): s for d, n, s in brute.backoff(rows, order)}
-    got = lm_score.score(docs, order).collect()
+@pytest.mark.parametrize("order,cut", [(1, 1), (2, 1), (3, 1), (4, 1), (2, 2), (3, 2), (3, 3)])
+def test_backoff_scores(docs, rows, order, cut):
+    want = {(d, n): s for d, n, s in brute.backoff(rows, order, cut=cut)}
+    got = lm_score.score(docs, order, cut).collect()
     assert len(got) == len(rows)
     for r in got:
         s = want[r["doc_id"], r["n_words"]]
@@ -95,8 +95,18 @@ def test_backoff_with_odd_ids(spark, odd_ids):
     assert sum(x[2] for x in got) == pytest.approx(sum(x[2] for x in want))
 
 
-@pytest.mark.parametrize("hot", [1 << 19, 16])
-def test_every_word_is_kept(spark, monkeypatch, hot):
+@pytest.mark.parametrize("cut", [1, 2])
+def test_equal_texts_have_equal_scores(spark, rows, cut):
+    copies = [(k, t) for k, (_, t) in enumerate(rows * 3)]
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(frame(spark, copies).repartition(7), cut=cut).collect()}
+    by_text = defaultdict(set)
+    for d, t in copies:
+        by_text[t].add(got[d])
+    assert len(got) == len(copies) and all(len(x) == 1 for x in by_text.values())
+
+
+@pytest.mark.parametrize("hot,cut", [(1 << 19, 1), (16, 1), (16, 2)])
+def test_every_word_is_kept(spark, monkeypatch, hot, cut):
     """Over 65,536 words; with a small ``hot`` nearly all counts come from the partitioned tables."""
     monkeypatch.setattr(lm_score, "HOT", hot)
     rng = random.Random(21)
@@ -105,8 +115,8 @@ def test_every_word_is_kept(spark, monkeypatch, hot):
     rng.shuffle(many)
     rows = [(i, " ".join(many[i * 500:(i + 1) * 500] + ["the", "of"] * (i % 90))) for i in range(-(-len(many) // 500))]
     rows += [(9000 + i, " ".join(rare[i * 50:i * 50 + 60])) for i in range(60)] + [(9100, "zq " * 40), (9101, "w1 w4 w7")]
-    want = {d: (n, s) for d, n, s in brute.backoff(rows, 3, vocabulary=1 << 62)}
-    got = {r["doc_id"]: (r["n_words"], r["score"]) for r in lm_score.score(frame(spark, rows).repartition(4)).collect()}
+    want = {d: (n, s) for d, n, s in brute.backoff(rows, 3, vocabulary=1 << 62, cut=cut)}
+    got = {r["doc_id"]: (r["n_words"], r["score"]) for r in lm_score.score(frame(spark, rows).repartition(4), cut=cut).collect()}
     assert got.keys() == want.keys()
     assert all(got[d][0] == want[d][0] and abs(got[d][1] - want[d][1]) < 1e-9 for d in want)
 
