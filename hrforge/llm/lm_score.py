@@ -116,7 +116,8 @@ def kept_bits(counted: DataFrame, bits: int, least: int) -> Bits:
 
 
 def partition_bits(docs: DataFrame) -> int:
-    return power_of_two(plan_bytes(docs) / PARTITION, 5, 20)
+    """At least 8, so that a slice tells the first byte of its mixed keys."""
+    return power_of_two(plan_bytes(docs) / PARTITION, 8, 20)
 
 
 class Model(NamedTuple):
@@ -289,7 +290,7 @@ def summed(keys: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def sum_rows(done: list[tuple], bits: int) -> list[pa.RecordBatch]:
     """Log scores summed by document, by slice of the document."""
     found, total = summed(np.concatenate([d for d, _ in done]), np.concatenate([p for _, p in done]))
-    return _batch(0, packed_rows(["slice", "docs", "parts"], _slices(found, bits), [found, total]))
+    return _batch(0, packed_rows(["slice", "docs", "parts"], _slices(found, bits), [found, total], planes))
 
 
 def entries_of(docs: DataFrame, model, order: int, bits: int) -> DataFrame:
@@ -371,7 +372,7 @@ def finish(flow: pa.Table) -> pa.Table:
     """Scores of the documents of one slice."""
     parts = flow.filter(pc.is_valid(flow["parts"]))
     rows = flow.filter(pc.is_valid(flow["ids"]))
-    found, total = summed(unpack(parts["docs"], np.int64), unpack(parts["parts"], np.int64))
+    found, total = summed(from_planes(parts["docs"], np.int64), from_planes(parts["parts"], np.int64))
     docs = unpack(rows["docs"], np.int64)
     n = np.array([x[0] for x in rows["words"].to_pylist()], np.int64)
     score = lookup(found, total, docs) / UNIT / np.maximum(n, 1)
@@ -406,8 +407,9 @@ def direct_entries(docs: DataFrame, model, order: int, bits: int) -> DataFrame:
         def emit():
             for n, parts in held.items():
                 keys, numbers, weights = (np.concatenate(x) for x in zip(*parts))
-                yield from _batch(n, packed_rows(["slice", "keys", "docs", "tgts"], _slices(keys, bits),
-                                                 [keys, numbers, weights.astype(np.int32)], planes))
+                mixed = mix64(keys)
+                yield from _batch(n, packed_rows(["slice", "keys", "docs", "tgts"], mixed >> U64(64 - bits),
+                                                 [tails(mixed), numbers, weights.astype(np.int32)], planes))
             held.clear()
 
         for batch in batches:
@@ -452,6 +454,36 @@ def distinct(doc: np.ndarray, key: np.ndarray, weight: np.ndarray) -> tuple[np.n
     return doc[at][keep], key[at][keep], weight[keep]
 
 
+def tails(mixed: np.ndarray) -> np.ndarray:
+    """All but the first byte of each mixed key: that one follows from the slice."""
+    return np.ascontiguousarray(mixed, "<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+
+
+def from_tails(col: pa.ChunkedArray, slice_: int, bits: int) -> np.ndarray:
+    found = from_planes(col, np.uint8, 7)
+    out = np.empty((len(found), 8), np.uint8)
+    out[:, :7], out[:, 7] = found, slice_ >> (bits - 8)
+    return out.view("<u8").ravel()
+
+
+def for_lookup(tables: dict[int, DataFrame]) -> DataFrame:
+    """The count tables with mixed keys in order, packed to be moved."""
+
+    def run(batches):
+        for b in batches:
+            keys, counts = [], []
+            for i in range(b.num_rows):
+                mixed = mix64(unpack(b.column("keys").slice(i, 1), U64))
+                order = np.argsort(mixed)
+                keys.append(planes(tails(mixed[order])) if len(order) else b"")
+                counts.append(planes(unpack(b.column("counts").slice(i, 1), np.int64)[order]) if len(order) else b"")
+            yield pa.RecordBatch.from_arrays([b.column("n"), b.column("slice"), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())],
+                                             ["n", "slice", "keys", "counts"])
+
+    every = reduce(DataFrame.unionByName, [t.select(F.lit(n).alias("n"), "slice", "keys", "counts") for n, t in tables.items()])
+    return every.mapInArrow(run, "n int, slice int, keys binary, counts binary")
+
+
 def against_counts(bits: int):
     """Settle the entries of one length and slice; sums and document rows pass. Returns the
     function for a cogroup."""
@@ -459,10 +491,11 @@ def against_counts(bits: int):
     def run(flow: pa.Table, counted: pa.Table) -> pa.Table:
         if not flow.num_rows or not flow["n"][0].as_py():
             return flow.cast(SCHEMA)
-        keys, counts = unpack(counted["keys"], U64), unpack(counted["counts"], np.int64)
+        of = flow["slice"][0].as_py()
+        keys, counts = from_tails(counted["keys"], of, bits), from_planes(counted["counts"], np.int64)
         out = []
         for piece in pieces(flow):
-            count = lookup(keys, counts, from_planes(piece["keys"], U64))
+            count = lookup(keys, counts, from_tails(piece["keys"], of, bits))
             part = from_planes(piece["tgts"], np.int32).astype(np.int64) * fixed(np.maximum(count, 1))
             out += sum_rows([(from_planes(piece["docs"], np.int64), part)], bits)
         return pa.Table.from_batches(out, SCHEMA)
@@ -479,9 +512,8 @@ def score(docs: DataFrame, order: int = ORDER, cut: int = CUT) -> DataFrame:
     bits = partition_bits(docs)
     shared = share(docs, model)
     if cut == 1:
-        counted = reduce(DataFrame.unionByName, [t.select(F.lit(n).alias("n"), "slice", "keys", "counts") for n, t in tables.items()])
         flow = (direct_entries(docs, shared, order, bits).groupBy("n", "slice")
-                .cogroup(counted.groupBy("n", "slice")).applyInArrow(against_counts(bits), FLOW))
+                .cogroup(for_lookup(tables).groupBy("n", "slice")).applyInArrow(against_counts(bits), FLOW))
     else:
         flow = entries_of(docs, shared, order, bits)
         for n in range(order, 0, -1):
