@@ -116,8 +116,7 @@ def kept_bits(counted: DataFrame, bits: int, least: int) -> Bits:
 
 
 def partition_bits(docs: DataFrame) -> int:
-    """At least 8, so that a slice tells the first byte of its mixed keys."""
-    return power_of_two(plan_bytes(docs) / PARTITION, 8, 20)
+    return power_of_two(plan_bytes(docs) / PARTITION, 5, 20)
 
 
 class Model(NamedTuple):
@@ -409,7 +408,7 @@ def direct_entries(docs: DataFrame, model, order: int, bits: int) -> DataFrame:
                 keys, numbers, weights = (np.concatenate(x) for x in zip(*parts))
                 mixed = mix64(keys)
                 yield from _batch(n, packed_rows(["slice", "keys", "docs", "tgts"], mixed >> U64(64 - bits),
-                                                 [tails(mixed), numbers, weights.astype(np.int32)], planes))
+                                                 [mixed, numbers, weights.astype(np.int32)], planes))
             held.clear()
 
         for batch in batches:
@@ -454,29 +453,18 @@ def distinct(doc: np.ndarray, key: np.ndarray, weight: np.ndarray) -> tuple[np.n
     return doc[at][keep], key[at][keep], weight[keep]
 
 
-def tails(mixed: np.ndarray) -> np.ndarray:
-    """All but the first byte of each mixed key: that one follows from the slice."""
-    return np.ascontiguousarray(mixed, "<u8").view(np.uint8).reshape(-1, 8)[:, :7]
-
-
-def from_tails(col: pa.ChunkedArray, slice_: int, bits: int) -> np.ndarray:
-    found = from_planes(col, np.uint8, 7)
-    out = np.empty((len(found), 8), np.uint8)
-    out[:, :7], out[:, 7] = found, slice_ >> (bits - 8)
-    return out.view("<u8").ravel()
-
-
 def for_lookup(tables: dict[int, DataFrame]) -> DataFrame:
-    """The count tables with mixed keys in order, packed to be moved."""
+    """The counts of 2 and more, with mixed keys in order, packed to be moved."""
 
     def run(batches):
         for b in batches:
             keys, counts = [], []
             for i in range(b.num_rows):
-                mixed = mix64(unpack(b.column("keys").slice(i, 1), U64))
+                mixed, n = mix64(unpack(b.column("keys").slice(i, 1), U64)), unpack(b.column("counts").slice(i, 1), np.int64)
+                mixed, n = mixed[n > 1], n[n > 1]
                 order = np.argsort(mixed)
-                keys.append(planes(tails(mixed[order])) if len(order) else b"")
-                counts.append(planes(unpack(b.column("counts").slice(i, 1), np.int64)[order]) if len(order) else b"")
+                keys.append(planes(mixed[order]) if len(order) else b"")
+                counts.append(planes(n[order]) if len(order) else b"")
             yield pa.RecordBatch.from_arrays([b.column("n"), b.column("slice"), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())],
                                              ["n", "slice", "keys", "counts"])
 
@@ -484,21 +472,21 @@ def for_lookup(tables: dict[int, DataFrame]) -> DataFrame:
     return every.mapInArrow(run, "n int, slice int, keys binary, counts binary")
 
 
-def against_counts(bits: int):
-    """Settle the entries of one length and slice; sums and document rows pass. Returns the
-    function for a cogroup."""
+def against_counts(order: int, bits: int):
+    """Settle the entries of one slice, of all lengths; sums and document rows pass. Returns
+    the function for a cogroup."""
 
     def run(flow: pa.Table, counted: pa.Table) -> pa.Table:
-        if not flow.num_rows or not flow["n"][0].as_py():
-            return flow.cast(SCHEMA)
-        of = flow["slice"][0].as_py()
-        keys, counts = from_tails(counted["keys"], of, bits), from_planes(counted["counts"], np.int64)
-        out = []
-        for piece in pieces(flow):
-            count = lookup(keys, counts, from_tails(piece["keys"], of, bits))
-            part = from_planes(piece["tgts"], np.int32).astype(np.int64) * fixed(np.maximum(count, 1))
-            out += sum_rows([(from_planes(piece["docs"], np.int64), part)], bits)
-        return pa.Table.from_batches(out, SCHEMA)
+        done = []
+        for n in range(1, order + 1):
+            own, table_ = (x.filter(pc.equal(x["n"], n)) for x in (flow, counted))
+            keys, counts = from_planes(table_["keys"], U64), from_planes(table_["counts"], np.int64)
+            for piece in pieces(own) if own.num_rows else ():
+                count = lookup(keys, counts, from_planes(piece["keys"], U64))
+                part = from_planes(piece["tgts"], np.int32).astype(np.int64) * fixed(np.maximum(count, 1))
+                done.append(summed(from_planes(piece["docs"], np.int64), part))
+        out = flow.filter(pc.equal(flow["n"], 0)).cast(SCHEMA).to_batches()
+        return pa.Table.from_batches(out + (sum_rows(done, bits) if done else []), SCHEMA)
 
     return run
 
@@ -512,8 +500,8 @@ def score(docs: DataFrame, order: int = ORDER, cut: int = CUT) -> DataFrame:
     bits = partition_bits(docs)
     shared = share(docs, model)
     if cut == 1:
-        flow = (direct_entries(docs, shared, order, bits).groupBy("n", "slice")
-                .cogroup(for_lookup(tables).groupBy("n", "slice")).applyInArrow(against_counts(bits), FLOW))
+        flow = (direct_entries(docs, shared, order, bits).groupBy("slice")
+                .cogroup(for_lookup(tables).groupBy("slice")).applyInArrow(against_counts(order, bits), FLOW))
     else:
         flow = entries_of(docs, shared, order, bits)
         for n in range(order, 0, -1):
