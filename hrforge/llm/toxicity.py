@@ -7,8 +7,10 @@ sentence without a lexicon word has no evidence and probability 0; ``leak`` is w
 remains of documents without any evidence.
 
 Training: at most ``SAMPLE`` labelled rows (a documented bound), drawn by a hash per
-label with weights that restore the label rate. Words whose documents are toxic much
-more often than chance would allow become the lexicon (copies of a text count once); counting
+label with weights that restore the label rate. Words whose documents are toxic more often
+than chance would allow become the lexicon (copies of a text count once): the binomial tail of
+the word's toxic documents is exact, and its bound is divided by the number of words looked at, so
+that about ``CHANCE`` words get in by chance, whatever the sample. Counting
 is a Spark aggregation. The rows' sentences, reduced to lexicon word numbers, are
 fitted in numpy. Scoring covers every row in one pass.
 
@@ -16,7 +18,8 @@ Words are runs of letters, lower-cased; sentences end at ``.``, ``!``, ``?`` or
 end. A null text counts as empty and scores ``leak``. Repeated rows score alike. Without
 training rows of both labels the lexicon is empty and every score is the label rate (0
 if there is no label). Empty table: empty result. Only ``doc_id`` and ``text`` are read;
-neither doc_id nor any label is an input of a score.
+neither doc_id nor any label is an input of a score. A null doc_id is not labelled, and
+whether it is held out is null.
 """
 
 from __future__ import annotations
@@ -30,11 +33,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hrforge.llm.common import arrow_batches, share
+from hrforge.llm.common import arrow_batches, share, table
 
 SAMPLE = 24_000
-#: A lexicon word's least number of documents, and least z value of its toxic share.
-LEAST, LEAST_Z = 4, 5.0
+#: A lexicon word's least number of documents, and how many words may get in by chance.
+LEAST, CHANCE = 4, 0.5
+#: Words of a lower z value are not tested: their tail is far above any bound.
+LEAST_Z = 3.0
 THRESHOLD = 0.3
 #: Values of the hash by which rows are drawn: many more than any table has rows.
 MARKS = 1 << 52
@@ -94,30 +99,40 @@ def lexicon(rows: DataFrame) -> list[str]:
     p = total[1] / (total[0] + total[1])
     n = F.col("toxic") + F.col("clean")
     z = (F.col("toxic") - n * p) / F.sqrt(n * p * (1 - p))
-    got = (rows.mapInArrow(run, "word string, clean long, toxic long").groupBy("word")
-           .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-           .filter((n >= LEAST) & (z >= LEAST_Z)).orderBy(z.desc(), "word").collect())
-    return [r["word"] for r in got]
-
-
-def evidence(text: str, number: dict[str, int], spot: re.Pattern) -> list[list[int]]:
+    words = (rows.mapInArrow(run, "word string, clean long, toxic long").groupBy("word")
+             .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(n >= LEAST))
+    words = table(words, "lexicon")  # as many as the sample has
+    tested = words.count()
+    found = words.filter(z >= LEAST_Z).collect()
+    tails = {r["word"]: log_tail(r["clean"] + r["toxic"], r["toxic"], p) for r in found}
+    return sorted((w for w, t in tails.items() if t <= math.log(CHANCE / tested)), key=lambda w: (tails[w], w))
+
+
+def log_tail(n: int, k: int, p: float) -> float:
+    """Logarithm of P(X >= k) for X of a binomial distribution of n and p."""
+    term = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    total, ratio = 1.0, 1.0
+    for i in range(k, n):
+        ratio *= (n - i) / (i + 1) * p / (1 - p)
+        total += ratio
+        if ratio < 1e-15 * total:
+            break
+    return term + math.log(total)
+
+
+def evidence(text: str, number: dict[str, int]) -> list[list[int]]:
     """Lexicon word numbers of each sentence that has any."""
     low = text.lower()
-    if not spot.search(low):
+    if number.keys().isdisjoint(_WORD.findall(low)):
         return []
     found = []
     for sentence in _SENTENCE.findall(low):
-        if spot.search(sentence):
-            ids = sorted({number[w] for w in _WORD.findall(sentence) if w in number})
-            if ids:
-                found.append(ids)
+        ids = sorted({number[w] for w in _WORD.findall(sentence) if w in number})
+        if ids:
+            found.append(ids)
     return found
 
 
-def spotter(words: list[str]) -> re.Pattern:
-    return re.compile("|".join(map(re.escape, sorted(words, key=len, reverse=True))) if words else r"(?!)")
-
-
 def fit(rows: DataFrame, weight: dict[int, float], steps: int = 400) -> Model:
     """Noisy-or model by gradient ascent on the weighted document likelihood."""
     vocabulary = lexicon(rows)
@@ -126,9 +141,8 @@ def fit(rows: DataFrame, weight: dict[int, float], steps: int = 400) -> Model:
 
     def run(batches):
         index = {w: i for i, w in enumerate(shared.value)}
-        spot = spotter(shared.value)
         for b in batches:
-            got = [evidence(t, index, spot) for t in b.column(0).to_pylist()]
+            got = [evidence(t, index) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(got, pa.list_(pa.list_(pa.int32())))], ["toxic", "bags"])
 
     kind = rows.schema["toxic"].dataType.simpleString()
@@ -165,10 +179,10 @@ def fit(rows: DataFrame, weight: dict[int, float], steps: int = 400) -> Model:
     return Model({x: float(theta[i]) for x, i in number.items()}, float(theta[-2]), 1 / (1 + math.exp(-float(theta[-1]))))
 
 
-def sentence_scores(text: str, model: Model, spot: re.Pattern) -> list[tuple[int, int, float]]:
+def sentence_scores(text: str, model: Model) -> list[tuple[int, int, float]]:
     """(start, end, probability) of each sentence with evidence."""
     low = text.lower()
-    if not spot.search(low):
+    if model.weights.keys().isdisjoint(_WORD.findall(low)):
         return []
     if len(low) != len(text):  # lower-casing changed a length: take each sentence by itself
         parts = [(m.start(), m.end(), m.group().lower()) for m in _SENTENCE.finditer(text)]
@@ -176,11 +190,10 @@ def sentence_scores(text: str, model: Model, spot: re.Pattern) -> list[tuple[int
         parts = [(m.start(), m.end(), m.group()) for m in _SENTENCE.finditer(low)]
     out = []
     for start, end, sentence in parts:
-        if spot.search(sentence):
-            known = {w for w in _WORD.findall(sentence) if w in model.weights}
-            if known:
-                s = model.bias + sum(model.weights[w] for w in sorted(known))
-                out.append((start, end, 1 / (1 + math.exp(-max(-30.0, min(30.0, s))))))
+        known = {w for w in _WORD.findall(sentence) if w in model.weights}
+        if known:
+            s = model.bias + sum(model.weights[w] for w in sorted(known))
+            out.append((start, end, 1 / (1 + math.exp(-max(-30.0, min(30.0, s))))))
     return out
 
 
@@ -198,11 +211,11 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     shared = share(docs, model)
 
     def run(batches):
-        got, spot = shared.value, spotter(list(shared.value.weights))
+        got = shared.value
         for b in batches:
             scores, spans = [], []
             for text in b.column(1).to_pylist():
-                found = sentence_scores(text or "", got, spot)
+                found = sentence_scores(text or "", got)
                 scores.append(document_score(found, got.leak))
                 spans.append(",".join(f"{s}:{e}" for s, e, p in found if p >= threshold))
             yield pa.RecordBatch.from_arrays(
@@ -226,9 +239,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     at = docs.columns.index("text")
 
     def run(batches):
-        got, spot = shared.value, spotter(list(shared.value.weights))
+        got = shared.value
         for b in batches:
-            ok = [document_score(sentence_scores(t or "", got, spot), got.leak) < threshold for t in b.column(at).to_pylist()]
+            ok = [document_score(sentence_scores(t or "", got), got.leak) < threshold for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(ok, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
