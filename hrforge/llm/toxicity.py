@@ -38,8 +38,9 @@ from hrforge.llm.common import arrow_batches, share, table
 SAMPLE = 24_000
 #: A lexicon word's least number of documents, and how many words may get in by chance.
 LEAST, CHANCE = 4, 0.5
-#: Words of a lower z value are not tested: their tail is far above any bound.
-LEAST_Z = 3.0
+#: Least z value of a lexicon word's toxic share: on large samples common words of a small
+#: excess would pass the tail alone.
+LEAST_Z = 5.0
 THRESHOLD = 0.3
 #: Values of the hash by which rows are drawn: many more than any table has rows.
 MARKS = 1 << 52
