@@ -130,9 +130,10 @@ class Model(NamedTuple):
     named: np.ndarray
 
 
-def train(docs: DataFrame, order: int = ORDER, least: int = 2) -> tuple[Model, dict[int, DataFrame]]:
+def train(docs: DataFrame, order: int = ORDER, least: int = 2, words_least: int = 1) -> tuple[Model, dict[int, DataFrame]]:
     """The model and the count tables (packed by slice) for 1 up to ``order`` words; those of
-    2 words and more hold the n-grams counted ``least`` (2 or more) times."""
+    2 words and more hold the n-grams counted ``least`` (2 or more) times, and the first one the
+    words counted ``words_least`` times."""
     bits = partition_bits(docs)
     texts = docs.select("text")
     model, tables = Model(0, {}, {}, np.empty(0, np.uint32), np.zeros(1, U64)), {}
@@ -147,12 +148,12 @@ def train(docs: DataFrame, order: int = ORDER, least: int = 2) -> tuple[Model, d
                 at = at[part[at] & part[at + 1]]
             yield keys[at]
 
-        tables[n] = totals(gather(texts, keys_of, bits), 1 if n == 1 else least, f"counts-{n}")
+        tables[n] = totals(gather(texts, keys_of, bits), words_least if n == 1 else least, f"counts-{n}")
         known.unpersist()
         if n == 1:
             model = model._replace(total=slice_total(tables[1]))
         model.maps[n] = kept_bits(tables[n], width(docs, CELLS.get(n, 0.5)), least)
-        model.hot[n] = frequent(tables[n], max(1 if n == 1 else least, -(-model.total // HOT)))
+        model.hot[n] = frequent(tables[n], max(words_least if n == 1 else least, -(-model.total // HOT)))
     hashes, counts = model.hot[1]
     by_count = np.argsort(-counts, kind="stable")
     numbers = np.empty(len(hashes), np.uint32)
@@ -427,7 +428,7 @@ def direct_entries(docs: DataFrame, model, order: int, bits: int) -> DataFrame:
                     count = lookup(*known.hot[n], key)
                     done.append((numbers[doc], weight * fixed(np.maximum(count, 1))))
                     ask = count == 0
-                    if n > 1:  # one that the map lacks is seen once; every word is in its table
+                    if n > 1:  # one that the map lacks is seen once
                         ask &= known.maps[n].hit(key)
                     held.setdefault(n, []).append((key[ask], numbers[doc[ask]], weight[ask]))
                     size += int(ask.sum())
@@ -496,7 +497,7 @@ def score(docs: DataFrame, order: int = ORDER, cut: int = CUT) -> DataFrame:
     if not 1 <= order <= len(GRAM) or cut < 1:
         raise ValueError(f"order is 1 to {len(GRAM)}, cut 1 or more")
     arrow_batches(docs.sparkSession)
-    model, tables = train(docs, order, max(cut, 2))
+    model, tables = train(docs, order, max(cut, 2), 2 if cut == 1 else 1)
     bits = partition_bits(docs)
     shared = share(docs, model)
     if cut == 1:
