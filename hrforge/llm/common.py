@@ -9,6 +9,8 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -55,6 +57,19 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin within remove their shuffle files when they end. For tables that
+    are written, or results that are collected, once; not for frames handed on unread."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (file bytes for a table on disk); it only
     sets widths and numbers of partitions, never results."""

@@ -12,7 +12,7 @@ their first ``n - least overlap + 1`` tokens. Several orders are used:
   tokens, as a broadcast bit map, tells which may be held by more. So a prefix of a
   document without near copies holds no token that anybody shares, even if passages of it
   are found elsewhere. Prefix tokens that may be shared are grouped by token: that makes
-  the candidates;
+  the candidates. Of tokens that the same classes hold one is kept;
 * every other order (a different hash of the tokens) must also give common prefix tokens,
   and enough of them: an overlap is at most the common tokens of the prefixes plus what
   lies beyond the prefix that ends first. Pairs that fail one order are dropped, and only
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hrforge.llm.common import U64, arrow_batches, digest, free_name, grams, mix64, share, table, words
+from hrforge.llm.common import U64, arrow_batches, digest, free_name, grams, mix64, released, share, table, words
 from hrforge.llm.components import components
 from hrforge.llm.sketch import Bits, repeated, width
 
@@ -289,20 +289,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return labelled(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def labelled(docs: DataFrame) -> DataFrame:
-    """``near_duplicates`` with the class of every row and a name of its component (``of``)."""
-    arrow_batches(docs.sparkSession)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = table(postings(source), "postings")
-    posting = every.filter("kind = 1").select("class", "size", "token", "place", "alone")
+def distinct_lists(posting: DataFrame) -> DataFrame:
+    """Rows of the posting lists with two rows or more. Of lists of the same classes only the
+    one of the first token is kept: it comes before the other tokens in the prefix of every
+    class, so it allows each pair that another one allows. Lists are told apart by their
+    number of rows and by sums of 96 bits of the classes' hashes (a class has as many rows in
+    one list as in any other)."""
+    h = F.xxhash64("class")
+    parts = {"s0": h.bitwiseAND(F.lit(0xFFFFFFFF)), "s1": F.shiftrightunsigned(h, 32),
+             "s2": F.shiftrightunsigned(F.xxhash64(F.lit(1), "class"), 32)}
+    top = F.lit(-(1 << 63))  # tokens ascend as unsigned numbers
+    lists = posting.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(c) for c, x in parts.items()]).filter("n > 1")
+    first = lists.groupBy("n", *parts).agg(F.min(F.col("token").bitwiseXOR(top)).bitwiseXOR(top).alias("token"))
+    return posting.join(first.select("token"), "token")
 
-    # hub of every list that holds two classes or more
+
+def with_hubs(shared: DataFrame) -> DataFrame:
+    """Rows of the lists that hold two classes or more, with the hub of the list."""
     key = F.struct((F.col("alone") / F.col("size")).alias("share"), "size", "class", "place")
-    lists = posting.groupBy("token").agg(F.min(key).alias("hub"), F.min("class").alias("low"), F.max("class").alias("high")).filter(
+    lists = shared.groupBy("token").agg(F.min(key).alias("hub"), F.min("class").alias("low"), F.max("class").alias("high")).filter(
         "low != high").select("token", "hub")
-    listed = table(posting.join(lists, "token").select(
+    return shared.join(lists, "token").select(
         "token", "class", "size", "place", F.col("hub.class").alias("hub"), F.col("hub.size").alias("hub_size"),
-        F.col("hub.place").alias("hub_place")), "posting-lists")
+        F.col("hub.place").alias("hub_place"))
+
+
+def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``postings`` of the documents, and ``components`` of their classes, both written."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    every = table(postings(source), "postings")
+    posting = every.filter("kind = 1").select("class", "size", "token", "place", "alone")
+    listed = table(with_hubs(table(distinct_lists(posting), "shared-postings")), "posting-lists")
 
     member = F.struct("size", "place")
     hub = F.struct(F.col("hub_size").alias("size"), F.col("hub_place").alias("place"))
@@ -326,8 +343,14 @@ def labelled(docs: DataFrame) -> DataFrame:
     second = named.filter("of != of_hub").alias("x").join(named.alias("y"), (F.col("x.token") == F.col("y.token")) & meets).select(
         F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
     more = compared(source, table(second, "other-pairs"), True).filter("link").select("a", "b")
-    label = components(table(links.unionByName(more), "links"))
+    return every, components(table(links.unionByName(more), "links"))
 
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with the class of every row and a name of its component (``of``)."""
+    arrow_batches(docs.sparkSession)
+    with released(docs.sparkSession):
+        every, label = linked(docs)
     rows = every.filter("kind = 0").select("doc_id", "class", F.col("size").cast("long").alias("n_shingles"))
     of = rows.join(label.select(F.col("node").alias("class"), "root"), "class", "left").select(
         "doc_id", "n_shingles", "class", F.coalesce("root", "class").alias("of"))

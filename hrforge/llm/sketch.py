@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hrforge.llm.common import U64, mix64, plan_bytes, power_of_two, slice_bits, table
+from hrforge.llm.common import U64, mix64, plan_bytes, power_of_two, released, slice_bits, table
 
 #: Hashes a map task holds before it emits them.
 BUFFER = 1 << 20
@@ -109,14 +109,8 @@ def totals(partial: DataFrame, least: int, name: str) -> DataFrame:
                          "counts": pa.array([count[big].tobytes()], pa.binary()),
                          "seen": pa.array([int(count.sum())], pa.int64())})
 
-    # the shuffled partial counts are not needed once the table is written
-    conf, key = partial.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key)
-    conf.set(key, "true")
-    try:
+    with released(partial.sparkSession):
         return table(partial.groupBy("slice").applyInArrow(merge, PACKED + ", seen long"), name)
-    finally:
-        conf.set(key, before)
 
 
 def frequent(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:

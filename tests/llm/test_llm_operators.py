@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import brute
 import public_tokenizers
@@ -295,6 +297,37 @@ def test_near_copies_of_random_edits(spark):
     assert got == sorted(brute.near(rows), key=str)
 
 
+def test_lists_of_the_same_classes_are_kept_once(spark):
+    """The list of the first token stays: tokens ascend as unsigned numbers, and classes may have
+    several rows. A list that differs in a class, or in a class of copies, stays as well."""
+    lists = {3: "ab", 9: "ab", -5: "ab", -7: "cd", 4: "cde", -1: "cdf", 5: "ggh", 6: "iih", -2: "ggh", 7: "k", 8: "ll"}
+    rows = [(c.encode(), 10, token, token % 8, 0) for token, members in lists.items() for c in members]
+    posting = spark.createDataFrame(rows, "class binary, size int, token long, place int, alone int").repartition(3)
+    shared = ngram_join.distinct_lists(posting)
+    kept = {3, -7, 4, -1, 5, 6, 8}
+    assert ordered(shared, "token", "class") == sorted(((t, c.encode()) for t in kept for c in lists[t]), key=str)
+    assert {r["token"] for r in ngram_join.with_hubs(shared).collect()} == kept - {8}
+
+
+def shuffle_files(spark) -> set[str]:
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {str(f) for d in disk.localDirsString() for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_near_copies_leave_no_shuffle_files(spark, docs):
+    """What a step has shuffled goes when its table is written, and not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, conf = shuffle_files(spark), spark.conf.get(key)
+    got = ngram_join.near_duplicates(docs)
+    for _ in range(100):  # files are removed a moment later
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(key) == conf
+    assert got.count() == got.count() == docs.count()
+
+
 def test_long_chains_become_one_component(spark):
     links = spark.createDataFrame([(f"{i:04}", f"{i + 1:04}") for i in range(300)] + [("a", "c"), ("b", "c")], "a string, b string")
     roots = {r["node"]: r["root"] for r in components.components(links).collect()}
