@@ -8,11 +8,11 @@ lower-cased; fewer words: the whole sequence; no words: empty). Two documents li
 Under any global order of the tokens, two sets with that overlap share a token within
 their first ``n - least overlap + 1`` tokens. Several orders are used:
 
-* order 0 puts tokens first that one class alone seems to hold: a count-min sketch of all
-  tokens, as a broadcast bit map, tells which may be held by more. So a prefix of a
-  document without near copies holds no token that anybody shares, even if passages of it
-  are found elsewhere. Prefix tokens that may be shared are grouped by token: that makes
-  the candidates. Of tokens that the same classes hold one is kept;
+* order 0 puts tokens first that one text alone holds, then the others by the number of texts
+  that hold them (``token_order``; equal texts count once). So a prefix of a document without
+  near copies holds no token that anybody shares, even if passages of it are found elsewhere,
+  and what many documents have in common comes last. Prefix tokens that are shared are
+  grouped by token: that makes the candidates. Of tokens that the same classes hold one is kept;
 * every other order (a different hash of the tokens) must also give common prefix tokens,
   and enough of them: an overlap is at most the common tokens of the prefixes plus what
   lies beyond the prefix that ends first. Pairs that fail one order are dropped, and only
@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,11 +44,14 @@ from pyspark.sql import types as T
 from hrforge.llm.common import U64, arrow_batches, digest, free_name, grams, mix64, released, share, table, words
 from hrforge.llm.components import components
 from hrforge.llm.sketch import Bits, repeated, width
+from hrforge.llm.token_order import BITS, prefixes
 
 SHINGLE = 5
 PERCENT = 80
 #: Orders whose prefixes candidates must share; the first also makes the candidates.
 ORDERS = 3
+#: Rows of a posting list from which on it is compared in parts.
+MEMBERS = 1024
 _MIX = (0, 0xA4093822299F31D0, 0x082EFA98EC4E6C89, 0x3F84D5B5B5470917)
 
 
@@ -65,13 +69,6 @@ def prefix_size(n: int) -> int:
     return n - -(-n * PERCENT // 100) + 1
 
 
-def first_order(tokens: np.ndarray, shared: Bits) -> tuple[np.ndarray, int]:
-    """Sorted tokens in order 0, and how many come first as held by one class alone."""
-    may = shared.hit(tokens)
-    alone = tokens[~may]
-    return np.concatenate([alone, tokens[may]]), len(alone)
-
-
 def head(tokens: np.ndarray, order: int) -> np.ndarray:
     """Prefix in a hash order, as the leading 32 bits of the hashes, ascending."""
     ranks = (mix64(tokens ^ U64(_MIX[order])) >> U64(32)).astype(np.uint32)
@@ -94,53 +91,53 @@ def classes(batch: pa.RecordBatch, column: int = 1):
             yield digest(w.hashes[a:b]), w.hashes[a:b]
 
 
-_BITS = [f"bits{i}" for i in range(8)]
-POSTING = "kind int, doc_id long, class binary, size int, token long, place int, alone int, " + ", ".join(f"{b} long" for b in _BITS)
-_NAMES = ["kind", "doc_id", "class", "size", "token", "place", "alone", *_BITS]
+def equal_texts(docs: DataFrame) -> tuple[Bits, Bits]:
+    """Bit maps of the texts that several rows have, and of one row (rows, if they are equal)
+    of each text that hits the first map. A row that hits the first map only is spare: another
+    one has its text. A text that hits the first map by chance is in the second one too."""
+    texts = table(docs.groupBy(text_digest().alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")), "texts")
+
+    def several(batch):
+        yield text_keys(batch.column("digest"))
+
+    many = repeated(texts.filter("n > 1"), several, width(texts, 0.25), least=1)
+    shared = share(docs, many)
+
+    def first(batch):
+        keys = text_keys(batch.column("digest"))
+        yield row_keys(keys, batch.column("doc_id"))[shared.value.hit(keys)]
+
+    return many, repeated(texts, first, width(texts, 0.25), least=1)
+
+
+def text_digest() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+def text_keys(digests) -> np.ndarray:
+    return np.frombuffer(b"".join(digests.to_pylist()), U64)[::2].copy()
+
+
+def row_keys(keys: np.ndarray, ids) -> np.ndarray:
+    """Hashes of rows: of the text and the doc_id, which may be null."""
+    own = mix64(pc.fill_null(ids, 0).to_numpy().view(U64) + U64(0x9E3779B97F4A7C15))
+    own[ids.is_null().to_numpy(zero_copy_only=False)] = U64(0x452821E638D01377)
+    return mix64(keys ^ own)
 
 
 def postings(docs: DataFrame) -> DataFrame:
     """One row per document (kind 0), and one per prefix token that may have a partner
-    (kind 1; once for equal documents of a batch)."""
-    def tokens(batch):
-        seen = set()
-        for d, h in classes(batch):
-            if d not in seen:
-                seen.add(d)
-                yield shingles(h)
-
-    maybe = share(docs, repeated(docs, tokens, width(docs, 1.0)))
+    (kind 1; once for equal texts, as far as their doc_ids differ)."""
+    many, first = (share(docs, x) for x in equal_texts(docs))
 
-    def run(batches):
-        for batch in batches:
-            seen = set()
-            doc_class, doc_size, marks, cols = [], [], [], [[] for _ in range(5)]
-            for d, h in classes(batch):
-                t = shingles(h)
-                doc_class.append(d)
-                doc_size.append(len(t))
-                marks.append(mark(t, 512))
-                if d in seen or not len(t):
-                    continue
-                seen.add(d)
-                t, alone = first_order(t, maybe.value)
-                at = np.arange(alone, prefix_size(len(t)))
-                if len(at):
-                    for c, x in zip(cols, ([d] * len(at), np.full(len(at), len(t), np.int32), t[at].view(np.int64),
-                                           at.astype(np.int32), np.full(len(at), alone, np.int32))):
-                        c.append(x)
-            m = len(doc_class)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(m, np.int32)), batch.column(0), pa.array(doc_class, pa.binary()), pa.array(doc_size, pa.int32()),
-                 pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
-                 *[pa.array(np.ascontiguousarray(x)) for x in np.array(marks, np.int64).reshape(-1, 8).T]], _NAMES)
-            if cols[0]:
-                n = sum(map(len, cols[0]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array([x for p in cols[0] for x in p], pa.binary()),
-                     *[pa.array(np.concatenate(c)) for c in cols[1:]], *[pa.nulls(n, pa.int64())] * 8], _NAMES)
+    def sets_of(batch):
+        keys = text_keys(batch.column(2))
+        spare = many.value.hit(keys) & ~first.value.hit(row_keys(keys, batch.column(0)))
+        for (d, h), s in zip(classes(batch), spare):
+            t = shingles(h)
+            yield d, len(t), mark(t, 512), None if s else t
 
-    return docs.mapInArrow(run, POSTING)
+    return prefixes(docs.withColumn("digest", text_digest()), sets_of, prefix_size)
 
 
 def fits(a: str, b: str, places: bool = True) -> Column:
@@ -277,7 +274,7 @@ def may_link(x: str, y: str) -> Column:
         beyond(x, y), beyond(y, x))
     def shared(p: str, q: str) -> Column:
         return col(p, "size") - ones(
-            lambda i: col(p, _BITS[i]).bitwiseAND(F.bitwise_not(col(q, _BITS[i]))), len(_BITS))
+            lambda i: col(p, BITS[i]).bitwiseAND(F.bitwise_not(col(q, BITS[i]))), len(BITS))
 
     need = (col(x, "size") + col(y, "size")) * PERCENT
     return (F.least(shared(x, y), shared(y, x)) * (100 + PERCENT) >= need) & F.coalesce(
@@ -334,13 +331,18 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "of", F.coalesce("of", "class")).join(
         label.select(F.col("node").alias("hub"), F.col("root").alias("of_hub")), "hub", "left").withColumn(
         "of_hub", F.coalesce("of_hub", "hub"))
-    open_ = named.filter("of != of_hub").select("token").distinct()
-    marks = every.filter("kind = 0").select("class", *_BITS).dropDuplicates(["class"])
-    named = table(named.join(open_, "token", "left_semi").join(marks, "class").join(
+    open_ = named.groupBy("token").agg(
+        F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"), F.max(F.col("of") != F.col("of_hub")).alias("open")).filter("open")
+    marks = every.filter("kind = 0").select("class", *BITS).dropDuplicates(["class"])
+    named = table(named.join(open_.drop("open"), "token").distinct().join(marks, "class").join(
         tested.drop("link").withColumnsRenamed({"a": "class", "b": "hub"}), ["class", "hub"], "left"), "open-lists")
     meets = ((F.col("x.of") != F.col("y.of")) & ((F.col("y.of") == F.col("y.of_hub")) | (F.col("x.class") < F.col("y.class")))
              & (F.col("y.class") != F.col("y.hub")) & fits("x", "y") & may_link("x", "y"))
-    second = named.filter("of != of_hub").alias("x").join(named.alias("y"), (F.col("x.token") == F.col("y.token")) & meets).select(
+    part = F.pmod(F.xxhash64("class"), "parts").cast("int")  # of a long list each task has a part, and all that it meets
+    left = named.filter("of != of_hub").withColumn("part", part).alias("x")
+    right = named.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    here = (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part"))
+    second = left.join(right, here & meets).select(
         F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
     more = compared(source, table(second, "other-pairs"), True).filter("link").select("a", "b")
     return every, components(table(links.unionByName(more), "links"))

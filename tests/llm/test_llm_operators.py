@@ -309,6 +309,45 @@ def test_lists_of_the_same_classes_are_kept_once(spark):
     assert {r["token"] for r in ngram_join.with_hubs(shared).collect()} == kept - {8}
 
 
+def test_prefixes_of_unlike_texts_are_empty_at_any_size(spark, monkeypatch):
+    """As in a large corpus, there are many more tokens than cells of the widest bit map: texts that share
+    no token still leave no row to be compared."""
+    from hrforge.llm import sketch
+    monkeypatch.setattr(sketch, "MAX_BITS", 16)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(1500))) for i in range(200)]
+    near = [(900 + k, " ".join(f"n{i}" for i in range(40)) + f" end{k}") for k in range(3)]
+    got = ngram_join.postings(frame(spark, rows + near).select("doc_id", "text").repartition(3))
+    assert got.filter("kind = 0").count() == 203
+    assert got.filter("kind = 1").groupBy("size").count().collect() == [(37, 3 * 7)]  # prefixes of 8 of 37, one token alone
+
+
+def test_prefixes_take_rare_tokens_first(spark):
+    """Tokens that come once precede the others, which ascend by the number of texts that hold them; equal texts count once."""
+    common, rare = " ".join(f"c{i}" for i in range(30)), " ".join(f"r{i}" for i in range(30))
+    rows = [(i, f"{common} " + " ".join(f"o{i}x{k}" for k in range(30))) for i in range(5)]
+    rows += [(10, f"{common} {rare}"), (11, f"{common} {rare} end"), (12, f"{common} {rare}"), (None, f"{common} {rare}")]
+    got = ngram_join.postings(frame(spark, rows).select("doc_id", "text").repartition(3)).collect()
+    size = {bytes(r["class"]): r["size"] for r in got if r["kind"] == 0}
+    posts = [r for r in got if r["kind"] == 1]
+    assert len({(r["class"], r["place"]) for r in posts}) == len(posts)
+    assert sorted({r["size"] for r in posts}) == [56, 57]
+    for r in posts:
+        assert r["token"] >> 56 == 2 and r["alone"] <= r["place"] < ngram_join.prefix_size(size[bytes(r["class"])])
+    assert sorted(r["alone"] for r in posts if r["place"] == r["alone"]) == [0, 1]
+
+
+@pytest.mark.parametrize("chunk, members", [(1, 2), (400, 3)])
+def test_near_copies_in_small_chunks_and_parts(spark, rows, monkeypatch, chunk, members):
+    """Sets of a task that are sent in many chunks, and posting lists that are compared in parts."""
+    from hrforge.llm import token_order
+    monkeypatch.setattr(token_order, "BUFFER", chunk)
+    monkeypatch.setattr(ngram_join, "MEMBERS", members)
+    short = [r for r in rows if len(r[1] or "") < 20_000]
+    short += short[60:64]  # equal rows
+    got = ordered(ngram_join.near_duplicates(frame(spark, short).coalesce(1)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.near(short), key=str)
+
+
 def shuffle_files(spark) -> set[str]:
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     return {str(f) for d in disk.localDirsString() for f in Path(d).rglob("shuffle_*.data")}
